@@ -1,0 +1,236 @@
+"""The unified behaviour fact and its daily summaries and rankings."""
+
+from __future__ import annotations
+
+from collections.abc import Mapping
+from functools import reduce
+
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from tilldeck.functions import expressions as E
+from tilldeck.functions.frames import as_time, keep_one
+from tilldeck.operators.landing import BEHAVIOR_DATASET, BEHAVIOR_SOURCES, BehaviorSource
+from tilldeck.operators.metrics import daily_top
+
+# Funnel steps in order, as event types of the unified fact.
+STEPS = ("view", "search", "cart", "remove_cart", "pay")
+SKU_STEPS = ("cart", "remove_cart", "pay")
+TOP = 50
+# A product row holds two numbers, a price and a short name: about 100 MB.
+BROADCAST_ROWS = 1_000_000
+_PAYLOADS = {"sku": "bigint", "url": "bigint", "query": "string"}
+# Rows without a sku never match a product; this many buckets spread them.
+_NO_SKU_BUCKETS = 1024
+
+
+def product_properties(landed: DataFrame) -> DataFrame:
+    """One row per sku."""
+    shaped = landed.where(F.col("sku").isNotNull()).select(
+        "sku", "category_id", F.col("price").alias("product_price"), "product_name"
+    )
+    return keep_one(shaped, ["sku"])
+
+
+def _event_columns(landed: DataFrame, source: BehaviorSource) -> DataFrame:
+    payload = {
+        name: (F.col(name) if name == source.value else F.lit(None)).cast(kind)
+        for name, kind in _PAYLOADS.items()
+    }
+    return landed.select(
+        F.col("client_id").cast("bigint").alias("client_id"),
+        as_time(landed, "event_time").alias("event_time"),
+        F.lit(BEHAVIOR_DATASET).alias("source_dataset"),
+        F.lit(source.name).alias("source_event_type"),
+        F.lit(source.event_type).alias("event_type"),
+        payload["sku"].alias("sku"),
+        payload["url"].alias("url_id"),
+        payload["query"].alias("query_text"),
+        "dt",
+    ).where(F.col("client_id").isNotNull() & F.col("event_time").isNotNull() & F.col("dt").isNotNull())
+
+
+def _union(frames: list[DataFrame]) -> DataFrame:
+    return reduce(lambda a, b: a.unionByName(b, allowMissingColumns=True), frames)
+
+
+def behavior_detail(
+    landed: Mapping[str, DataFrame],
+    properties: DataFrame | None = None,
+    deduplicate: bool = False,
+    broadcast_products: bool = False,
+) -> DataFrame:
+    """All selected sources as one fact of 16 columns; grain: event.
+
+    ``landed`` maps source names to landed tables. Only sources that carry a
+    sku take part in the product join; the others, most of the volume, are not
+    shuffled. ``broadcast_products`` asks for the hash join, granted up to
+    ``BROADCAST_ROWS`` counted rows; otherwise Spark decides by measured size.
+    """
+    frames = {name: _event_columns(df, BEHAVIOR_SOURCES[name]) for name, df in landed.items()}
+    with_sku = [df for name, df in frames.items() if BEHAVIOR_SOURCES[name].value == "sku"]
+    without_sku = [df for name, df in frames.items() if BEHAVIOR_SOURCES[name].value != "sku"]
+    parts = list(without_sku)
+    if with_sku and properties is not None:
+        parts.append(_with_properties(_union(with_sku), product_properties(properties), broadcast_products))
+    else:
+        parts.extend(with_sku)
+    events = _union(parts)
+    for name, kind in (("category_id", "bigint"), ("product_price", "double"), ("product_name", "string")):
+        if name not in events.columns:
+            events = events.withColumn(name, F.lit(None).cast(kind))
+    events = events.withColumn("query_hash", E.query_hash(F.col("query_text")))
+    events = events.withColumn(
+        "event_id",
+        E.content_event_id(
+            *(
+                F.col(c)
+                for c in (
+                    "source_dataset",
+                    "source_event_type",
+                    "client_id",
+                    "event_time",
+                    "sku",
+                    "url_id",
+                    "query_hash",
+                )
+            )
+        ),
+    )
+    if deduplicate:
+        events = keep_one(events, ["event_id"])
+    return events.select(
+        "event_id",
+        "client_id",
+        F.concat(F.lit(E.USER_PREFIX), F.col("client_id").cast("string")).alias("user_id"),
+        "event_type",
+        "source_event_type",
+        "event_time",
+        "sku",
+        F.concat(F.lit(E.SKU_PREFIX), F.col("sku").cast("string")).alias("product_id"),
+        "category_id",
+        "product_price",
+        "product_name",
+        "url_id",
+        "query_hash",
+        "query_text",
+        "source_dataset",
+        "dt",
+    )
+
+
+def _with_properties(events: DataFrame, products: DataFrame, broadcast_products: bool) -> DataFrame:
+    """Left join on sku in which rows without a sku do not pile up in one task."""
+    if broadcast_products and products.select("sku").count() <= BROADCAST_ROWS:
+        return events.join(F.broadcast(products), "sku", "left")
+    spread = F.when(F.col("sku").isNull(), 1 + F.pmod(F.xxhash64("client_id", "event_time"), F.lit(_NO_SKU_BUCKETS)))
+    return (
+        events.withColumn("bucket", F.coalesce(spread, F.lit(0).cast("bigint")))
+        .join(products.withColumn("bucket", F.lit(0).cast("bigint")), ["sku", "bucket"], "left")
+        .drop("bucket")
+    )
+
+
+# -- daily summaries ------------------------------------------------------------------
+
+
+def _is(step: str) -> Column:
+    return F.col("event_type") == step
+
+
+def _distinct(column: str, approx: bool) -> Column:
+    return F.approx_count_distinct(column) if approx else F.countDistinct(column)
+
+
+def behavior_event_type_daily(events: DataFrame, approx: bool = False) -> DataFrame:
+    """Events, users and skus per day and event type."""
+    return events.groupBy("dt", "event_type").agg(
+        F.count("*").alias("event_count"),
+        _distinct("client_id", approx).alias("active_user_count"),
+        _distinct("sku", approx).alias("active_sku_count"),
+    )
+
+
+def behavior_daily(events: DataFrame, approx: bool = False) -> DataFrame:
+    """The daily funnel: users and events per step and three rates.
+
+    The exact form first counts each user's events per step of a day; one
+    grouping then answers all six distinct counts without copying rows.
+    """
+    if approx:
+        day = events.groupBy("dt").agg(
+            F.count("*").alias("event_count"),
+            F.approx_count_distinct("client_id").alias("active_user_count"),
+            *(
+                F.approx_count_distinct(F.when(_is(step), F.col("client_id"))).alias(f"{step}_user_count")
+                for step in STEPS
+            ),
+            *(F.count_if(_is(step)).alias(f"{step}_event_count") for step in STEPS),
+        )
+    else:
+        day = (
+            events.groupBy("dt", "client_id")
+            .agg(F.count("*").alias("all"), *(F.count_if(_is(step)).alias(step) for step in STEPS))
+            .groupBy("dt")
+            .agg(
+                F.sum("all").alias("event_count"),
+                F.count("client_id").alias("active_user_count"),
+                *(
+                    F.count_if((F.col(step) > 0) & F.col("client_id").isNotNull()).alias(f"{step}_user_count")
+                    for step in STEPS
+                ),
+                *(F.sum(step).alias(f"{step}_event_count") for step in STEPS),
+            )
+        )
+    view, cart, pay = (F.col(f"{step}_user_count") for step in ("view", "cart", "pay"))
+    return day.withColumns(
+        {
+            "view_to_cart_rate": E.safe_div(cart, view),
+            "cart_to_pay_rate": E.safe_div(pay, cart),
+            "view_to_pay_rate": E.safe_div(pay, view),
+        }
+    )
+
+
+def _step_counts() -> list[Column]:
+    return [
+        F.count("*").alias("event_count"),
+        *(F.count_if(_is(step)).alias(f"{step}_event_count") for step in SKU_STEPS),
+    ]
+
+
+def behavior_product_daily(events: DataFrame, approx: bool = False) -> DataFrame:
+    """Events per day and sku. The price average is taken over exact decimals."""
+    return (
+        events.where(F.col("sku").isNotNull())
+        .groupBy("dt", "sku", "category_id", "product_name")
+        .agg(
+            *_step_counts(),
+            _distinct("client_id", approx).alias("active_user_count"),
+            F.try_divide(
+                F.sum(F.col("product_price").try_cast("decimal(28,10)")).cast("double"), F.count("product_price")
+            ).alias("avg_product_price"),
+        )
+    )
+
+
+def behavior_category_daily(events: DataFrame, approx: bool = False) -> DataFrame:
+    return (
+        events.where(F.col("sku").isNotNull())
+        .groupBy("dt", "category_id")
+        .agg(
+            *_step_counts(),
+            _distinct("client_id", approx).alias("active_user_count"),
+            _distinct("sku", approx).alias("active_sku_count"),
+        )
+    )
+
+
+def behavior_product_topn(products: DataFrame, keep: int = TOP) -> DataFrame:
+    return daily_top(
+        products, ["pay_event_count", "cart_event_count"], ["sku", "category_id", "product_name"], keep
+    )
+
+
+def behavior_category_topn(categories: DataFrame, keep: int = TOP) -> DataFrame:
+    return daily_top(categories, ["pay_event_count", "cart_event_count"], ["category_id"], keep)
