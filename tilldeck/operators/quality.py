@@ -133,8 +133,8 @@ def _missing_days(inputs: QualityInputs, _: Sequence[str]) -> DataFrame:
     if inputs.expected is None:
         return _counted(present, {"DQ008": F.lit(False)})
     days = inputs.expected.select(
-        F.explode(F.expr("sequence(first, last, interval 1 day)")).cast("string").alias("dt")
-    )
+        F.explode(F.expr("sequence(first, last, interval 1 day)")).alias("day")
+    ).select(F.col("day").cast("string").alias("dt"))
     return _counted(days.join(present, "dt", "left_anti"), {"DQ008": F.lit(True)})
 
 
