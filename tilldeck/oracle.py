@@ -690,16 +690,73 @@ _SQL = {
 }
 
 
-def _with_ctes(sql: str) -> str:
+# The whole retail build takes the year as period of everything but events.
+_DATED = ("orders_raw", "payments", "refunds_raw", "stock_raw")
+_YEARLY = _CTES | {name: _CTES[name].replace("%Y-%m-%d", "%Y-01-01") for name in _DATED}
+# Layer tables hold ids as text, and the fixed order among copies follows it.
+_YEARLY["items"] = """
+        SELECT order_item_id, order_id, product_id, shop_id, quantity, item_amount, sale_price FROM (
+            SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY CAST(product_id AS VARCHAR),
+                CAST(shop_id AS VARCHAR), quantity, sale_price, item_amount) AS rn
+            FROM items_raw WHERE quantity > 0 AND sale_price >= 0 AND item_amount >= 0 AND order_id IS NOT NULL)
+        WHERE rn = 1"""
+_YEARLY["stock"] = _YEARLY["stock"].replace(
+    "product_id NULLS LAST", "CAST(product_id AS VARCHAR) NULLS LAST"
+).replace("shop_id NULLS LAST", "CAST(shop_id AS VARCHAR) NULLS LAST")
+_RETAIL_BUILD = " UNION ALL ".join(
+    _count(table, source if source.startswith("SELECT") else f"SELECT dt FROM {source}")
+    for table, source in {
+        "ods_users": f"SELECT '{PROCESS_DT}' AS dt FROM customer",
+        "ods_shops": f"SELECT '{PROCESS_DT}' AS dt FROM supplier",
+        "ods_products": f"SELECT '{PROCESS_DT}' AS dt FROM part",
+        "ods_orders": "orders_raw",
+        "ods_order_items": "SELECT o.dt FROM items_raw i LEFT JOIN orders_raw o ON i.order_id = o.order_id",
+        "ods_payments": "payments",
+        "ods_refunds": "refunds_raw",
+        "ods_user_events": "user_events_raw",
+        "ods_inventory_logs": "stock_raw",
+        "dwd_trade_order_detail": "lines",
+        "dwd_trade_payment_detail": "payments",
+        "dwd_trade_refund_detail": "refunds",
+        "dwd_user_behavior_detail": "user_events",
+        "dwd_inventory_change_detail": "stock",
+        "dim_user": f"SELECT '{PROCESS_DT}' AS dt FROM customer",
+        "dim_product": f"SELECT '{PROCESS_DT}' AS dt FROM part",
+        "dim_shop": f"SELECT '{PROCESS_DT}' AS dt FROM supplier",
+        "dim_category": f"SELECT DISTINCT p_size, '{PROCESS_DT}' AS dt FROM part",
+        "dim_date": f"SELECT '{PROCESS_DT}' AS dt",
+        "dws_trade_day_summary": "trade",
+        "dws_user_day_summary": _USER_DAY.strip(),
+        "dws_product_day_summary": "product_days",
+        "dws_shop_day_summary": "shop_days",
+        "dws_category_day_summary": "category_days",
+        "dws_user_retention_summary": "retention",
+        "dws_inventory_day_summary": "stock_day",
+        "ads_retail_dashboard_daily": "dashboards",
+        "ads_product_topn": _top(
+            "product_days", "sales_amount sales_quantity", "product_id category_id category_name brand", 20
+        ),
+        "ads_category_topn": _top("category_days", "sales_amount", "category_id category_name", 20),
+        "ads_shop_rank": _top("shop_days", "sales_amount", "shop_id", 100),
+        "ads_user_retention": "retention",
+        "ads_rfm_user_segment": "rfm",
+        "ads_refund_analysis": "refund_groups",
+        "ads_inventory_turnover": "turnover",
+    }.items()
+)
+
+
+def _with_ctes(sql: str, ctes: dict[str, str] = _CTES) -> str:
     needed: list[str] = []
     text = sql
-    for name in reversed(_CTES):
+    for name in reversed(ctes):
         if re.search(rf"\b{name}\b", text):
             needed.append(name)
-            text += _CTES[name]
+            text += ctes[name]
     if not needed:
         return sql
-    return "WITH " + ",\n".join(f"{name} AS ({_CTES[name]})" for name in reversed(needed)) + "\n" + sql
+    return "WITH " + ",\n".join(f"{name} AS ({ctes[name]})" for name in reversed(needed)) + "\n" + sql
 
 
 ORACLE = {name: _with_ctes(sql) for name, sql in _SQL.items()}
+ORACLE["retail_layers_build"] = _with_ctes(_RETAIL_BUILD, _YEARLY)

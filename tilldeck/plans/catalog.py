@@ -794,7 +794,7 @@ def _layer_counts(shop: Shop, root: str, tables: list[str]) -> DataFrame:
 
 @query
 def retail_layers_build(shop: Shop) -> DataFrame:
-    """All retail layers over the whole tables, with the month as period.
+    """All retail layers over the whole tables, with the year as period.
 
     The given orders span 2,400 days; one folder per day and table would time
     the file system instead of the build.
@@ -811,8 +811,9 @@ def retail_layers_build(shop: Shop) -> DataFrame:
         "user_events": shop.raw.user_events,
         "inventory_logs": shop.raw.inventory_logs,
     }
-    month = F.trunc(F.col("dt").cast("date"), "month").cast("string")
-    raw = {name: df.withColumn("dt", month) if "dt" in df.columns else df for name, df in raw.items()}
+    year = F.trunc(F.col("dt").cast("date"), "year").cast("string")
+    for name in ("orders", "order_items", "payments", "refunds", "inventory_logs"):
+        raw[name] = raw[name].withColumn("dt", year)
     retail_plan.build_retail(shop.spark, raw, root, RunContext(dt=PROCESS_DT))
     tables = [t for layer in ("ods", "dwd", "dim", "dws", "ads") for t in LAYERS[layer] if "synerise" not in t]
     return _layer_counts(shop, root, tables)
