@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.functions import expressions as E
-from tilldeck.functions.frames import as_time, keep_one
+from tilldeck.functions.frames import as_time, frequent_keys, keep_one, spread_join
 from tilldeck.operators.landing import BEHAVIOR_DATASET, BEHAVIOR_SOURCES, BehaviorSource
 from tilldeck.operators.metrics import daily_top
 
@@ -20,8 +20,6 @@ TOP = 50
 # A product row holds two numbers, a price and a short name: about 100 MB.
 BROADCAST_ROWS = 1_000_000
 _PAYLOADS = {"sku": "bigint", "url": "bigint", "query": "string"}
-# Rows without a sku never match a product; this many buckets spread them.
-_NO_SKU_BUCKETS = 1024
 
 
 def product_properties(landed: DataFrame) -> DataFrame:
@@ -75,7 +73,12 @@ def behavior_detail(
         parts.append(_with_properties(_union(with_sku), product_properties(properties), broadcast_products))
     else:
         parts.extend(with_sku)
-    events = _union(parts)
+    return identified(_union(parts), deduplicate)
+
+
+def identified(events: DataFrame, deduplicate: bool = False) -> DataFrame:
+    """The 16 columns of the fact, ids computed from the content. Product
+    columns not joined in are null."""
     for name, kind in (("category_id", "bigint"), ("product_price", "double"), ("product_name", "string")):
         if name not in events.columns:
             events = events.withColumn(name, F.lit(None).cast(kind))
@@ -120,15 +123,12 @@ def behavior_detail(
 
 
 def _with_properties(events: DataFrame, products: DataFrame, broadcast_products: bool) -> DataFrame:
-    """Left join on sku in which rows without a sku do not pile up in one task."""
+    """Left join on sku in which neither a hot sku nor the rows without one
+    pile up in one task."""
     if broadcast_products and products.select("sku").count() <= BROADCAST_ROWS:
         return events.join(F.broadcast(products), "sku", "left")
-    spread = F.when(F.col("sku").isNull(), 1 + F.pmod(F.xxhash64("client_id", "event_time"), F.lit(_NO_SKU_BUCKETS)))
-    return (
-        events.withColumn("bucket", F.coalesce(spread, F.lit(0).cast("bigint")))
-        .join(products.withColumn("bucket", F.lit(0).cast("bigint")), ["sku", "bucket"], "left")
-        .drop("bucket")
-    )
+    hot = frequent_keys(events.where(F.col("sku").isNotNull()), ["sku"])
+    return spread_join(events, products, ["sku"], "left", hot, F.xxhash64("client_id", "event_time"))
 
 
 # -- daily summaries ------------------------------------------------------------------

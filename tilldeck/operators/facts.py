@@ -10,7 +10,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.functions.expressions import UNKNOWN_CATEGORY, VALID_EVENT_TYPES, clean_text
-from tilldeck.functions.frames import as_time, keep_one, typed
+from tilldeck.functions.frames import as_time, frequent_keys, keep_one, spread_join, typed
+
+_LANDING_COLUMNS = ("dt", "ods_load_time", "source_table")
 
 
 def clean_orders(orders: DataFrame) -> DataFrame:
@@ -44,7 +46,7 @@ def _valid_items(items: DataFrame) -> DataFrame:
         & (F.col("sale_price") >= 0)
         & (F.col("item_amount") >= 0)
     )
-    return valid.drop("dt", "ods_load_time", "source_table")
+    return valid.drop(*_LANDING_COLUMNS)
 
 
 def clean_items(items: DataFrame) -> DataFrame:
@@ -56,64 +58,88 @@ def product_attributes(products: DataFrame) -> DataFrame:
     return keep_one(products.select("product_id", "category_id", "category_name", "brand"), ["product_id"])
 
 
-def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Cleaned lines with their order's header columns and day.
+def _joined_lines(items: DataFrame, orders: DataFrame, hot: DataFrame, spread: Column) -> DataFrame:
+    """Lines with their order's header columns and day.
 
     The shop is the order's; a line may bring its own where orders have none.
     """
-    shop = F.col("orders.shop_id")
-    if "shop_id" in items.columns:
-        shop = F.coalesce(shop, F.col("items.shop_id"))
-    line = [c for c in items.columns if c not in ("order_id", "shop_id")]
-    header = [c for c in orders.columns if c not in ("order_id", "shop_id")]
-    return (
-        items.alias("items")
-        .join(orders.alias("orders"), "order_id", "inner")
-        .select("order_id", shop.alias("shop_id"), *line, *header)
+    own_shop = "shop_id" in items.columns
+    if own_shop:
+        items = items.withColumnRenamed("shop_id", "line_shop_id")
+    lines = spread_join(items, orders, ["order_id"], "inner", hot, spread)
+    if own_shop:
+        shop = F.coalesce("shop_id", "line_shop_id")
+        lines = lines.withColumn("shop_id", shop).drop("line_shop_id")
+    return lines
+
+
+def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Cleaned lines of cleaned orders, without product columns."""
+    return _joined_lines(
+        clean_items(items),
+        clean_orders(orders),
+        frequent_keys(_valid_items(items), ["order_id"]),
+        F.xxhash64("order_item_id"),
+    )
+
+
+def raw_order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines and headers as they arrive. Copies of a line share every value,
+    so their place in the scan deals them out."""
+    return _joined_lines(
+        items, orders, frequent_keys(items, ["order_id"]), F.monotonically_increasing_id()
     )
 
 
-def _with_product(lines: DataFrame, products: DataFrame, category_name: Column) -> DataFrame:
+def with_order(rows: DataFrame, orders: DataFrame) -> DataFrame:
+    """Columns known once per order, joined to rows as they arrive."""
+    hot = frequent_keys(rows, ["order_id"])
+    return spread_join(rows, orders, ["order_id"], "left", hot, F.monotonically_increasing_id())
+
+
+def _with_product(
+    lines: DataFrame, products: DataFrame, hot: DataFrame, category_name: Column
+) -> DataFrame:
     """Product columns by left join. Spark broadcasts the products only when
-    their measured size allows it and otherwise splits skewed partitions."""
-    category_id = F.col("product.category_id")
-    if "category_id" in lines.columns:
-        category_id = F.coalesce(F.col("line.category_id"), category_id)
-    sku = F.col("line.sku_id") if "sku_id" in lines.columns else F.lit(None).cast("string")
-    return (
-        lines.alias("line")
-        .join(products.alias("product"), "product_id", "left")
-        .select(
-            "order_item_id",
-            "order_id",
-            "user_id",
-            "shop_id",
-            "product_id",
-            category_id.alias("category_id"),
-            category_name.alias("category_name"),
-            "brand",
-            sku.alias("sku_id"),
-            "quantity",
-            "sale_price",
-            "item_amount",
-            "total_amount",
-            "discount_amount",
-            "payable_amount",
-            "order_status",
-            "order_time",
-            "province",
-            "city",
-            "dt",
-        )
+    their measured size allows it."""
+    own_category = "category_id" in lines.columns
+    if own_category:
+        lines = lines.withColumnRenamed("category_id", "line_category_id")
+    category_id = F.coalesce("line_category_id", "category_id") if own_category else F.col("category_id")
+    sku = F.col("sku_id") if "sku_id" in lines.columns else F.lit(None).cast("string")
+    return spread_join(
+        lines, products, ["product_id"], "left", hot, F.xxhash64("order_item_id", "order_id")
+    ).select(
+        "order_item_id",
+        "order_id",
+        "user_id",
+        "shop_id",
+        "product_id",
+        category_id.alias("category_id"),
+        category_name.alias("category_name"),
+        "brand",
+        sku.alias("sku_id"),
+        "quantity",
+        "sale_price",
+        "item_amount",
+        "total_amount",
+        "discount_amount",
+        "payable_amount",
+        "order_status",
+        "order_time",
+        "province",
+        "city",
+        "dt",
     )
 
 
 def trade_order_detail(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
     """Order lines with header and product columns; grain: order item."""
     return _with_product(
-        order_lines(clean_items(items), clean_orders(orders)),
+        order_lines(items, orders),
         product_attributes(products),
-        F.coalesce("product.category_name", F.lit(UNKNOWN_CATEGORY)),
+        frequent_keys(_valid_items(items), ["product_id"]),
+        F.coalesce("category_name", F.lit(UNKNOWN_CATEGORY)),
     )
 
 
@@ -121,7 +147,7 @@ def trade_order_detail_sql(orders: DataFrame, items: DataFrame, products: DataFr
     """The looser reading: no de-duplication, no fill, fewer filters."""
     lines = items.where(
         F.col("order_item_id").isNotNull() & (F.col("quantity") > 0) & (F.col("item_amount") >= 0)
-    ).drop("dt", "ods_load_time", "source_table")
+    ).drop(*_LANDING_COLUMNS)
     headers = orders.where(F.col("order_id").isNotNull() & (F.col("payable_amount") >= 0)).select(
         "order_id",
         "user_id",
@@ -135,8 +161,12 @@ def trade_order_detail_sql(orders: DataFrame, items: DataFrame, products: DataFr
         "city",
         "dt",
     )
-    names = products.select("product_id", "category_id", "category_name", "brand")
-    return _with_product(order_lines(lines, headers), names, F.col("product.category_name"))
+    return _with_product(
+        raw_order_lines(lines, headers),
+        products.select("product_id", "category_id", "category_name", "brand"),
+        frequent_keys(lines, ["product_id"]),
+        F.col("category_name"),
+    )
 
 
 def payment_detail(payments: DataFrame, orders: DataFrame) -> DataFrame:
@@ -150,22 +180,25 @@ def payment_detail(payments: DataFrame, orders: DataFrame) -> DataFrame:
         ),
         ["order_id"],
     )
-    return (
-        clean_payments(payments)
-        .join(headers, "order_id", "left")
-        .select(
-            "payment_id",
-            "order_id",
-            "user_id",
-            "shop_id",
-            "pay_time",
-            "order_time",
-            "pay_method",
-            "pay_amount",
-            "order_payable_amount",
-            "pay_status",
-            "dt",
-        )
+    return spread_join(
+        clean_payments(payments),
+        headers,
+        ["order_id"],
+        "left",
+        frequent_keys(payments, ["order_id"]),
+        F.xxhash64("payment_id"),
+    ).select(
+        "payment_id",
+        "order_id",
+        "user_id",
+        "shop_id",
+        "pay_time",
+        "order_time",
+        "pay_method",
+        "pay_amount",
+        "order_payable_amount",
+        "pay_status",
+        "dt",
     )
 
 
@@ -216,22 +249,25 @@ def paid_orders(payments: DataFrame) -> DataFrame:
 
 def refund_detail(refunds: DataFrame, payments: DataFrame) -> DataFrame:
     """Refunds with the payment they reverse; grain: refund."""
-    return (
-        clean_refunds(refunds)
-        .join(paid_orders(payments), "order_id", "left")
-        .select(
-            "refund_id",
-            "order_id",
-            "user_id",
-            "refund_time",
-            "refund_amount",
-            "refund_reason",
-            "refund_status",
-            "paid_payment_id",
-            "paid_amount",
-            "pay_time",
-            "dt",
-        )
+    return spread_join(
+        clean_refunds(refunds),
+        paid_orders(payments),
+        ["order_id"],
+        "left",
+        frequent_keys(refunds, ["order_id"]),
+        F.xxhash64("refund_id"),
+    ).select(
+        "refund_id",
+        "order_id",
+        "user_id",
+        "refund_time",
+        "refund_amount",
+        "refund_reason",
+        "refund_status",
+        "paid_payment_id",
+        "paid_amount",
+        "pay_time",
+        "dt",
     )
 
 

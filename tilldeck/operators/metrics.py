@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.functions import expressions as E
-from tilldeck.functions.frames import ranked
+from tilldeck.functions.frames import frequent_keys, ranked, spread_join
 from tilldeck.operators.summaries import successful
 
 PRODUCT_TOP = 20
@@ -138,11 +138,17 @@ def product_sales(lines_or_days: DataFrame, quantity: str, amount: str) -> DataF
     )
 
 
-def inventory_turnover(stock: DataFrame, sales: DataFrame) -> DataFrame:
-    """Units sold per unit held. A shop's row gets the product's total sales."""
+def inventory_turnover(stock: DataFrame, sales: DataFrame, held: DataFrame | None = None) -> DataFrame:
+    """Units sold per unit held. A shop's row gets the product's total sales.
+
+    A product may be held by very many shops; such a day of it is split. The
+    days are found in ``held``, by default the summary itself; give the stock
+    log where the summary is not a written table.
+    """
+    hot = frequent_keys(stock if held is None else held, ["dt", "product_id"])
     average = (F.col("avg_before_quantity") + F.col("ending_quantity")) / 2
     return (
-        stock.join(sales, ["dt", "product_id"], "left")
+        spread_join(stock, sales, ["dt", "product_id"], "left", hot, F.xxhash64("shop_id"))
         .na.fill(0, ["sales_quantity", "sales_amount"])
         .withColumn("avg_inventory", average)
         .select(

@@ -105,17 +105,22 @@ def _amount_rule(inputs: QualityInputs, _: Sequence[str]) -> DataFrame:
 
 
 def _line_rules(inputs: QualityInputs, rules: Sequence[str]) -> DataFrame:
-    tests: dict[str, Column] = {}
-    lines = inputs.lines
-    if "DQ002" in rules:
-        tests["DQ002"] = missing_any(ORDER_KEYS)
+    """Blank keys, and keys no dimension knows.
+
+    Lines known to all three dimensions count against all lines. Semi joins
+    need no unique dimension and let AQE split a skewed left side.
+    """
+    blank = missing_any(ORDER_KEYS).alias("blank")
+    lines = inputs.lines.select(F.lit(1).alias("unknown"), blank)
     if "DQ007" in rules:
-        dims = {"user_id": inputs.users, "product_id": inputs.products, "shop_id": inputs.shops}
-        for key, dim in dims.items():
-            known = dim.select(key).distinct().withColumn(f"has_{key}", F.lit(True))
-            lines = lines.join(known, key, "left")
-        tests["DQ007"] = reduce(lambda a, b: a | b, (F.col(f"has_{key}").isNull() for key in dims))
-    return _counted(lines, tests)
+        known = inputs.lines
+        for key, dim in (("user_id", inputs.users), ("product_id", inputs.products), ("shop_id", inputs.shops)):
+            known = known.join(dim.select(key), key, "left_semi")
+        lines = lines.unionAll(known.select(F.lit(-1).alias("unknown"), F.lit(False).alias("blank")))
+    counts = lines.agg(
+        F.count_if("blank").alias("DQ002"), F.coalesce(F.sum("unknown"), F.lit(0)).alias("DQ007")
+    )
+    return _rows(counts, rules)
 
 
 def _payment_rules(inputs: QualityInputs, rules: Sequence[str]) -> DataFrame:

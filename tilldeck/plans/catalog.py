@@ -75,7 +75,7 @@ class Shop:
 
     @cached_property
     def lines(self) -> DataFrame:
-        return facts.order_lines(self.items, self.orders)
+        return facts.order_lines(self.raw.order_items, self.raw.orders)
 
     @cached_property
     def product_lines(self) -> DataFrame:
@@ -101,6 +101,11 @@ class Shop:
     def stock(self) -> DataFrame:
         return S.inventory_daily(facts.inventory_detail(self.raw.inventory_logs))
 
+    @cached_property
+    def turnover(self) -> DataFrame:
+        sales = metrics.product_sales(self.lines, "quantity", "item_amount")
+        return metrics.inventory_turnover(self.stock, sales, self.raw.inventory_logs)
+
     @cached_property
     def order_day(self) -> DataFrame:
         return S.order_day(self.order_fact)
@@ -143,8 +148,9 @@ class Shop:
 
     @cached_property
     def behavior_bare(self) -> DataFrame:
-        """The unified fact without product columns, so without their join."""
-        return B.behavior_detail(self.landed_behavior)
+        """The unified fact without product columns, so without their join,
+        from one scan of the stream that holds all sources."""
+        return B.identified(self.raw.behavior_stream)
 
     @cached_property
     def behavior_day(self) -> DataFrame:
@@ -157,13 +163,12 @@ class Shop:
     def checks(self, only: list[str] | None = None) -> DataFrame:
         """Quality rules on the tables as they arrive, where they can fail."""
         raw = self.raw
-        lines = facts.order_lines(raw.order_items, raw.orders)
-        refunds = raw.refunds.join(facts.paid_orders(raw.payments), "order_id", "left")
-        payments = raw.payments.join(
-            self.orders.select("order_id", "order_time", F.col("payable_amount").alias("order_payable_amount")),
-            "order_id",
-            "left",
+        lines = facts.raw_order_lines(raw.order_items, raw.orders)
+        headers = self.orders.select(
+            "order_id", "order_time", F.col("payable_amount").alias("order_payable_amount")
         )
+        payments = facts.with_order(raw.payments, headers)
+        refunds = facts.with_order(raw.refunds, facts.paid_orders(raw.payments))
         if only == ["DQ001"]:
             lines = raw.order_items
         if only == ["DQ011"]:
@@ -533,9 +538,7 @@ def refund_analysis(shop: Shop) -> DataFrame:
 
 @query
 def inventory_turnover(shop: Shop) -> DataFrame:
-    return metrics.inventory_turnover(
-        shop.stock, metrics.product_sales(shop.lines, "quantity", "item_amount")
-    )
+    return shop.turnover
 
 
 # -- behaviour ----------------------------------------------------------------------
@@ -664,9 +667,8 @@ def dq_report(shop: Shop) -> DataFrame:
 @query
 def latest_dt(shop: Shop) -> DataFrame:
     """The details hold the same days as their summaries, at less cost."""
-    lines = facts.order_lines(facts.clean_items(shop.raw.order_items), shop.orders)
     stock = facts.inventory_detail(shop.raw.inventory_logs)
-    return R.latest_dt(lines, shop.retention, shop.refunds, stock)
+    return R.latest_dt(shop.order_fact, shop.retention, shop.refunds, stock)
 
 
 @query
@@ -691,9 +693,6 @@ def latest_day_topn(shop: Shop) -> DataFrame:
     categories = S.category_daily(shop.product_lines)
     shops = S.shop_daily(shop.lines)
     refunds = metrics.refund_analysis(shop.refunds)
-    turnover = metrics.inventory_turnover(
-        shop.stock, metrics.product_sales(shop.lines, "quantity", "item_amount")
-    )
     skus = B.behavior_product_daily(shop.behavior)
     trade_day = R.latest_dt(shop.order_day)
     sections = (
@@ -704,7 +703,7 @@ def latest_day_topn(shop: Shop) -> DataFrame:
             refunds, R.latest_dt(shop.refunds), "refunds", "refund_amount", ["refund_reason", "refund_status"]
         ),
         R.day_top(
-            turnover,
+            shop.turnover,
             R.latest_dt(facts.inventory_detail(shop.raw.inventory_logs)),
             "turnover",
             "inventory_turnover_rate",
