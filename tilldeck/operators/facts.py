@@ -78,7 +78,7 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     return _joined_lines(
         clean_items(items),
         clean_orders(orders),
-        frequent_keys(_valid_items(items), ["order_id"]),
+        frequent_keys(items, ["order_id"]),
         F.xxhash64("order_item_id"),
     )
 
@@ -138,7 +138,7 @@ def trade_order_detail(orders: DataFrame, items: DataFrame, products: DataFrame)
     return _with_product(
         order_lines(items, orders),
         product_attributes(products),
-        frequent_keys(_valid_items(items), ["product_id"]),
+        frequent_keys(items, ["product_id"]),
         F.coalesce("category_name", F.lit(UNKNOWN_CATEGORY)),
     )
 
