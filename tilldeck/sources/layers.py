@@ -58,8 +58,8 @@ def write_layer(
     )
 
 
-def save_as_table(df: DataFrame, table: str) -> None:
+def save_as_table(df: DataFrame, table: str, database: str | None = None) -> None:
     """The same contract as a catalog table, created unless it exists."""
-    conform(df, table).hint("rebalance", F.col("dt")).write.mode("ignore").format("parquet").partitionBy(
-        "dt"
-    ).saveAsTable(table)
+    shaped = conform(df, table).hint("rebalance", F.col("dt"))
+    name = f"{database}.{table}" if database else table
+    shaped.write.mode("ignore").format("parquet").partitionBy("dt").saveAsTable(name)
