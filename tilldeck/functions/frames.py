@@ -83,7 +83,8 @@ def spread_join(
     Rows of a hot key on the left are dealt out by ``spread``; its rows on the
     right, which should be few, are repeated for every part. Left rows with a
     null key match nothing and are dealt out as well. ``spread`` must give a
-    re-run task the same values.
+    re-run task the same values, so it may depend on a row's content and its
+    partition but not on its place there.
     """
     hot = F.broadcast(hot)
     no_key = reduce(operator.or_, (F.col(key).isNull() for key in keys))
@@ -96,6 +97,12 @@ def spread_join(
     return dealt.join(repeated, [*keys, _SALT], how).drop(_SALT)
 
 
+def spread_copies(df: DataFrame) -> Column:
+    """A ``spread`` for rows that may be exact copies of each other: copies
+    from different tasks go to different parts."""
+    return F.xxhash64(*df.columns) + F.spark_partition_id()
+
+
 def as_time(df: DataFrame, column: str) -> Column:
     """A time column as a timestamp; malformed text becomes null."""
     if isinstance(df.schema[column].dataType, T.StringType):

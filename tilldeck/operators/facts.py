@@ -10,7 +10,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.functions.expressions import UNKNOWN_CATEGORY, VALID_EVENT_TYPES, clean_text
-from tilldeck.functions.frames import as_time, frequent_keys, keep_one, spread_join, typed
+from tilldeck.functions.frames import as_time, frequent_keys, keep_one, spread_copies, spread_join, typed
 
 _LANDING_COLUMNS = ("dt", "ods_load_time", "source_table")
 
@@ -65,11 +65,11 @@ def _joined_lines(items: DataFrame, orders: DataFrame, hot: DataFrame, spread: C
     """
     own_shop = "shop_id" in items.columns
     if own_shop:
-        items = items.withColumnRenamed("shop_id", "line_shop_id")
+        orders = orders.withColumnRenamed("shop_id", "order_shop_id")
     lines = spread_join(items, orders, ["order_id"], "inner", hot, spread)
     if own_shop:
-        shop = F.coalesce("shop_id", "line_shop_id")
-        lines = lines.withColumn("shop_id", shop).drop("line_shop_id")
+        shop = F.coalesce("order_shop_id", "shop_id")
+        lines = lines.withColumn("shop_id", shop).drop("order_shop_id")
     return lines
 
 
@@ -84,17 +84,14 @@ def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
 
 
 def raw_order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines and headers as they arrive. Copies of a line share every value,
-    so their place in the scan deals them out."""
-    return _joined_lines(
-        items, orders, frequent_keys(items, ["order_id"]), F.monotonically_increasing_id()
-    )
+    """Lines and headers as they arrive, copies included."""
+    return _joined_lines(items, orders, frequent_keys(items, ["order_id"]), spread_copies(items))
 
 
 def with_order(rows: DataFrame, orders: DataFrame) -> DataFrame:
     """Columns known once per order, joined to rows as they arrive."""
     hot = frequent_keys(rows, ["order_id"])
-    return spread_join(rows, orders, ["order_id"], "left", hot, F.monotonically_increasing_id())
+    return spread_join(rows, orders, ["order_id"], "left", hot, spread_copies(rows))
 
 
 def _with_product(
@@ -102,14 +99,12 @@ def _with_product(
 ) -> DataFrame:
     """Product columns by left join. Spark broadcasts the products only when
     their measured size allows it."""
-    own_category = "category_id" in lines.columns
-    if own_category:
-        lines = lines.withColumnRenamed("category_id", "line_category_id")
-    category_id = F.coalesce("line_category_id", "category_id") if own_category else F.col("category_id")
+    products = products.withColumnRenamed("category_id", "product_category_id")
+    category_id = F.col("product_category_id")
+    if "category_id" in lines.columns:
+        category_id = F.coalesce("category_id", category_id)
     sku = F.col("sku_id") if "sku_id" in lines.columns else F.lit(None).cast("string")
-    return spread_join(
-        lines, products, ["product_id"], "left", hot, F.xxhash64("order_item_id", "order_id")
-    ).select(
+    return spread_join(lines, products, ["product_id"], "left", hot, spread_copies(lines)).select(
         "order_item_id",
         "order_id",
         "user_id",

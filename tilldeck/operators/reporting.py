@@ -156,15 +156,19 @@ def conversion_lift(daily: DataFrame) -> DataFrame:
 def conversion_scatter(daily: DataFrame) -> DataFrame:
     """Users, rate and events of each day, scaled by their maxima."""
 
-    def scaled(column: str, floor: float) -> Column:
-        peak = daily.select(F.greatest(F.lit(floor), F.max(F.col(column).cast("double")))).scalar()
-        return clean_value(F.coalesce(F.col(column), F.lit(0)).cast("double") / peak)
+    floors = {"active_user_count": 1.0, "view_to_pay_rate": 0.001, "event_count": 1.0}
+    peaks = daily.select(
+        F.struct(*(F.greatest(F.lit(floor), F.max(F.col(c).cast("double"))).alias(c) for c, floor in floors.items()))
+    ).scalar()
+
+    def scaled(column: str) -> Column:
+        return clean_value(F.coalesce(F.col(column), F.lit(0)).cast("double") / peaks.getField(column))
 
     return daily.select(
         "dt",
-        scaled("active_user_count", 1.0).alias("user_scale"),
-        scaled("view_to_pay_rate", 0.001).alias("rate_scale"),
-        scaled("event_count", 1.0).alias("event_scale"),
+        scaled("active_user_count").alias("user_scale"),
+        scaled("view_to_pay_rate").alias("rate_scale"),
+        scaled("event_count").alias("event_scale"),
     )
 
 

@@ -24,9 +24,11 @@ def build_session(
     master: str | None = None,
     time_zone: str = "UTC",
     shuffle_partitions: int | None = None,
+    driver_memory: str | None = None,
 ) -> SparkSession:
     """A session with the settings above; the master comes from spark-submit
-    unless given. ``time_zone`` decides the calendar day of zoned timestamps.
+    unless given. ``time_zone`` decides the calendar day of zoned timestamps;
+    ``driver_memory`` matters to local sessions, where the driver does all work.
     """
     builder = SparkSession.builder.appName(app_name)
     if master:
@@ -36,6 +38,8 @@ def build_session(
     builder = builder.config("spark.sql.session.timeZone", time_zone)
     if shuffle_partitions:
         builder = builder.config("spark.sql.shuffle.partitions", str(shuffle_partitions))
+    if driver_memory:
+        builder = builder.config("spark.driver.memory", driver_memory)
     return builder.getOrCreate()
 
 

@@ -10,6 +10,7 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from tilldeck.functions.expressions import day_of
 from tilldeck.operators.landing import BEHAVIOR_DATASET, BEHAVIOR_SOURCES
@@ -33,13 +34,20 @@ def _null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)
 
 
+# Schemas by path: a folder's files are opened for them once, not per query.
+_SCHEMAS: dict[str, StructType] = {}
+
+
 class DriverTables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
 
     def table(self, name: str) -> DataFrame:
-        return self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        path = f"{self.folder}/{name}.parquet"
+        if path not in _SCHEMAS:
+            _SCHEMAS[path] = self.spark.read.parquet(path).schema
+        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
 
     # -- retail ---------------------------------------------------------------
 
