@@ -17,7 +17,6 @@ from tilldeck.operators import facts, landing, metrics, quality
 from tilldeck.operators import reporting as R
 from tilldeck.operators import summaries as S
 from tilldeck.plans import behavior as behavior_plan
-from tilldeck.plans import dashboard
 from tilldeck.plans import retail as retail_plan
 from tilldeck.schemas import LAYERS
 from tilldeck.session import scratch_dir
