@@ -7,6 +7,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tilldeck.llm.decontaminate import benchmark_matches
+from tilldeck.llm.ngram_join import near_duplicate_classes
 from tilldeck.llm.substring import remove_repeats
 
 
@@ -21,8 +23,26 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_classes(_read(spark, folder, "documents"))
+
+
+def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
+    out = benchmark_matches(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
+    return out.select(
+        "doc_id",
+        "n_words",
+        "n_hit",
+        F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.concat_ws(",", "items").cast("binary"), 256).alias("items_sha256"),
+        (F.col("n_hit") > 0).alias("contaminated"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op9_decontaminate": op9_decontaminate,
 }
 
 _WORDS_1 = r"""
@@ -53,4 +73,35 @@ per_doc AS (
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_removed, 0) AS n_removed,
        sha256(coalesce(kept, '')) AS kept_sha256
 FROM documents d LEFT JOIN per_doc USING (doc_id)""",
+    "op9_decontaminate": r"""
+WITH
+doc_words AS (
+  SELECT doc_id, unnest(ws) AS w, generate_subscripts(ws, 1) AS p
+  FROM (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM documents)),
+item_words AS (
+  SELECT item_id, ws, len(ws) AS n
+  FROM (SELECT item_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+          'abcdefghijklmnopqrstuvwxyz'), '[^\x00-\x2F\x3A-\x60\x7B-\x7F]+') AS ws FROM benchmark)
+  WHERE len(ws) > 0),
+phrases AS (
+  SELECT DISTINCT item_id, least(n, 10) AS size, ws[s:s + least(n, 10) - 1] AS k
+  FROM (SELECT *, unnest(range(1, n - least(n, 10) + 2)) AS s FROM item_words)),
+sizes AS (SELECT DISTINCT size FROM phrases),
+keyed AS (
+  SELECT doc_id, p, list(w) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 9 FOLLOWING) AS k
+  FROM doc_words),
+hits AS (
+  SELECT doc_id, p, size, item_id FROM
+    (SELECT doc_id, p, size, k[1:size] AS k FROM keyed, sizes WHERE len(k) >= size) JOIN phrases USING (size, k)),
+covered AS (
+  SELECT doc_id, count(*) AS n_hit
+  FROM (SELECT DISTINCT doc_id, unnest(range(p, p + size)) AS p FROM hits) GROUP BY doc_id),
+named AS (
+  SELECT doc_id, count(*) AS n_items, string_agg(i, ',' ORDER BY i COLLATE "binary") AS names
+  FROM (SELECT DISTINCT doc_id, item_id::VARCHAR AS i FROM hits) GROUP BY doc_id),
+counts AS (SELECT doc_id, count(*) AS n_words FROM doc_words GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
+       sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
+FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
 }

@@ -147,9 +147,30 @@ def packed(batch: pa.RecordBatch | pa.Table, name: str, dtype: type) -> list[np.
 
 
 def groups(df: DataFrame) -> int:
-    """Buckets of a hash: a few for each shuffle partition, whose number follows
+    """Buckets of a hash: two for each shuffle partition, whose number follows
     the input, so that a bucket fits into a task at any size."""
-    return 4 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    return 2 * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+def planes(values: np.ndarray) -> bytes:
+    """Small non-negative integers with their low and high bytes apart: the
+    shuffle's compression then removes the zeros."""
+    return np.ascontiguousarray(values.astype("<u4").view(np.uint8).reshape(-1, 4).T).tobytes()
+
+
+def unplaned(blob: bytes) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(blob, dtype=np.uint8).reshape(4, -1).T).view("<u4").reshape(-1)
+
+
+def packed_ids(values: np.ndarray) -> bytes:
+    """Ascending 64-bit ids as the first one and steps, in byte planes."""
+    steps = np.diff(values, prepend=np.int64(0)).astype("<i8")
+    return np.ascontiguousarray(steps.view(np.uint8).reshape(-1, 8).T).tobytes()
+
+
+def unpacked_ids(blob: bytes) -> np.ndarray:
+    steps = np.ascontiguousarray(np.frombuffer(blob, dtype=np.uint8).reshape(8, -1).T).view("<i8")
+    return np.cumsum(steps.reshape(-1))
 
 
 def blobs(table: pa.Table, name: str, dtype: type) -> np.ndarray:
