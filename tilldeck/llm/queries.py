@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilldeck.llm.decontaminate import benchmark_matches
 from tilldeck.llm.ngram_join import near_duplicate_classes
+from tilldeck.llm.packing import pack_documents
 from tilldeck.llm.substring import remove_repeats
+from tilldeck.llm.toxicity import THRESHOLD, fit, toxicity
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -27,6 +29,23 @@ def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_classes(_read(spark, folder, "documents"))
 
 
+def _held_out(id_column: str = "doc_id") -> Column:
+    """Rows kept for testing: crc32 of the id as text leaves 1 when divided by 3."""
+    return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
+
+
+def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    model = fit(docs, _read(spark, folder, "labels").where(~_held_out()))
+    return toxicity(docs, model).select(
+        "doc_id",
+        _held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
+        "hits",
+    )
+
+
 def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     out = benchmark_matches(_read(spark, folder, "documents"), _read(spark, folder, "benchmark"))
     return out.select(
@@ -39,10 +58,16 @@ def op9_decontaminate(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
+    return pack_documents(_read(spark, folder, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
+    "op10_packing": op10_packing,
 }
 
 _WORDS_1 = r"""
