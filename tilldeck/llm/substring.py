@@ -15,7 +15,20 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilldeck.llm.words import Words, batch_of, blobs, chunks, column, groups, slices, table_of
+from tilldeck.llm.words import (
+    Words,
+    batch_of,
+    blobs,
+    chunks,
+    column,
+    groups,
+    packed_ids,
+    planes,
+    slices,
+    table_of,
+    unpacked_ids,
+    unplaned,
+)
 
 WINDOW = 20
 _KEY = "__key"
@@ -24,16 +37,30 @@ _PRINT = "__print"
 _ANCHORS = "bucket int, seen binary, twice binary, block binary, id binary, print binary, at binary"
 _WINDOWS = "bucket int, hash binary, id binary, print binary, at binary"
 _REPEATS = "bucket int, id binary, print binary, at binary"
-_SPANS = f"{_KEY} long, {_PRINT} long, at binary"
+_SPANS = f"{_KEY} long, {_PRINT} int, at binary"
 
 
 def _documents(part: pa.RecordBatch) -> tuple[Words, np.ndarray, np.ndarray]:
     words = Words.of(column(part, _TEXT))
     ids = np.array(column(part, _KEY), dtype=np.int64)
-    prints = np.array(column(part, _PRINT), dtype=np.int64)
+    prints = np.array(column(part, _PRINT), dtype=np.int32)
     return words, ids, prints
 
 
+def _places(ids: np.ndarray, prints: np.ndarray, at: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Packed places; ``ids`` must ascend."""
+    return packed_ids(ids), prints.tobytes(), planes(at)
+
+
+def _placed(table: pa.Table) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    ids, at = column(table, "id"), column(table, "at")
+    return (
+        np.concatenate([unpacked_ids(b) for b in ids]),
+        blobs(table, "print", np.int32),
+        np.concatenate([unplaned(b) for b in at]).astype(np.int64),
+    )
+
+
 def _anchors(block: int, buckets: int):
     """Per chunk and bucket: keys of all rolling windows of block length (each
     once, those seen twice again), and the aligned blocks with their places."""
@@ -56,15 +83,14 @@ def _anchors(block: int, buckets: int):
                     continue
                 seen, times = np.unique(keys[cut], return_counts=True)
                 on = np.flatnonzero(aligned[cut]) + cuts[b]
+                on = on[np.argsort(ids[doc[on]], kind="stable")]
                 rows.append(
                     (
                         b,
                         seen.tobytes(),
                         seen[times > 1].tobytes(),
                         keys[on].tobytes(),
-                        ids[doc[on]].tobytes(),
-                        prints[doc[on]].tobytes(),
-                        (place[on] // block).astype(np.uint32).tobytes(),
+                        *_places(ids[doc[on]], prints[doc[on]], place[on] // block),
                     )
                 )
             if rows:
@@ -79,13 +105,8 @@ def _hit_blocks(table: pa.Table) -> pa.Table:
     seen = np.sort(blobs(table, "seen", np.uint32))
     again = np.union1d(seen[1:][seen[1:] == seen[:-1]], blobs(table, "twice", np.uint32))
     hit = np.isin(blobs(table, "block", np.uint32), again)
-    return pa.table(
-        {
-            _KEY: blobs(table, "id", np.int64)[hit],
-            _PRINT: blobs(table, "print", np.int64)[hit],
-            "block": blobs(table, "at", np.uint32)[hit].astype(np.int32),
-        }
-    )
+    ids, prints, at = _placed(table)
+    return pa.table({_KEY: ids[hit], _PRINT: prints[hit], "block": at[hit].astype(np.int32)})
 
 
 def _candidates(window: int, block: int, buckets: int):
@@ -110,7 +131,7 @@ def _candidates(window: int, block: int, buckets: int):
             for i, found in enumerate(column(part, "blocks")):
                 hit[base[i] + np.asarray(found, dtype=np.int64)] = True
             keep = hit[base[doc] + (place + block - 1) // block]
-            hashes, doc, place = hashes[keep], doc[keep], place[keep].astype(np.uint32)
+            hashes, doc, place = hashes[keep], doc[keep], place[keep]
             if not len(hashes):
                 continue
             order = np.lexsort((place, ids[doc], hashes))
@@ -123,33 +144,27 @@ def _candidates(window: int, block: int, buckets: int):
             late = ~tied
             if late.any():
                 own = np.flatnonzero(late)
+                own = own[np.argsort(ids[doc[own]], kind="stable")]
                 key = buckets + int(ids[0]) % buckets
-                rows.append((key, b"", ids[doc[own]].tobytes(), prints[doc[own]].tobytes(), place[own].tobytes()))
+                rows.append((key, b"", *_places(ids[doc[own]], prints[doc[own]], place[own])))
             hashes, doc, place = hashes[tied], doc[tied], place[tied]
+            order = np.lexsort((place, ids[doc]))
+            hashes, doc, place = hashes[order], doc[order], place[order]
             order, cuts = slices(hashes % np.uint64(buckets), buckets)
             for b in range(buckets):
                 cut = order[cuts[b] : cuts[b + 1]]
                 if len(cut):
-                    rows.append(
-                        (
-                            b,
-                            hashes[cut].tobytes(),
-                            ids[doc[cut]].tobytes(),
-                            prints[doc[cut]].tobytes(),
-                            place[cut].tobytes(),
-                        )
-                    )
+                    rows.append((b, hashes[cut].tobytes(), *_places(ids[doc[cut]], prints[doc[cut]], place[cut])))
             yield batch_of(rows, _WINDOWS)
 
     return run
 
 
-def _later_windows(buckets: int):
+def _later_windows(shares: int):
     """Windows that are not the first of their words, dealt out by document."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, prints = blobs(table, "id", np.int64), blobs(table, "print", np.int64)
-        places = blobs(table, "at", np.uint32)
+        ids, prints, places = _placed(table)
         hashes = blobs(table, "hash", np.uint64)
         if len(hashes):
             order = np.lexsort((places, ids, hashes))
@@ -157,13 +172,13 @@ def _later_windows(buckets: int):
             lead = order[np.flatnonzero(head)[np.cumsum(head) - 1]]
             late = order[(ids[order] != ids[lead]) | (places[order] != places[lead])]
             ids, prints, places = ids[late], prints[late], places[late]
-        order, cuts = slices(ids.view(np.uint64) % np.uint64(buckets), buckets)
+        order, cuts = slices(ids.view(np.uint64) % np.uint64(shares), shares)
         rows = []
-        for b in range(buckets):
+        for b in range(shares):
             cut = order[cuts[b] : cuts[b + 1]]
             if len(cut):
                 cut = cut[np.lexsort((places[cut], ids[cut]))]
-                rows.append((b, ids[cut].tobytes(), prints[cut].tobytes(), places[cut].tobytes()))
+                rows.append((b, *_places(ids[cut], prints[cut], places[cut])))
         return table_of(rows, _REPEATS)
 
     return run
@@ -173,8 +188,7 @@ def _spans(window: int):
     """Maximal repeats of each document as pairs of first and last-plus-one word."""
 
     def run(table: pa.Table) -> pa.Table:
-        ids, prints = blobs(table, "id", np.int64), blobs(table, "print", np.int64)
-        places = blobs(table, "at", np.uint32).astype(np.int64)
+        ids, prints, places = _placed(table)
         order = np.lexsort((places, prints, ids))
         ids, prints, places = ids[order], prints[order], places[order]
         if not len(ids):
@@ -247,18 +261,18 @@ def remove_repeats(
     block = window // 2
     buckets = groups(docs)
     carried = [c for c in dict.fromkeys((id_column, *carry))]
-    # xxhash64 gives null texts a value too, so the join below never misses.
     keyed = docs.select(
         F.col(id_column).cast("long").alias(_KEY),
         F.col(text_column).cast("binary").alias(_TEXT),
-        F.xxhash64(text_column).alias(_PRINT),
+        # Tells rows apart that repeat an id with another text.
+        F.hash(text_column).alias(_PRINT),
         F.struct(*carried).alias("carried"),
     )
     slim = keyed.select(_KEY, _TEXT, _PRINT).where(F.col(_KEY).isNotNull())
     hits = (
         slim.mapInArrow(_anchors(block, buckets), _ANCHORS)
         .groupBy("bucket")
-        .applyInArrow(_hit_blocks, f"{_KEY} long, {_PRINT} long, block int")
+        .applyInArrow(_hit_blocks, f"{_KEY} long, {_PRINT} int, block int")
         .groupBy(_KEY, _PRINT)
         .agg(F.collect_set("block").alias("blocks"))
     )
@@ -268,7 +282,7 @@ def remove_repeats(
         .select("carried", _KEY, _TEXT, _PRINT, "blocks")
         .mapInArrow(_candidates(window, block, buckets), _WINDOWS)
         .groupBy("bucket")
-        .applyInArrow(_later_windows(buckets), _REPEATS)
+        .applyInArrow(_later_windows(buckets // 2), _REPEATS)
         .groupBy("bucket")
         .applyInArrow(_spans(window), _SPANS)
     )
