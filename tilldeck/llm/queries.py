@@ -8,10 +8,12 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilldeck.llm.decontaminate import benchmark_matches
+from tilldeck.llm.embeddings import near_duplicate_vectors
 from tilldeck.llm.ngram_join import near_duplicate_classes
 from tilldeck.llm.packing import pack_documents
 from tilldeck.llm.substring import remove_repeats
 from tilldeck.llm.toxicity import THRESHOLD, fit, toxicity
+from tilldeck.llm.urls import url_verdicts
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -25,6 +27,14 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    return url_verdicts(_read(spark, folder, "pages")).drop("trust", "distrust")
+
+
+def op4_embedding_dedup(spark: SparkSession, folder: str) -> DataFrame:
+    return near_duplicate_vectors(_read(spark, folder, "embeddings"))
+
+
 def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_classes(_read(spark, folder, "documents"))
 
@@ -64,6 +74,8 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op3_url_filter": op3_url_filter,
+    "op4_embedding_dedup": op4_embedding_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
@@ -129,4 +141,19 @@ counts AS (SELECT doc_id, count(*) AS n_words FROM doc_words GROUP BY doc_id)
 SELECT d.doc_id, coalesce(n_words, 0) AS n_words, coalesce(n_hit, 0) AS n_hit, coalesce(n_items, 0) AS n_items,
        sha256(coalesce(names, '')) AS items_sha256, coalesce(n_hit, 0) > 0 AS contaminated
 FROM documents d LEFT JOIN counts USING (doc_id) LEFT JOIN covered USING (doc_id) LEFT JOIN named USING (doc_id)""",
+    "op4_embedding_dedup": """
+WITH RECURSIVE
+unit AS (
+  SELECT vec_id, list_transform(embedding, lambda x: x::DOUBLE) AS v FROM embeddings
+  WHERE embedding IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+links AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM unit a JOIN unit b ON a.vec_id <> b.vec_id AND len(a.v) = len(b.v)
+  WHERE list_cosine_similarity(a.v, b.v) >= 0.9),
+reach(a, b) AS (SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a),
+counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
+SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(low.b, e.vec_id)) AS component_id,
+       e.vec_id = least(e.vec_id, coalesce(low.b, e.vec_id)) AS kept
+FROM embeddings e LEFT JOIN counts ON e.vec_id = counts.a LEFT JOIN low ON e.vec_id = low.a""",
 }
