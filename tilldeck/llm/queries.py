@@ -9,11 +9,14 @@ from pyspark.sql import functions as F
 
 from tilldeck.llm.decontaminate import benchmark_matches
 from tilldeck.llm.embeddings import near_duplicate_vectors
+from tilldeck.llm.flat_tokens import document_token_counts, write_flat_tokens
+from tilldeck.llm.html_text import extract_main_text
 from tilldeck.llm.ngram_join import near_duplicate_classes
 from tilldeck.llm.packing import pack_documents
 from tilldeck.llm.substring import remove_repeats
 from tilldeck.llm.toxicity import THRESHOLD, fit, toxicity
 from tilldeck.llm.urls import url_verdicts
+from tilldeck.session import scratch_dir
 
 
 def _read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -27,6 +30,11 @@ def op1_substring_dedup(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op2_html_text(spark: SparkSession, folder: str) -> DataFrame:
+    out = extract_main_text(_read(spark, folder, "pages"))
+    return out.withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op3_url_filter(spark: SparkSession, folder: str) -> DataFrame:
     return url_verdicts(_read(spark, folder, "pages")).drop("trust", "distrust")
 
@@ -44,6 +52,12 @@ def _held_out(id_column: str = "doc_id") -> Column:
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "flat-tokens")
+    write_flat_tokens(_read(spark, folder, "documents"), path)
+    return document_token_counts(spark, path)
+
+
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
     model = fit(docs, _read(spark, folder, "labels").where(~_held_out()))
@@ -74,9 +88,11 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
+    "op2_html_text": op2_html_text,
     "op3_url_filter": op3_url_filter,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
