@@ -14,6 +14,7 @@ from tilldeck.llm.html_text import extract_main_text
 from tilldeck.llm.ngram_join import near_duplicate_classes
 from tilldeck.llm.packing import pack_documents
 from tilldeck.llm.substring import remove_repeats
+from tilldeck.llm.token_files import read_token_files, write_token_files
 from tilldeck.llm.toxicity import THRESHOLD, fit, toxicity
 from tilldeck.llm.urls import url_verdicts
 from tilldeck.session import scratch_dir
@@ -47,11 +48,17 @@ def op5_ngram_jaccard(spark: SparkSession, folder: str) -> DataFrame:
     return near_duplicate_classes(_read(spark, folder, "documents"))
 
 
-def _held_out(id_column: str = "doc_id") -> Column:
+def held_out(id_column: str = "doc_id") -> Column:
     """Rows kept for testing: crc32 of the id as text leaves 1 when divided by 3."""
     return F.coalesce(F.crc32(F.col(id_column).cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
+def op6_token_files(spark: SparkSession, folder: str) -> DataFrame:
+    path = scratch_dir(spark, "token-files")
+    write_token_files(_read(spark, folder, "documents"), path)
+    return read_token_files(spark, path)
+
+
 def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
     path = scratch_dir(spark, "flat-tokens")
     write_flat_tokens(_read(spark, folder, "documents"), path)
@@ -60,10 +67,10 @@ def op7_token_counts(spark: SparkSession, folder: str) -> DataFrame:
 
 def op8_toxicity(spark: SparkSession, folder: str) -> DataFrame:
     docs = _read(spark, folder, "documents")
-    model = fit(docs, _read(spark, folder, "labels").where(~_held_out()))
+    model = fit(docs, _read(spark, folder, "labels").where(~held_out()))
     return toxicity(docs, model).select(
         "doc_id",
-        _held_out().alias("held_out"),
+        held_out().alias("held_out"),
         "score",
         (F.col("score") >= THRESHOLD).cast("int").alias("predicted"),
         "hits",
@@ -92,6 +99,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_embedding_dedup": op4_embedding_dedup,
     "op5_ngram_jaccard": op5_ngram_jaccard,
+    "op6_token_files": op6_token_files,
     "op7_token_counts": op7_token_counts,
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,

@@ -18,7 +18,7 @@ from tokenizers import Tokenizer
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 # Pieces remembered, and the length beyond which a piece is not worth it.
-REMEMBERED = 400_000
+REMEMBERED = 800_000
 _LONGEST = 64
 
 
@@ -42,10 +42,11 @@ class Encoder:
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         pieces = [_PIECE.findall(text or "") for text in texts]
-        new = set().union(*pieces).difference(self.known)
+        here = set().union(*pieces)
+        new = here.difference(self.known)
         if len(self.known) + len(new) > REMEMBERED:
-            self.known.clear()
-            new = set().union(*pieces)
+            # What this chunk uses stays; rare pieces go.
+            self.known = {piece: self.known[piece] for piece in here.intersection(self.known)}
         encoded = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)
         own = {
             piece: np.array(found.ids, dtype="<u4").tobytes() for piece, found in zip(new, encoded, strict=True)
