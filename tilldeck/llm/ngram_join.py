@@ -157,13 +157,18 @@ class _Links:
 
     def __init__(self, count: int) -> None:
         self.root = np.arange(count)
-        self.pairs: list[tuple[int, int]] = []
 
     def join(self, query: int, found: np.ndarray) -> None:
         for other in found.tolist():
             if self.root[other] != self.root[query]:
                 self.root[self.root == self.root[other]] = self.root[query]
-                self.pairs.append((query, other))
+
+    def stars(self, nodes: list[int]) -> list[tuple[int, int]]:
+        """Each node with the smallest one joined with it."""
+        low: dict[int, int] = {}
+        for node, root in zip(nodes, self.root.tolist(), strict=True):
+            low[root] = min(node, low.get(root, node))
+        return [(n, low[r]) for n, r in zip(nodes, self.root.tolist(), strict=True) if n != low[r]]
 
 
 def divide_skip(
@@ -222,7 +227,7 @@ def _within(percent: int):
         nodes, sizes, keys = _arrays(table)
         links = _Links(len(nodes))
         divide_skip(keys, sizes, list(zip(range(len(nodes)), keys, sizes.tolist(), strict=True)), links, percent)
-        return table_of([(nodes[i], nodes[j]) for i, j in links.pairs], _LINKS)
+        return table_of(links.stars(nodes), _LINKS)
 
     return run
 
@@ -243,7 +248,7 @@ def _across(percent: int):
         queries = [(len(nodes) + i, k, int(s)) for i, (k, s) in enumerate(zip(more_keys, more_sizes, strict=True))]
         none = np.empty(0, dtype=np.uint64)
         divide_skip([*keys, *[none] * len(more)], np.concatenate((sizes, more_sizes)), queries, links, percent)
-        return table_of([(every[i], every[j]) for i, j in links.pairs], _LINKS)
+        return table_of(links.stars(every), _LINKS)
 
     return run
 
@@ -299,13 +304,13 @@ def _search(sets: DataFrame, percent: int, tile: int, pivots: int) -> DataFrame:
         cut.join(blocks, "cell")
         .withColumn("tile", F.col("own"))
         .withColumn("block", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1)))
-        .select(*columns)
+        .select(*(F.col(c).alias(c) for c in columns))
     )
     asked = (
         left.join(blocks, "cell")
         .withColumn("block", F.pmod(F.xxhash64("node", F.lit(2)), F.col("blocks")).cast("int"))
         .withColumn("tile", F.explode(every))
-        .select(*columns)
+        .select(*(F.col(c).alias(c) for c in columns))
     )
     keys = ("cell", "tile", "block")
     second = tiles.groupBy(*keys).cogroup(asked.groupBy(*keys)).applyInArrow(_across(percent), _LINKS)
