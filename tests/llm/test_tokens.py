@@ -14,7 +14,7 @@ from tokenizers import Tokenizer
 from tilldeck.llm.coder import decode_blocks, encode_blocks, split_block
 from tilldeck.llm.flat_tokens import document_token_counts, write_flat_tokens
 from tilldeck.llm.packing import pack_documents
-from tilldeck.llm.token_files import read_frames, read_token_files, write_token_files
+from tilldeck.llm.token_files import _frame, read_frames, read_token_files, write_token_files
 from tilldeck.llm.tokens import WHITE_SPACE, Encoder, tokenizer_path
 from tilldeck.session import scratch_dir
 
@@ -87,8 +87,13 @@ def test_token_files(spark, documents, texts):
 
 
 def test_damaged_token_file():
-    with pytest.raises(ValueError, match="damaged"):
-        list(read_frames(b"TKF1" + bytes(40)))
+    frame = _frame([4, None], [bytes(8), bytes(4)], 64)
+    assert [(n, s.tolist(), i.tolist()) for n, s, i in read_frames(frame + b"\n")] == [([4, None], [2, 1], [0, 0, 0])]
+    for broken in (b"x" + frame[1:], frame[:30] + b"?" + frame[31:]):
+        with pytest.raises(ValueError, match="damaged"):
+            list(read_frames(broken + b"\n"))
+    with pytest.raises(ValueError, match="length"):
+        list(read_frames(frame))
 
 
 @pytest.mark.parametrize("block_bytes", [1 << 20, 64, 2])
