@@ -92,7 +92,7 @@ def test_subset_and_unknown_source(landed, properties):
 
 @pytest.mark.parametrize("limit", [0, 1_000_000])
 def test_broadcast_flag_changes_no_result(monkeypatch, rows, landed, properties, detail, limit):
-    monkeypatch.setattr(B, "BROADCAST_ROWS", limit)
+    monkeypatch.setattr(B, "BROADCAST_BYTES", limit)
     flagged = B.behavior_detail(landed, properties, broadcast_products=True)
     assert rows(flagged, "event_id", "category_id", "dt") == rows(detail, "event_id", "category_id", "dt")
 
@@ -160,15 +160,16 @@ def test_sku_and_category_days(detail):
 
 def test_sampling(spark):
     df = spark.range(2000)
-    kept = landing.sample_by_key(df, "id", 0.25)
+    kept = landing.sample_rows(df, 0.25)
     assert 400 < kept.count() < 600
     assert sorted(r.id for r in kept.collect()) == sorted(
-        r.id for r in landing.sample_by_key(df.repartition(7), "id", 0.25).collect()
+        r.id for r in landing.sample_rows(df.repartition(7), 0.25).collect()
     )
-    assert landing.sample_rows(df, 0.0).count() == 2000 == landing.sample_by_key(df, "id", 1.0).count()
-    assert 300 < landing.sample_rows(df, 0.25).count() < 700
+    assert kept.join(landing.sample_rows(df, 0.25, seed=1), "id").count() < kept.count()
+    assert landing.sample_rows(df, 0.0).count() == 2000 == landing.sample_rows(df, 1.0).count()
+    assert 0 < landing.sample_rows(spark.range(200_000), 0.00005).count() < 40
     assert landing.limit_rows(df, 0).count() == 2000
-    assert [r.id for r in landing.limit_rows(df, 3, ["id"]).collect()] == [0, 1, 2]
+    assert [r.id for r in landing.limit_rows(df, 3).collect()] == [0, 1, 2]
 
 
 def test_topn(detail):

@@ -7,13 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilldeck.functions.frames import (
-    frequent_keys,
     in_date_range,
     keep_one,
     money_as_double,
     ranked,
     reported,
-    spread_join,
 )
 
 
@@ -60,39 +58,6 @@ def test_date_range_reaches_an_unpartitioned_scan(spark, tmp_path):
     assert "GreaterThanOrEqual(ts" in plan(found) and "LessThan(ts" in plan(found)
 
 
-@pytest.mark.parametrize("how", ["inner", "left"])
-@pytest.mark.parametrize("hot_rows", [1, 10, 10_000])
-def test_spread_join_equals_plain_join(spark, rows, how, hot_rows):
-    """A third of all rows on one key, unmatched keys and null keys."""
-    left = spark.range(300).select(
-        "id", F.when(F.col("id") % 3 == 0, 0).when(F.col("id") % 50 == 1, None).otherwise(F.col("id") % 40).alias("k")
-    )
-    right = spark.range(35).select(F.col("id").cast("int").alias("k"), (F.col("id") * 10).alias("v"))
-    hot = frequent_keys(left, ["k"], hot_rows)
-    got = spread_join(left, right, ["k"], how, hot, F.xxhash64("id"))
-    assert rows(got, "id", "k", "v") == rows(left.join(right, "k", how), "id", "k", "v")
-
-
-def test_spread_join_deals_a_hot_key_out(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    spark.conf.set("spark.sql.adaptive.enabled", "false")
-    try:
-        left = spark.range(4000).select("id", F.lit(1).alias("k"))
-        right = spark.createDataFrame([(1, "one")], "k int, v string")
-        hot = frequent_keys(left, ["k"], 100)
-        joined = spread_join(left, right, ["k"], "inner", hot, F.xxhash64("id"))
-        sizes = [r[1] for r in joined.groupBy(F.spark_partition_id()).count().collect()]
-    finally:
-        spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
-        spark.conf.set("spark.sql.adaptive.enabled", "true")
-    assert sum(sizes) == 4000 and len(sizes) == 4 and max(sizes) < 2000
-
-
-def test_frequent_keys_counts(spark):
-    df = spark.range(100).select(F.when(F.col("id") < 60, "hot").otherwise(F.col("id").cast("string")).alias("k"))
-    assert [tuple(r) for r in frequent_keys(df, ["k"], 20).collect()] == [("hot", 3)]
-
-
 def test_reported_form(spark):
     df = spark.createDataFrame(
         [(Decimal("1.10"), dt.datetime(2024, 1, 2, 3, 4, 5, 600000), dt.date(2024, 1, 2), 7)],

@@ -8,9 +8,10 @@ import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from tilldeck.oracle import ORACLE
+from tilldeck.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-QUERIES, ORACLE = entry.queries(), entry.oracle_sql()
 ROWS_ONLY = {"dataset_profile", "dashboard_payload"}
 # Minutes of small files; test_builds covers them, oracle_check.py compares them.
 BUILDS = {"retail_layers_build", "behavior_layers_build"}
@@ -87,6 +88,26 @@ def test_user_daily_stacks_without_another_shuffle(plan):
     assert "Exchange" not in text[: text.index("Union")]
 
 
-def test_behavior_day_reads_the_stream_once_and_copies_no_row(plan):
+def test_behavior_day_reads_each_source_once_and_copies_no_row(plan):
     text = plan("behavior_daily")
-    assert text.count("FileScan") == 1 and "Expand" not in text
+    assert text.count("FileScan") == 5 and "Expand" not in text
+
+
+@pytest.mark.parametrize(
+    "name",
+    ["product_daily", "shop_daily", "category_daily", "trade_daily", "behavior_event_type_daily", "behavior_category_daily"],
+)
+def test_distinct_counts_copy_no_row(plan, name):
+    assert "Expand" not in plan(name)
+
+
+def test_a_day_filter_reaches_the_orders_below_the_line_join(spark):
+    day = QUERIES["trade_order_detail"](spark, FOLDER).where("dt = '1995-01-01'")
+    text = day._jdf.queryExecution().optimizedPlan().toString()
+    join = text.index("Join Inner")
+    assert re.search(r"Filter [^\n]*1995-01-01", text[join:])
+    assert text.count("lineitem") <= 1 and "Filter" not in text[:join].split("Join")[0] or "1995-01-01" not in text[:join]
+
+
+def test_the_entry_adds_the_training_data_queries_only_if_they_exist():
+    assert set(entry.queries()) >= set(QUERIES) and set(entry.oracle_sql()) >= set(ORACLE)

@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from decimal import Decimal
+
 import pytest
 from pyspark.sql import functions as F
 from tables import landed
@@ -29,15 +31,42 @@ def by_key(df, *keys):
     return got
 
 
-def test_order_fact_has_two_equal_forms(spark, rows, shop):
-    parts = S.order_fact_from_parts(
-        facts.clean_orders(landed(spark, "orders")), facts.clean_items(landed(spark, "order_items"))
-    )
-    columns = sorted(shop.orders.columns)
-    assert rows(shop.orders, *columns) == rows(parts, *columns)
+def test_order_fact(shop):
     assert by_key(shop.orders, "order_id")[("O1",)].item_quantity == 3
 
 
+def test_orders_with_and_without_a_shop_count_once(spark):
+    """Order o1 names a shop; o2 does not, and its lines name two."""
+    columns = (
+        "order_id string, user_id string, shop_id string, order_time string, order_status string, dt string, "
+        "total_amount decimal(18,2), discount_amount decimal(18,2), payable_amount decimal(18,2), quantity int"
+    )
+
+    def line(order, shop, amount):
+        return (order, "u", shop, "2025-01-01", "paid", "2025-01-01", Decimal(amount), Decimal(0), Decimal(amount), 1)
+
+    lines = spark.createDataFrame([line("o1", "s1", 10), line("o2", "s1", 100), line("o2", "s2", 100)], columns)
+    day = S.order_day(S.order_fact(lines)).first()
+    assert (day.order_count, day.order_user_count, day.gmv) == (2, 1, 110)
+
+
+def test_two_payers_of_one_order_count_twice(spark):
+    orders = spark.createDataFrame(
+        [("o1", "u1", "2025-01-01", Decimal(50)), ("o2", None, "2025-01-01", Decimal(5))],
+        "order_id string, user_id string, dt string, payable_amount decimal(18,2)",
+    )
+    payments = spark.createDataFrame(
+        [("o1", "u1", "2025-01-02", Decimal(20), "success"), ("o1", "u2", "2025-01-03", Decimal(30), "success")],
+        "order_id string, user_id string, dt string, pay_amount decimal(18,2), pay_status string",
+    )
+    refunds = spark.createDataFrame([], "order_id string, refund_status string, refund_amount decimal(18,2)")
+    row = S.trade_by_order_date(orders, payments, refunds).first()
+    assert (row.order_count, row.order_user_count, row.pay_order_count, row.pay_user_count) == (2, 1, 1, 2)
+    assert (row.gmv, row.pay_amount, row.refund_order_count, row.refund_amount) == (55, 50, 0, None)
+    days = {r.dt: (r.pay_order_count, r.pay_user_count) for r in S.pay_day(payments).collect()}
+    assert days == {"2025-01-02": (1, 1), "2025-01-03": (1, 1)}
+
+
 def test_trade_daily(shop):
     got = by_key(S.trade_daily(shop.orders, shop.payments, shop.refunds), "dt")
     # 2025-01-03 has a payment but no order, so it is absent.

@@ -2,21 +2,13 @@
 
 from __future__ import annotations
 
-import operator
 from collections.abc import Sequence
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 _RANK = "__rank"
-_PARTS = "__parts"
-_SALT = "__salt"
-# A key with more rows than one task should hold is split into parts.
-HOT_ROWS = 5_000_000
-MAX_HOT_KEYS = 10_000
-MAX_PARTS = 1_000
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: int, rank: str) -> DataFrame:
@@ -58,64 +50,6 @@ def in_date_range(
     return df
 
 
-def frequent_keys(df: DataFrame, keys: Sequence[str], hot_rows: int = HOT_ROWS) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and how many parts to split each in.
-
-    Counting combines before its shuffle. At most ``MAX_HOT_KEYS`` rows, the
-    most frequent ones, so the result may be broadcast; the join stays exact
-    for a key that is not listed.
-    """
-    return (
-        df.groupBy(*keys)
-        .agg(F.count("*").alias("rows"))
-        .where(F.col("rows") > hot_rows)
-        .orderBy(F.col("rows").desc(), *keys)
-        .limit(MAX_HOT_KEYS)
-        .select(*keys, F.least(F.lit(MAX_PARTS), F.ceil(F.col("rows") / hot_rows)).cast("bigint").alias(_PARTS))
-    )
-
-
-def spread_join(
-    left: DataFrame, right: DataFrame, keys: Sequence[str], how: str, hot: DataFrame, spread: Column
-) -> DataFrame:
-    """Inner or left equi-join in which no key has to fit into one task.
-
-    Rows of a hot key on the left are dealt out by ``spread``; its rows on the
-    right, which should be few, are repeated for every part. Left rows with a
-    null key match nothing and are dealt out as well. ``spread`` must give a
-    re-run task the same values, so it may depend on a row's content and its
-    partition but not on its place there.
-    """
-    hot = F.broadcast(hot)
-    no_key = reduce(operator.or_, (F.col(key).isNull() for key in keys))
-    part = F.when(no_key, F.pmod(spread, F.lit(MAX_PARTS))).otherwise(
-        F.coalesce(F.pmod(spread, F.col(_PARTS)), F.lit(0))
-    )
-    parts = F.sequence(F.lit(0).cast("bigint"), F.coalesce(F.col(_PARTS), F.lit(1).cast("bigint")) - 1)
-    dealt = left.join(hot, list(keys), "left").withColumn(_SALT, part.cast("bigint")).drop(_PARTS)
-    repeated = right.join(hot, list(keys), "left").withColumn(_SALT, F.explode(parts)).drop(_PARTS)
-    return dealt.join(repeated, [*keys, _SALT], how).drop(_SALT)
-
-
-def spread_copies(df: DataFrame) -> Column:
-    """A ``spread`` for rows that may be exact copies of each other: copies
-    from different tasks go to different parts."""
-    return F.xxhash64(*df.columns) + F.spark_partition_id()
-
-
-def as_time(df: DataFrame, column: str) -> Column:
-    """A time column as a timestamp; malformed text becomes null."""
-    if isinstance(df.schema[column].dataType, T.StringType):
-        return F.try_to_timestamp(F.col(column))
-    return F.col(column)
-
-
-def typed(df: DataFrame, column: str, target_type: str) -> Column:
-    from tilldeck.functions.expressions import lenient_cast
-
-    return lenient_cast(F.col(column), df.schema[column].dataType.simpleString(), target_type).alias(column)
-
-
 def money_as_double(df: DataFrame) -> DataFrame:
     """Finished amounts as doubles; sums before this point stay exact decimals."""
     decimals = {f.name for f in df.schema if isinstance(f.dataType, T.DecimalType)}

@@ -2,14 +2,15 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Mapping, Sequence
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.functions import expressions as E
-from tilldeck.functions.frames import as_time, frequent_keys, keep_one, spread_join
+from tilldeck.functions.casts import as_time
+from tilldeck.functions.frames import keep_one
 from tilldeck.operators.landing import BEHAVIOR_DATASET, BEHAVIOR_SOURCES, BehaviorSource
 from tilldeck.operators.metrics import daily_top
 
@@ -17,8 +18,10 @@ from tilldeck.operators.metrics import daily_top
 STEPS = ("view", "search", "cart", "remove_cart", "pay")
 SKU_STEPS = ("cart", "remove_cart", "pay")
 TOP = 50
-# A product row holds two numbers, a price and a short name: about 100 MB.
-BROADCAST_ROWS = 1_000_000
+# Size of the product table up to which the hash join may be asked for.
+BROADCAST_BYTES = 64 << 20
+# Bytes of a product row besides its name: three numbers and the row itself.
+_ROW_BYTES = 48
 _PAYLOADS = {"sku": "bigint", "url": "bigint", "query": "string"}
 
 
@@ -63,7 +66,7 @@ def behavior_detail(
     ``landed`` maps source names to landed tables. Only sources that carry a
     sku take part in the product join; the others, most of the volume, are not
     shuffled. ``broadcast_products`` asks for the hash join, granted up to
-    ``BROADCAST_ROWS`` counted rows; otherwise Spark decides by measured size.
+    ``BROADCAST_BYTES`` measured bytes; otherwise Spark decides by measured size.
     """
     frames = {name: _event_columns(df, BEHAVIOR_SOURCES[name]) for name, df in landed.items()}
     with_sku = [df for name, df in frames.items() if BEHAVIOR_SOURCES[name].value == "sku"]
@@ -123,12 +126,12 @@ def identified(events: DataFrame, deduplicate: bool = False) -> DataFrame:
 
 
 def _with_properties(events: DataFrame, products: DataFrame, broadcast_products: bool) -> DataFrame:
-    """Left join on sku in which neither a hot sku nor the rows without one
-    pile up in one task."""
-    if broadcast_products and products.select("sku").count() <= BROADCAST_ROWS:
-        return events.join(F.broadcast(products), "sku", "left")
-    hot = frequent_keys(events.where(F.col("sku").isNotNull()), ["sku"])
-    return spread_join(events, products, ["sku"], "left", hot, F.xxhash64("client_id", "event_time"))
+    if broadcast_products:
+        width = F.coalesce(F.octet_length("product_name"), F.lit(0)) + _ROW_BYTES
+        size = products.agg(F.coalesce(F.sum(width), F.lit(0))).first()[0]
+        if size <= BROADCAST_BYTES:
+            products = F.broadcast(products)
+    return events.join(products, "sku", "left")
 
 
 # -- daily summaries ------------------------------------------------------------------
@@ -144,10 +147,39 @@ def _distinct(column: str, approx: bool) -> Column:
 
 def behavior_event_type_daily(events: DataFrame, approx: bool = False) -> DataFrame:
     """Events, users and skus per day and event type."""
+    if not approx:
+        return _users_and_skus(events, ["event_type"], [])
     return events.groupBy("dt", "event_type").agg(
         F.count("*").alias("event_count"),
-        _distinct("client_id", approx).alias("active_user_count"),
-        _distinct("sku", approx).alias("active_sku_count"),
+        F.approx_count_distinct("client_id").alias("active_user_count"),
+        F.approx_count_distinct("sku").alias("active_sku_count"),
+    )
+
+
+def _users_and_skus(events: DataFrame, keys: list[str], steps: Sequence[str]) -> DataFrame:
+    """Events in all and of each step, users and skus per day and ``keys``.
+
+    Events are counted per user and sku first. Each of those rows then stands
+    once for its user and once for its sku, so both are counted by one more
+    grouping and no event is copied.
+    """
+    counts = ["event_count", *(f"{step}_event_count" for step in steps)]
+    pairs = events.groupBy("dt", *keys, "client_id", "sku").agg(
+        F.count("*").alias("event_count"), *(F.count_if(_is(step)).alias(f"{step}_event_count") for step in steps)
+    )
+    nothing = F.lit(None)
+    by_user = F.struct(F.col("client_id").alias("user"), nothing.cast("bigint").alias("sku"), *counts)
+    by_sku = F.struct(nothing.cast("bigint").alias("user"), F.col("sku"), *(F.lit(0).cast("bigint").alias(c) for c in counts))
+    sides = pairs.select("dt", *keys, F.explode(F.array(by_user, by_sku)).alias("side")).select("dt", *keys, "side.*")
+    return (
+        sides.groupBy("dt", *keys, "user", "sku")
+        .agg(*(F.sum(c).alias(c) for c in counts))
+        .groupBy("dt", *keys)
+        .agg(
+            *(F.sum(c).alias(c) for c in counts),
+            F.count("user").alias("active_user_count"),
+            F.count("sku").alias("active_sku_count"),
+        )
     )
 
 
@@ -215,14 +247,13 @@ def behavior_product_daily(events: DataFrame, approx: bool = False) -> DataFrame
 
 
 def behavior_category_daily(events: DataFrame, approx: bool = False) -> DataFrame:
-    return (
-        events.where(F.col("sku").isNotNull())
-        .groupBy("dt", "category_id")
-        .agg(
-            *_step_counts(),
-            _distinct("client_id", approx).alias("active_user_count"),
-            _distinct("sku", approx).alias("active_sku_count"),
-        )
+    with_sku = events.where(F.col("sku").isNotNull())
+    if not approx:
+        return _users_and_skus(with_sku, ["category_id"], SKU_STEPS)
+    return with_sku.groupBy("dt", "category_id").agg(
+        *_step_counts(),
+        F.approx_count_distinct("client_id").alias("active_user_count"),
+        F.approx_count_distinct("sku").alias("active_sku_count"),
     )
 
 

@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilldeck.functions.expressions import age_group
-from tilldeck.functions.frames import as_time, keep_one, typed
+from tilldeck.functions.casts import as_time, typed
+from tilldeck.functions.frames import keep_one
 
 
 def _latest_first(df: DataFrame) -> list:

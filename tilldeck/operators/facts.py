@@ -1,7 +1,8 @@
 """Landed retail tables to cleaned fact details.
 
 Filters run before de-duplication: they reach the scan, and of several copies
-of a key a valid one is kept.
+of a key a valid one is kept. Joins are plain equi-joins: the runtime splits a
+partition that a hot key, or the rows without one, make too large.
 """
 
 from __future__ import annotations
@@ -9,8 +10,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from tilldeck.functions.casts import as_time, typed
 from tilldeck.functions.expressions import UNKNOWN_CATEGORY, VALID_EVENT_TYPES, clean_text
-from tilldeck.functions.frames import as_time, frequent_keys, keep_one, spread_copies, spread_join, typed
+from tilldeck.functions.frames import keep_one
 
 _LANDING_COLUMNS = ("dt", "ods_load_time", "source_table")
 
@@ -58,15 +60,15 @@ def product_attributes(products: DataFrame) -> DataFrame:
     return keep_one(products.select("product_id", "category_id", "category_name", "brand"), ["product_id"])
 
 
-def _joined_lines(items: DataFrame, orders: DataFrame, hot: DataFrame, spread: Column) -> DataFrame:
-    """Lines with their order's header columns and day.
+def raw_order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
+    """Lines as they are given with their order's header columns and day.
 
     The shop is the order's; a line may bring its own where orders have none.
     """
     own_shop = "shop_id" in items.columns
     if own_shop:
         orders = orders.withColumnRenamed("shop_id", "order_shop_id")
-    lines = spread_join(items, orders, ["order_id"], "inner", hot, spread)
+    lines = items.join(orders, "order_id")
     if own_shop:
         shop = F.coalesce("order_shop_id", "shop_id")
         lines = lines.withColumn("shop_id", shop).drop("order_shop_id")
@@ -75,28 +77,15 @@ def _joined_lines(items: DataFrame, orders: DataFrame, hot: DataFrame, spread: C
 
 def order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Cleaned lines of cleaned orders, without product columns."""
-    return _joined_lines(
-        clean_items(items),
-        clean_orders(orders),
-        frequent_keys(items, ["order_id"]),
-        F.xxhash64("order_item_id"),
-    )
-
-
-def raw_order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
-    """Lines and headers as they arrive, copies included."""
-    return _joined_lines(items, orders, frequent_keys(items, ["order_id"]), spread_copies(items))
+    return raw_order_lines(clean_items(items), clean_orders(orders))
 
 
 def with_order(rows: DataFrame, orders: DataFrame) -> DataFrame:
     """Columns known once per order, joined to rows as they arrive."""
-    hot = frequent_keys(rows, ["order_id"])
-    return spread_join(rows, orders, ["order_id"], "left", hot, spread_copies(rows))
+    return rows.join(orders, "order_id", "left")
 
 
-def _with_product(
-    lines: DataFrame, products: DataFrame, hot: DataFrame, category_name: Column
-) -> DataFrame:
+def _with_product(lines: DataFrame, products: DataFrame, category_name: Column) -> DataFrame:
     """Product columns by left join. Spark broadcasts the products only when
     their measured size allows it."""
     products = products.withColumnRenamed("category_id", "product_category_id")
@@ -104,7 +93,7 @@ def _with_product(
     if "category_id" in lines.columns:
         category_id = F.coalesce("category_id", category_id)
     sku = F.col("sku_id") if "sku_id" in lines.columns else F.lit(None).cast("string")
-    return spread_join(lines, products, ["product_id"], "left", hot, spread_copies(lines)).select(
+    return lines.join(products, "product_id", "left").select(
         "order_item_id",
         "order_id",
         "user_id",
@@ -133,7 +122,6 @@ def trade_order_detail(orders: DataFrame, items: DataFrame, products: DataFrame)
     return _with_product(
         order_lines(items, orders),
         product_attributes(products),
-        frequent_keys(items, ["product_id"]),
         F.coalesce("category_name", F.lit(UNKNOWN_CATEGORY)),
     )
 
@@ -159,7 +147,6 @@ def trade_order_detail_sql(orders: DataFrame, items: DataFrame, products: DataFr
     return _with_product(
         raw_order_lines(lines, headers),
         products.select("product_id", "category_id", "category_name", "brand"),
-        frequent_keys(lines, ["product_id"]),
         F.col("category_name"),
     )
 
@@ -175,14 +162,7 @@ def payment_detail(payments: DataFrame, orders: DataFrame) -> DataFrame:
         ),
         ["order_id"],
     )
-    return spread_join(
-        clean_payments(payments),
-        headers,
-        ["order_id"],
-        "left",
-        frequent_keys(payments, ["order_id"]),
-        F.xxhash64("payment_id"),
-    ).select(
+    return clean_payments(payments).join(headers, "order_id", "left").select(
         "payment_id",
         "order_id",
         "user_id",
@@ -244,14 +224,7 @@ def paid_orders(payments: DataFrame) -> DataFrame:
 
 def refund_detail(refunds: DataFrame, payments: DataFrame) -> DataFrame:
     """Refunds with the payment they reverse; grain: refund."""
-    return spread_join(
-        clean_refunds(refunds),
-        paid_orders(payments),
-        ["order_id"],
-        "left",
-        frequent_keys(refunds, ["order_id"]),
-        F.xxhash64("refund_id"),
-    ).select(
+    return clean_refunds(refunds).join(paid_orders(payments), "order_id", "left").select(
         "refund_id",
         "order_id",
         "user_id",

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from collections.abc import Sequence
+
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tilldeck.functions.expressions import day_of
-from tilldeck.functions.frames import as_time, typed
+from tilldeck.functions.casts import as_time, typed
 
 # Fixed value: tag of the public behaviour dataset, part of every event id.
 BEHAVIOR_DATASET = "synerise_recsys_2025"
@@ -95,21 +97,23 @@ def land_product_properties(df: DataFrame, load_dt: str) -> DataFrame:
     )
 
 
-def sample_rows(df: DataFrame, fraction: float, seed: int = 20260511) -> DataFrame:
-    """Bernoulli sample; a fraction outside (0, 1) keeps everything."""
-    return df.sample(False, fraction, seed) if 0 < fraction < 1 else df
-
+def sample_rows(df: DataFrame, fraction: float, seed: int = 20260511, by: Sequence[str] | None = None) -> DataFrame:
+    """Seeded Bernoulli sample; a fraction outside (0, 1) keeps everything.
 
-def sample_by_key(df: DataFrame, key: str, fraction: float) -> DataFrame:
-    """Sample that depends on the key alone, whatever the partitioning."""
+    A hash of the seed and the columns ``by`` (default: all) decides, so the
+    sample is the same however the rows are partitioned. Equal rows are kept or
+    dropped together.
+    """
     if not 0 < fraction < 1:
         return df
-    bucket = F.conv(F.substring(F.sha2(F.col(key).cast("string"), 256), 1, 8), 16, 10).cast("bigint") % 10000
-    return df.where(bucket < int(fraction * 10000))
+    values = (F.coalesce(F.col(c).cast("string"), F.lit("")) for c in by or df.columns)
+    digest = F.sha2(F.concat_ws("|", F.lit(str(seed)), *values), 256)
+    return df.where(F.conv(F.substring(digest, 1, 8), 16, 10).cast("bigint") < round(fraction * (1 << 32)))
 
 
-def limit_rows(df: DataFrame, limit: int, order: list[str] | None = None) -> DataFrame:
-    """At most ``limit`` rows for development runs; 0 keeps everything."""
+def limit_rows(df: DataFrame, limit: int) -> DataFrame:
+    """The first ``limit`` rows in the order of all columns, through one task,
+    for development runs; 0 keeps everything."""
     if limit <= 0:
         return df
-    return (df.orderBy(*order) if order else df).limit(limit)
+    return df.orderBy(*df.columns).limit(limit)

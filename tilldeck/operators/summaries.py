@@ -13,8 +13,7 @@ from pyspark.sql import functions as F
 
 from tilldeck.functions.expressions import safe_div
 
-ORDER_HEADER = ("order_id", "user_id", "shop_id", "order_time", "order_status", "dt")
-LINE_SHOP_HEADER = tuple(c for c in ORDER_HEADER if c != "shop_id")
+ORDER_HEADER = ("user_id", "order_time", "order_status", "dt", "total_amount", "discount_amount", "payable_amount")
 RETENTION_OFFSETS = (1, 7)
 
 
@@ -26,31 +25,14 @@ def approved(refunds: DataFrame) -> DataFrame:
     return refunds.where(F.col("refund_status") == "approved")
 
 
-def order_fact(detail: DataFrame, header: Sequence[str] = ORDER_HEADER) -> DataFrame:
+def order_fact(lines: DataFrame) -> DataFrame:
     """Order lines collapsed to one row per order.
 
-    Header amounts repeat on every line of an order, so any of them will do.
-    Leave ``shop_id`` out of ``header`` where shops belong to lines.
+    Header columns repeat on every line of an order, so any of them will do. A
+    shop may differ from line to line and is no column of the order.
     """
-    return detail.groupBy(*header).agg(
-        F.max("total_amount").alias("total_amount"),
-        F.max("discount_amount").alias("discount_amount"),
-        F.max("payable_amount").alias("payable_amount"),
-        F.sum("quantity").alias("item_quantity"),
-    )
-
-
-def order_fact_from_parts(
-    orders: DataFrame, items: DataFrame, header: Sequence[str] = ORDER_HEADER
-) -> DataFrame:
-    """:func:`order_fact` straight from cleaned orders and items.
-
-    Lines are summed per order before the join, so an order with very many
-    lines reaches the join as one row and no header is copied per line.
-    """
-    per_order = items.groupBy("order_id").agg(F.sum("quantity").alias("item_quantity"))
-    return orders.join(per_order, "order_id", "inner").select(
-        *header, "total_amount", "discount_amount", "payable_amount", "item_quantity"
+    return lines.groupBy("order_id").agg(
+        *(F.max(c).alias(c) for c in ORDER_HEADER), F.sum("quantity").alias("item_quantity")
     )
 
 
@@ -66,16 +48,49 @@ def order_day(orders: DataFrame) -> DataFrame:
     )
 
 
-def pay_day(payments: DataFrame) -> DataFrame:
+def _by_order_and_user(
+    rows: DataFrame, orders: Sequence[Column], users: Column, amounts: Sequence[str], counted: Sequence[Column]
+) -> DataFrame:
+    """Sums of ``orders`` (as n0, n1, ...) and ``amounts`` per day, and what
+    ``counted`` says of the distinct ``user`` values.
+
+    ``rows`` hold an order of a day once, ``users`` are its users. Each row
+    stands once for its order and once for every user, so one grouping finds
+    the distinct users and no measure is summed twice.
+    """
+    counts = [c.alias(f"n{i}") for i, c in enumerate(orders)]
+    nothing = [F.lit(None).cast("int").alias(f"n{i}") for i in range(len(orders))]
+    kinds = {f.name: f.dataType for f in rows.schema}
+    user_kind = rows.select(users.alias("users")).schema["users"].dataType.elementType
+    own = F.struct(F.lit(None).cast(user_kind).alias("user"), *counts, *amounts)
+    sides = F.transform(
+        users,
+        lambda user: F.struct(
+            user.alias("user"), *nothing, *(F.lit(None).cast(kinds[a]).alias(a) for a in amounts)
+        ),
+    )
+    measures = [*(f"n{i}" for i in range(len(orders))), *amounts]
     return (
-        successful(payments)
+        rows.select("dt", F.explode(F.concat(F.array(own), sides)).alias("side"))
+        .select("dt", "side.*")
+        .groupBy("dt", "user")
+        .agg(*(F.sum(m).alias(m) for m in measures))
         .groupBy("dt")
-        .agg(
-            F.countDistinct("order_id").alias("pay_order_count"),
-            F.countDistinct("user_id").alias("pay_user_count"),
-            F.sum("pay_amount").alias("pay_amount"),
-        )
+        .agg(*counted, *(F.sum(m).alias(m) for m in measures))
+    )
+
+
+def pay_day(payments: DataFrame) -> DataFrame:
+    """Paid orders, paying users and amounts per day."""
+    per_order = (
+        successful(payments)
+        .groupBy("dt", "order_id")
+        .agg(F.sum("pay_amount").alias("pay_amount"), F.collect_set("user_id").alias("payers"))
     )
+    known = F.col("order_id").isNotNull().cast("int")
+    return _by_order_and_user(
+        per_order, [known], F.col("payers"), ["pay_amount"], [F.count("user").alias("pay_user_count")]
+    ).select("dt", F.col("n0").alias("pay_order_count"), "pay_user_count", "pay_amount")
 
 
 def refund_day(refunds: DataFrame) -> DataFrame:
@@ -129,23 +144,31 @@ def trade_by_order_date(orders: DataFrame, payments: DataFrame, refunds: DataFra
     paid = (
         successful(payments)
         .groupBy("order_id")
-        .agg(F.max("user_id").alias("pay_user_id"), F.sum("pay_amount").alias("pay_amount"))
+        .agg(F.sum("pay_amount").alias("pay_amount"), F.collect_set("user_id").alias("payers"))
     )
     returned = approved(refunds).groupBy("order_id").agg(F.sum("refund_amount").alias("refund_amount"))
-    return (
-        orders.join(paid.withColumn("paid", F.lit(True)), "order_id", "left")
-        .join(returned.withColumn("returned", F.lit(True)), "order_id", "left")
-        .groupBy("dt")
-        .agg(
-            F.count("order_id").alias("order_count"),
-            F.countDistinct("user_id").alias("order_user_count"),
-            F.sum("payable_amount").alias("gmv"),
-            F.count("paid").alias("pay_order_count"),
-            F.countDistinct("pay_user_id").alias("pay_user_count"),
-            F.sum("pay_amount").alias("pay_amount"),
-            F.count("returned").alias("refund_order_count"),
-            F.sum("refund_amount").alias("refund_amount"),
-        )
+    placed = (
+        orders.join(paid.withColumn("paid", F.lit(1)), "order_id", "left")
+        .join(returned.withColumn("returned", F.lit(1)), "order_id", "left")
+    )
+    amounts = ["payable_amount", "pay_amount", "refund_amount"]
+    # A user is told apart as buyer and as payer of the day's orders.
+    buyers = F.when(F.col("user_id").isNotNull(), F.array(F.struct(F.lit("buyer").alias("as"), F.col("user_id").alias("id"))))
+    payers = F.transform("payers", lambda user: F.struct(F.lit("payer").alias("as"), user.alias("id")))
+    none = F.array().cast(placed.select(payers.alias("p")).schema["p"].dataType)
+    users = F.concat(F.coalesce(buyers, none), F.coalesce(payers, none))
+    counts = [F.lit(1), F.coalesce("paid", F.lit(0)), F.coalesce("returned", F.lit(0))]
+    told = [F.count_if(F.col("user.as") == "buyer").alias("buyers"), F.count_if(F.col("user.as") == "payer").alias("payers")]
+    return _by_order_and_user(placed, counts, users, amounts, told).select(
+        "dt",
+        F.col("n0").alias("order_count"),
+        F.col("buyers").alias("order_user_count"),
+        F.col("payable_amount").alias("gmv"),
+        F.col("n1").alias("pay_order_count"),
+        F.col("payers").alias("pay_user_count"),
+        "pay_amount",
+        F.col("n2").alias("refund_order_count"),
+        "refund_amount",
     )
 
 
@@ -252,11 +275,24 @@ def user_retention(events: DataFrame, offsets: Sequence[int] = RETENTION_OFFSETS
 
 
 def _sales(lines: DataFrame, *keys: str) -> DataFrame:
-    return lines.groupBy("dt", *keys).agg(
-        F.sum("quantity").alias("sales_quantity"),
-        F.sum("item_amount").alias("sales_amount"),
-        F.countDistinct("order_id").alias("order_count"),
-        F.countDistinct("user_id").alias("buyer_count"),
+    """Sales, orders and buyers per day and ``keys``.
+
+    Lines are summed per order, orders per buyer, buyers per key: an order has
+    one buyer, so every step counts rows and no line is copied to count two
+    things distinctly. Lines without an order or a buyer count as neither.
+    """
+    sums = [F.sum(m).alias(m) for m in ("sales_quantity", "sales_amount")]
+    return (
+        lines.groupBy("dt", *keys, "order_id")
+        .agg(
+            F.max("user_id").alias("user_id"),
+            F.sum("quantity").alias("sales_quantity"),
+            F.sum("item_amount").alias("sales_amount"),
+        )
+        .groupBy("dt", *keys, "user_id")
+        .agg(*sums, F.count("order_id").alias("order_count"))
+        .groupBy("dt", *keys)
+        .agg(*sums, F.sum("order_count").alias("order_count"), F.count("user_id").alias("buyer_count"))
     )
 
 

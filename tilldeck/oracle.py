@@ -11,10 +11,13 @@ import re
 from tilldeck.operators.quality import REPORT_HEADER, REPORT_TITLE, REPORT_TOTALS, RULES
 from tilldeck.plans.catalog import (
     BEHAVIOR_DT,
+    EMPTIED_DT,
     LIMIT_PER_TABLE,
+    MEASURES,
     PROCESS_DT,
     RANGE,
     SAMPLE_FRACTION,
+    SAMPLE_SEED,
 )
 
 
@@ -411,7 +414,9 @@ _EVENT_ROWS = "SELECT dt, event_type, count(*) AS event_count FROM user_events G
 def _count(table: str, source: str) -> str:
     return (
         f"SELECT '{table}' AS table_name, {_int('count(*)')} AS row_count, "
-        f"{_int('count(DISTINCT dt)')} AS day_count FROM ({source})"
+        f"{_int('count(DISTINCT dt)')} AS day_count, min(dt) AS first_dt, max(dt) AS last_dt, "
+        f"round(CAST(sum(CAST({MEASURES.get(table, 'NULL')} AS DECIMAL(28,4))) AS DOUBLE), 1) AS measure_sum "
+        f"FROM ({source})"
     )
 
 
@@ -423,12 +428,12 @@ _BEHAVIOR_BUILD = " UNION ALL ".join(
     + [
         _count("ods_synerise_product_properties", f"SELECT '{BEHAVIOR_DT}' AS dt FROM part"),
         _count("dwd_synerise_user_behavior_detail", "SELECT dt FROM behavior"),
-        _count("dws_synerise_behavior_day_summary", "SELECT dt FROM behavior_days"),
-        _count("dws_synerise_event_type_day_summary", "SELECT dt FROM behavior_types"),
-        _count("dws_synerise_product_day_summary", "SELECT dt FROM sku_days"),
-        _count("dws_synerise_category_day_summary", "SELECT dt FROM sku_category_days"),
-        _count("ads_synerise_behavior_dashboard_daily", "SELECT dt FROM behavior_days"),
-        _count("ads_synerise_event_type_trend", "SELECT dt FROM behavior_types"),
+        _count("dws_synerise_behavior_day_summary", "SELECT * FROM behavior_days"),
+        _count("dws_synerise_event_type_day_summary", "SELECT * FROM behavior_types"),
+        _count("dws_synerise_product_day_summary", "SELECT * FROM sku_days"),
+        _count("dws_synerise_category_day_summary", "SELECT * FROM sku_category_days"),
+        _count("ads_synerise_behavior_dashboard_daily", "SELECT * FROM behavior_days"),
+        _count("ads_synerise_event_type_trend", "SELECT * FROM behavior_types"),
         _count(
             "ads_synerise_product_topn",
             _top("sku_days", "pay_event_count cart_event_count", "sku category_id product_name", 50),
@@ -451,7 +456,7 @@ _SQL = {
         CAST(product_id AS VARCHAR) AS product_id, CAST(shop_id AS VARCHAR) AS shop_id, event_type,
         {_ts('event_time')} AS event_time, session_id, device_type, source_channel, dt FROM user_events""",
     "layer_append": _EVENT_ROWS,
-    "layer_rerun_one_day": _EVENT_ROWS,
+    "layer_rerun_one_day": f"SELECT * FROM ({_EVENT_ROWS}) WHERE dt <> '{EMPTIED_DT}'",
     "ods_orders": f"""SELECT order_id, user_id, shop_id, {_ts('order_time')} AS order_time, order_status,
         {_dbl('total_amount')} AS total_amount, {_dbl('discount_amount')} AS discount_amount,
         {_dbl('payable_amount')} AS payable_amount, province, city, dt, 'orders' AS source_table FROM orders_raw""",
@@ -459,13 +464,14 @@ _SQL = {
     "dedup_order_items": f"""SELECT order_item_id, order_id, product_id, shop_id, quantity,
         {_dbl('item_amount')} AS item_amount, sale_price FROM items""",
     "behavior_sample": f"""SELECT event_id, {_ts('ts')} AS ts, user_id, event_type, value, props FROM events
-        WHERE CAST('0x' || substr(sha256(CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT) % 10000
-            < {int(SAMPLE_FRACTION * 10000)}""",
+        WHERE CAST('0x' || substr(sha256('{SAMPLE_SEED}|' || CAST(event_id AS VARCHAR)), 1, 8) AS BIGINT)
+            < {round(SAMPLE_FRACTION * 2**32)}""",
     "behavior_limit": f"""SELECT event_id, client_id, 'syn_u_' || client_id AS user_id, event_type,
         source_event_type, {_ts('event_time')} AS event_time, sku, 'syn_sku_' || sku AS product_id,
         CAST(NULL AS BIGINT) AS category_id, CAST(NULL AS DOUBLE) AS product_price,
         CAST(NULL AS VARCHAR) AS product_name, url_id, query_hash, query_text, source_dataset, dt
-        FROM (SELECT *, row_number() OVER (PARTITION BY source_event_type ORDER BY event_time, client_id) AS rn
+        FROM (SELECT *, row_number() OVER (PARTITION BY source_event_type ORDER BY client_id NULLS FIRST, event_time NULLS FIRST,
+                sku NULLS FIRST, url_id NULLS FIRST, query_text NULLS FIRST) AS rn
             FROM behavior_ids) WHERE rn <= {LIMIT_PER_TABLE}""",
     # expressions
     "scalar_text_clean": "SELECT o_orderkey, lower(trim('  ' || o_orderpriority || ' ')) AS cleaned FROM orders",
@@ -692,19 +698,19 @@ _SQL = {
 
 # The whole retail build takes the year as period of everything but events.
 _DATED = ("orders_raw", "payments", "refunds_raw", "stock_raw")
-_YEARLY = _CTES | {name: _CTES[name].replace("%Y-%m-%d", "%Y-01-01") for name in _DATED}
+_LAYERED = _CTES | {name: _CTES[name].replace("%Y-%m-%d", "%Y-01-01") for name in _DATED}
 # Layer tables hold ids as text, and the fixed order among copies follows it.
-_YEARLY["items"] = """
+_LAYERED["items"] = """
         SELECT order_item_id, order_id, product_id, shop_id, quantity, item_amount, sale_price FROM (
             SELECT *, row_number() OVER (PARTITION BY order_item_id ORDER BY CAST(product_id AS VARCHAR),
                 CAST(shop_id AS VARCHAR), quantity, sale_price, item_amount) AS rn
             FROM items_raw WHERE quantity > 0 AND sale_price >= 0 AND item_amount >= 0 AND order_id IS NOT NULL)
         WHERE rn = 1"""
-_YEARLY["stock"] = _YEARLY["stock"].replace(
+_LAYERED["stock"] = _LAYERED["stock"].replace(
     "product_id NULLS LAST", "CAST(product_id AS VARCHAR) NULLS LAST"
 ).replace("shop_id NULLS LAST", "CAST(shop_id AS VARCHAR) NULLS LAST")
 _RETAIL_BUILD = " UNION ALL ".join(
-    _count(table, source if source.startswith("SELECT") else f"SELECT dt FROM {source}")
+    _count(table, source if source.startswith("SELECT") else f"SELECT * FROM {source}")
     for table, source in {
         "ods_users": f"SELECT '{PROCESS_DT}' AS dt FROM customer",
         "ods_shops": f"SELECT '{PROCESS_DT}' AS dt FROM supplier",
@@ -759,4 +765,4 @@ def _with_ctes(sql: str, ctes: dict[str, str] = _CTES) -> str:
 
 
 ORACLE = {name: _with_ctes(sql) for name, sql in _SQL.items()}
-ORACLE["retail_layers_build"] = _with_ctes(_RETAIL_BUILD, _YEARLY)
+ORACLE["retail_layers_build"] = _with_ctes(_RETAIL_BUILD, _LAYERED)

@@ -49,7 +49,7 @@ def build_landed(
         else:
             source = BEHAVIOR_SOURCES[name]
             landed, table = in_date_range(land_behavior(df, source), run.start, run.end), source.landed
-        write_layer(landed, root, table, mode, output_partitions)
+        write_layer(landed, root, table, mode, output_partitions, run.days)
 
 
 def build_detail(
@@ -74,7 +74,7 @@ def build_detail(
         properties = read_layer(spark, root, LANDED_PRODUCT_PROPERTIES)
     detail = behavior.behavior_detail(landed, properties, deduplicate, broadcast_products)
     write_layer(
-        detail, root, "dwd_synerise_user_behavior_detail", output_partitions=output_partitions
+        detail, root, "dwd_synerise_user_behavior_detail", output_partitions=output_partitions, days=run.days
     )
 
 
@@ -90,7 +90,7 @@ def build_summaries(
         "dws_synerise_category_day_summary": behavior.behavior_category_daily,
     }
     for table, build in built.items():
-        write_layer(build(events, approx), root, table, output_partitions=output_partitions)
+        write_layer(build(events, approx), root, table, output_partitions=output_partitions, days=run.days)
 
 
 def build_metrics(spark: SparkSession, root: str, run: RunContext, topn: int = behavior.TOP) -> None:
@@ -108,7 +108,7 @@ def build_metrics(spark: SparkSession, root: str, run: RunContext, topn: int = b
         ),
     }
     for table, df in built.items():
-        write_layer(df, root, table)
+        write_layer(df, root, table, days=run.days)
 
 
 def build_behavior(

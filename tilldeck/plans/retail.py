@@ -28,39 +28,27 @@ def raw_csv_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def build_landed(raw: Mapping[str, DataFrame], root: str, run: RunContext) -> None:
     for name, table in RAW_TABLES.items():
         landed = land(raw[name], name, run.load_dt)
-        write_layer(in_date_range(landed, run.start, run.end), root, table)
+        write_layer(in_date_range(landed, run.start, run.end), root, table, days=run.days)
 
 
 def build_facts(spark: SparkSession, root: str, run: RunContext) -> None:
     """Range filters go on the side that owns the day, before any shuffle."""
 
     def landed(table: str, ranged: bool = False) -> DataFrame:
-        bounds = (run.start, run.end) if ranged else (None, None)
+        bounds = run.days if ranged else (None, None)
         return read_layer(spark, root, table, *bounds)
 
-    write_layer(
-        facts.trade_order_detail(
+    built = {
+        "dwd_trade_order_detail": facts.trade_order_detail(
             landed("ods_orders", True), landed("ods_order_items"), landed("ods_products")
         ),
-        root,
-        "dwd_trade_order_detail",
-    )
-    write_layer(
-        facts.payment_detail(landed("ods_payments", True), landed("ods_orders")),
-        root,
-        "dwd_trade_payment_detail",
-    )
-    write_layer(
-        facts.refund_detail(landed("ods_refunds", True), landed("ods_payments")),
-        root,
-        "dwd_trade_refund_detail",
-    )
-    write_layer(
-        facts.user_behavior_detail(landed("ods_user_events", True)), root, "dwd_user_behavior_detail"
-    )
-    write_layer(
-        facts.inventory_detail(landed("ods_inventory_logs", True)), root, "dwd_inventory_change_detail"
-    )
+        "dwd_trade_payment_detail": facts.payment_detail(landed("ods_payments", True), landed("ods_orders")),
+        "dwd_trade_refund_detail": facts.refund_detail(landed("ods_refunds", True), landed("ods_payments")),
+        "dwd_user_behavior_detail": facts.user_behavior_detail(landed("ods_user_events", True)),
+        "dwd_inventory_change_detail": facts.inventory_detail(landed("ods_inventory_logs", True)),
+    }
+    for table, df in built.items():
+        write_layer(df, root, table, days=run.days)
 
 
 def build_dimensions(spark: SparkSession, root: str, run: RunContext) -> None:
@@ -82,10 +70,7 @@ def build_summaries(spark: SparkSession, root: str, run: RunContext) -> None:
     payments = fact("dwd_trade_payment_detail")
     refunds = fact("dwd_trade_refund_detail")
     events = fact("dwd_user_behavior_detail")
-    header = summaries.ORDER_HEADER
-    if not _orders_name_shops(spark, root):
-        header = summaries.LINE_SHOP_HEADER
-    orders = summaries.order_fact(lines, header)
+    orders = summaries.order_fact(lines)
     built = {
         "dws_trade_day_summary": summaries.trade_daily(orders, payments, refunds),
         "dws_user_day_summary": summaries.user_daily(orders, payments, refunds, events),
@@ -96,13 +81,7 @@ def build_summaries(spark: SparkSession, root: str, run: RunContext) -> None:
         "dws_inventory_day_summary": summaries.inventory_daily(fact("dwd_inventory_change_detail")),
     }
     for table, df in built.items():
-        write_layer(money_as_double(df), root, table)
-
-
-def _orders_name_shops(spark: SparkSession, root: str) -> bool:
-    """Whether order headers carry a shop, or only their lines do."""
-    named = read_layer(spark, root, "ods_orders").where(F.col("shop_id").isNotNull())
-    return bool(named.limit(1).count())
+        write_layer(money_as_double(df), root, table, days=run.days)
 
 
 def build_metrics(spark: SparkSession, root: str, run: RunContext) -> None:
@@ -132,7 +111,7 @@ def build_metrics(spark: SparkSession, root: str, run: RunContext) -> None:
         ),
     }
     for table, df in built.items():
-        write_layer(money_as_double(df), root, table)
+        write_layer(money_as_double(df), root, table, days=run.days)
 
 
 def layer_quality(spark: SparkSession, root: str, run: RunContext) -> DataFrame:

@@ -10,10 +10,8 @@ from functools import cached_property
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
 from tilldeck.functions.expressions import day_of
-from tilldeck.operators.landing import BEHAVIOR_DATASET, BEHAVIOR_SOURCES
 
 # Event names of the given stream and what they stand for.
 RETAIL_EVENT_TYPES = {"view": "view", "click": "cart", "purchase": "pay", "signup": "search"}
@@ -34,20 +32,16 @@ def _null(data_type: str) -> Column:
     return F.lit(None).cast(data_type)
 
 
-# Schemas by path: a folder's files are opened for them once, not per query.
-_SCHEMAS: dict[str, StructType] = {}
-
-
 class DriverTables:
     def __init__(self, spark: SparkSession, folder: str) -> None:
         self.spark = spark
         self.folder = folder.rstrip("/")
+        self._tables: dict[str, DataFrame] = {}
 
     def table(self, name: str) -> DataFrame:
-        path = f"{self.folder}/{name}.parquet"
-        if path not in _SCHEMAS:
-            _SCHEMAS[path] = self.spark.read.parquet(path).schema
-        return self.spark.read.schema(_SCHEMAS[path]).parquet(path)
+        if name not in self._tables:
+            self._tables[name] = self.spark.read.parquet(f"{self.folder}/{name}.parquet")
+        return self._tables[name]
 
     # -- retail ---------------------------------------------------------------
 
@@ -238,31 +232,6 @@ class DriverTables:
             .select(F.col("user_id").alias("client_id"), F.col("ts").alias("timestamp"), value)
         )
 
-    @cached_property
-    def behavior_stream(self) -> DataFrame:
-        """All five behaviour sources in one scan, as rows of the unified fact."""
-        names = F.create_map(*(F.lit(x) for name, kind in BEHAVIOR_EVENT_TYPES.items() for x in (kind, name)))
-        types = F.create_map(
-            *(F.lit(x) for name, kind in BEHAVIOR_EVENT_TYPES.items() for x in (kind, BEHAVIOR_SOURCES[name].event_type))
-        )
-        kind = F.col("event_type")
-        carriers = [k for name, k in BEHAVIOR_EVENT_TYPES.items() if BEHAVIOR_SOURCES[name].value == "sku"]
-        return (
-            self.table("events")
-            .where(kind.isin(*BEHAVIOR_EVENT_TYPES.values()) & F.col("user_id").isNotNull() & F.col("ts").isNotNull())
-            .select(
-                F.col("user_id").alias("client_id"),
-                F.col("ts").alias("event_time"),
-                F.lit(BEHAVIOR_DATASET).alias("source_dataset"),
-                names[kind].alias("source_event_type"),
-                types[kind].alias("event_type"),
-                F.when(kind.isin(*carriers), self._json_key()).alias("sku"),
-                F.when(kind == BEHAVIOR_EVENT_TYPES["page_visit"], self._json_key()).alias("url_id"),
-                F.when(kind == BEHAVIOR_EVENT_TYPES["search_query"], F.col("props")).alias("query_text"),
-                day_of("ts").alias("dt"),
-            )
-        )
-
     @cached_property
     def product_properties(self) -> DataFrame:
         return self.table("part").select(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.utils import AnalysisException
 
-from tilldeck.functions.frames import in_date_range, typed
+from tilldeck.functions.casts import typed
+from tilldeck.functions.frames import in_date_range
 from tilldeck.schemas import OPTIONAL, layer_of, schema_of
 
 
@@ -40,22 +42,50 @@ def read_layer(
 
 
 def write_layer(
-    df: DataFrame, root: str, table: str, mode: str = "overwrite", output_partitions: int | None = None
+    df: DataFrame,
+    root: str,
+    table: str,
+    mode: str = "overwrite",
+    output_partitions: int | None = None,
+    days: tuple[str | None, str | None] = (None, None),
 ) -> None:
-    """Write by day. ``overwrite`` replaces only the days present in ``df``.
+    """Write by day. ``overwrite`` replaces the days present in ``df``.
+
+    Give the range a run covers as ``days``: days of it that had rows and have
+    none any more are emptied. Other days stay.
 
     The rebalance hint puts one day's rows together without forcing a large
     day into one task: AQE splits big partitions and merges small ones.
     """
     shaped = conform(df, table)
     size = [output_partitions] if output_partitions else []
+    ranged = mode == "overwrite" and all(days)
+    before = _day_files(df.sparkSession, root, table, days) if ranged else {}
+    path = table_path(root, table)
     (
         shaped.hint("rebalance", *size, F.col("dt"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
-        .parquet(table_path(root, table))
+        .parquet(path)
     )
+    if before:
+        after = _day_files(df.sparkSession, root, table, days)
+        nothing = shaped.drop("dt").where("false")
+        for day in (day for day, name in before.items() if after.get(day) == name):
+            nothing.write.mode("overwrite").parquet(f"{path}/dt={day}")
+
+
+def _day_files(spark: SparkSession, root: str, table: str, days: tuple[str, str]) -> dict[str, str]:
+    """A file name of each written day in the range; a new write changes it."""
+    try:
+        rows = read_layer(spark, root, table, *days)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return {}
+    named = rows.groupBy("dt").agg(F.min("_metadata.file_name").alias("name"))
+    return {row["dt"]: row["name"] for row in named.collect()}
 
 
 def save_as_table(df: DataFrame, table: str, database: str | None = None) -> None:
