@@ -18,10 +18,17 @@ from tokenizers import Tokenizer
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 # Pieces remembered, and the length beyond which a piece is not worth it.
-REMEMBERED = 800_000
+REMEMBERED = 500_000
 _LONGEST = 64
 
 
+# Ordinary pieces, at most one plain space in front, are encoded many at a time,
+# with a mark between them that each vocabulary encodes as one id of its own.
+_ORDINARY = re.compile(f" ?[^{WHITE_SPACE}\x01]+").fullmatch
+_MARKS = ("\n", " \x01 ")
+_TOGETHER = 512
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers in bytes."""
 
@@ -32,6 +39,8 @@ class Encoder:
         # What looks like a special token in a text is ordinary text.
         self.tokenizer.encode_special_tokens = True
         self.known: dict[str, bytes] = {}
+        marks = ((m, self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS)
+        self.mark, (self.mark_id,) = next((m, ids) for m, ids in marks if len(ids) == 1)
 
     @classmethod
     def of(cls, path: str) -> Encoder:
@@ -40,6 +49,29 @@ class Encoder:
             cls._by_path[path] = cls(path)
         return cls._by_path[path]
 
+    @classmethod
+    def release(cls) -> None:
+        """Frees what encoders in this worker remember, for tasks that read."""
+        cls._by_path.clear()
+
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(found.ids, dtype="<u4") for found in encoded]
+
+    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
+        plain = [piece for piece in pieces if _ORDINARY(piece)]
+        out = {piece: b"" for piece in pieces}
+        groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
+        for group, ids in zip(groups, self._ids([self.mark.join(g) for g in groups]), strict=True):
+            marks = np.flatnonzero(ids == self.mark_id)
+            flat = ids.tobytes()
+            starts = [0, *(4 * marks + 4).tolist()]
+            stops = [*(4 * marks).tolist(), len(flat)]
+            out.update((piece, flat[a:b]) for piece, a, b in zip(group, starts, stops, strict=True))
+        rest = [piece for piece in pieces if not _ORDINARY(piece)]
+        out.update((piece, ids.tobytes()) for piece, ids in zip(rest, self._ids(rest), strict=True))
+        return out
+
     def __call__(self, texts: list[str | None]) -> list[bytes]:
         pieces = [_PIECE.findall(text or "") for text in texts]
         here = set().union(*pieces)
@@ -47,17 +79,14 @@ class Encoder:
         if len(self.known) + len(new) > REMEMBERED:
             # What this chunk uses stays; rare pieces go.
             self.known = {piece: self.known[piece] for piece in here.intersection(self.known)}
-        encoded = self.tokenizer.encode_batch_fast(list(new), add_special_tokens=False)
-        own = {
-            piece: np.array(found.ids, dtype="<u4").tobytes() for piece, found in zip(new, encoded, strict=True)
-        }
-        self.known.update((piece, ids) for piece, ids in own.items() if len(piece) <= _LONGEST)
-        if len(own) and max(map(len, own)) > _LONGEST:
-            own.update(self.known)
-            look = own.__getitem__
-        else:
-            look = self.known.__getitem__
-        return [b"".join(map(look, found)) for found in pieces]
+        own = self._encoded(new)
+        long = [piece for piece in new if len(piece) > _LONGEST]
+        self.known.update(own)
+        look = self.known.__getitem__
+        out = [b"".join(map(look, found)) for found in pieces]
+        for piece in long:
+            del self.known[piece]
+        return out
 
 
 def tokenizer_path(name: str) -> str:
