@@ -43,6 +43,8 @@ HEADLINE = (
     "behavior_category_daily",
     "behavior_product_topn",
     "dq_checks",
+    "latest_day_topn",
+    "dashboard_payload",
 )
 
 

@@ -56,7 +56,7 @@ _CTES = {
     "orders_raw": f"""
         SELECT o_orderkey AS order_id, o_custkey AS user_id, CAST(NULL AS BIGINT) AS shop_id,
             o_orderdate AS order_time, lower(o_orderstatus) AS order_status,
-            CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount, CAST(0 AS DECIMAL(18,2)) AS discount_amount,
+            CAST(o_totalprice AS DECIMAL(18,2)) AS total_amount, CAST(CASE WHEN o_orderkey % 97 = 0 THEN 5 ELSE 0 END AS DECIMAL(18,2)) AS discount_amount,
             CAST(o_totalprice AS DECIMAL(18,2)) AS payable_amount, n_name AS province, n_name AS city,
             {_day('o_orderdate')} AS dt
         FROM orders LEFT JOIN customer ON o_custkey = c_custkey LEFT JOIN nation ON c_nationkey = n_nationkey""",
@@ -86,10 +86,10 @@ _CTES = {
         FROM lines GROUP BY order_id, user_id, order_time, order_status, dt""",
     "payments": f"""
         SELECT o_orderkey AS payment_id, o_orderkey AS order_id, o_custkey AS user_id,
-            CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER) AS pay_time,
-            CAST(NULL AS VARCHAR) AS pay_method, CAST(o_totalprice AS DECIMAL(18,2)) AS pay_amount,
+            CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 - CASE WHEN o_orderkey % 83 = 0 THEN 4 ELSE 0 END AS INTEGER) AS pay_time,
+            CAST(NULL AS VARCHAR) AS pay_method, CAST(CAST(o_totalprice AS DECIMAL(18,2)) + CASE WHEN o_orderkey % 89 = 0 THEN 7 ELSE 0 END AS DECIMAL(18,2)) AS pay_amount,
             CASE o_orderstatus WHEN 'F' THEN 'success' WHEN 'O' THEN 'success' ELSE 'processing' END AS pay_status,
-            {_day('CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 AS INTEGER)')} AS dt
+            {_day('CAST(o_orderdate AS DATE) + CAST(o_orderkey % 3 - CASE WHEN o_orderkey % 83 = 0 THEN 4 ELSE 0 END AS INTEGER)')} AS dt
         FROM orders""",
     "paid": "SELECT * FROM payments WHERE pay_status = 'success' AND pay_amount >= 0",
     "refunds_raw": f"""
@@ -118,8 +118,8 @@ _CTES = {
         WHERE event_id IS NOT NULL AND user_id IS NOT NULL
             AND event_type IN ('view', 'search', 'cart', 'favorite', 'order', 'pay')""",
     "stock_raw": f"""
-        SELECT *, before_quantity + change_quantity AS after_quantity FROM (
-            SELECT {_LINE_ID} AS inventory_log_id, l_partkey AS product_id, l_suppkey AS shop_id,
+        SELECT * EXCLUDE (odd), before_quantity + change_quantity + odd AS after_quantity FROM (
+            SELECT CAST(l_orderkey % 101 = 0 AS INTEGER) AS odd, {_LINE_ID} AS inventory_log_id, l_partkey AS product_id, l_suppkey AS shop_id,
                 CASE WHEN l_returnflag = 'R' THEN 'refund_in' ELSE 'sale_out' END AS change_type,
                 CAST(CASE WHEN l_returnflag = 'R' THEN l_quantity ELSE -l_quantity END AS INTEGER) AS change_quantity,
                 CAST(1000 + l_partkey % 500 AS INTEGER) AS before_quantity,

@@ -116,7 +116,8 @@ class DriverTables:
             F.col("o_orderdate").alias("order_time"),
             F.lower("o_orderstatus").alias("order_status"),
             _money("o_totalprice").alias("total_amount"),
-            F.lit(0).cast("decimal(18,2)").alias("discount_amount"),
+            # Some given rows break each rule on amounts, times and stock.
+            F.when(F.col("o_orderkey") % 97 == 0, 5).otherwise(0).cast("decimal(18,2)").alias("discount_amount"),
             _money("o_totalprice").alias("payable_amount"),
             place.alias("province"),
             place.alias("city"),
@@ -147,14 +148,17 @@ class DriverTables:
 
     @cached_property
     def payments(self) -> DataFrame:
-        paid_on = F.date_add(F.col("o_orderdate").cast("date"), (F.col("o_orderkey") % 3).cast("int"))
+        key = F.col("o_orderkey")
+        late = key % 3 - F.when(key % 83 == 0, 4).otherwise(0)
+        paid_on = F.date_add(F.col("o_orderdate").cast("date"), late.cast("int"))
+        more = F.when(key % 89 == 0, 7).otherwise(0)
         return self.table("orders").select(
             F.col("o_orderkey").alias("payment_id"),
             F.col("o_orderkey").alias("order_id"),
             F.col("o_custkey").alias("user_id"),
             paid_on.cast("timestamp_ntz").alias("pay_time"),
             _null("string").alias("pay_method"),
-            _money("o_totalprice").alias("pay_amount"),
+            (_money("o_totalprice") + more).cast("decimal(18,2)").alias("pay_amount"),
             F.when(F.col("o_orderstatus").isin("F", "O"), "success").otherwise("processing").alias("pay_status"),
             paid_on.cast("string").alias("dt"),
         )
@@ -207,7 +211,7 @@ class DriverTables:
             F.when(returned, "refund_in").otherwise("sale_out").alias("change_type"),
             moved.alias("change_quantity"),
             before.alias("before_quantity"),
-            (before + moved).alias("after_quantity"),
+            (before + moved + F.when(F.col("l_orderkey") % 101 == 0, 1).otherwise(0)).alias("after_quantity"),
             F.col("l_shipdate").alias("change_time"),
             day_of("l_shipdate").alias("dt"),
         )
