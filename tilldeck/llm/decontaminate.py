@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.llm.graph import written
-from tilldeck.llm.words import LETTER_DIGIT, Words, batch_of, chunks, column
+from tilldeck.llm.words import LETTER_DIGIT, Words, batch_of, chunks, column, whole_texts
 
 WINDOW = 10
 # Texts of one index segment; a segment is one row.
@@ -190,7 +190,7 @@ def benchmark_matches(
     document, in a grouping by segment and place.
     """
     segments = written(
-        docs.select(
+        whole_texts(docs).select(
             F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("binary").alias("text")
         ).mapInArrow(_segments, _SEGMENTS),
         "segments",

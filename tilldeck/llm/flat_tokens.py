@@ -14,8 +14,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tilldeck.llm.tokens import Encoder, tokenizer_path
-from tilldeck.llm.words import chunks, column
+from tilldeck.llm.tokens import TEXT_BYTES, Encoder, tokenizer_path
+from tilldeck.llm.words import chunks, column, whole_texts
 
 BLOCK_BYTES = 1 << 20
 _SEPARATOR = "\0\0"
@@ -25,7 +25,7 @@ _ENDS = "part int, block int, tokens long, ends array<long>"
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder.of(path)
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", TEXT_BYTES):
             flat = [
                 (np.frombuffer(ids, dtype="<u4") + 1).astype("<u2").tobytes() for ids in encode(column(part, "text"))
             ]
@@ -44,11 +44,12 @@ def write_flat_tokens(
     behind the bytes of each row, on whatever file system ``path`` names.
     """
     tokenizer = tokenizer or tokenizer_path("byte_bpe_50k.json")
-    ids = docs.select(F.col(text_column).cast("string").alias("text")).mapInArrow(_encoded(tokenizer), "ids binary")
+    ids = whole_texts(docs).select(F.col(text_column).cast("string").alias("text")).mapInArrow(_encoded(tokenizer), "ids binary")
     ids.select(F.col("ids").cast("string").alias("value")).write.option("lineSep", _SEPARATOR).text(path)
 
 
 def _separators(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    Encoder.release()
     for batch in batches:
         ids = [np.frombuffer(b, dtype="<u2") for b in column(batch, "bytes")]
         yield pa.RecordBatch.from_arrays(

@@ -18,7 +18,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tilldeck.llm.words import chunks, column
+from tilldeck.llm.words import chunks, column, whole_texts
 
 SIGMA = 1.0
 # Share of the content regions' text that the chosen element must hold.
@@ -206,6 +206,6 @@ def extract_main_text(
     counts as its end. Repeated rows give repeated results; other columns are not
     looked at. Each page is worked on alone, so nothing is shuffled.
     """
-    df = pages.select(F.struct(*carry).alias("carried"), F.col(html_column).cast("string").alias("html"))
+    df = whole_texts(pages).select(F.struct(*carry).alias("carried"), F.col(html_column).cast("string").alias("html"))
     kinds = df.schema["carried"].dataType.simpleString()
     return df.mapInArrow(_extract, f"carried {kinds}, text string").select("carried.*", "text")

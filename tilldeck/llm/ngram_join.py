@@ -31,6 +31,7 @@ from tilldeck.llm.words import (
     slices,
     table_of,
     unplaned,
+    whole_texts,
 )
 
 SHINGLE = 5
@@ -346,7 +347,7 @@ def near_duplicate_classes(
     """
     buckets = groups(docs)
     sets = written(
-        docs.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("binary").alias("text"))
+        whole_texts(docs).select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("binary").alias("text"))
         .mapInArrow(_postings(shingle, buckets), _POSTINGS)
         .groupBy("bucket")
         .applyInArrow(_frequent, _FREQUENT)

@@ -16,8 +16,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.llm.graph import written
-from tilldeck.llm.tokens import Encoder, tokenizer_path
-from tilldeck.llm.words import chunks, column
+from tilldeck.llm.tokens import TEXT_BYTES, Encoder, tokenizer_path
+from tilldeck.llm.words import chunks, column, whole_texts
 
 LENGTH = 2048
 OPEN_WINDOWS = 32
@@ -74,7 +74,7 @@ def _pack(path: str, end: int, length: int, most: int, least_cut: int, keep: boo
         encode = Encoder.of(path)
         windows = _Windows(TaskContext.get().partitionId() << 32, length, most)
         waiting: dict[int, list[tuple]] = {}
-        for part in chunks(batches, "text"):
+        for part in chunks(batches, "text", TEXT_BYTES):
             rows = []
             for node, ids in zip(column(part, "node"), encode(column(part, "text")), strict=True):
                 ids += tail
@@ -159,7 +159,7 @@ def pack_documents(
     """
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     pieces = written(
-        docs.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("string").alias("text"))
+        whole_texts(docs).select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("string").alias("text"))
         .mapInArrow(_pack(path, end, length, open_windows, least_cut, keep_tokens), _PIECES),
         "pieces",
     )

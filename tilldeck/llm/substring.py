@@ -28,6 +28,7 @@ from tilldeck.llm.words import (
     table_of,
     unpacked_ids,
     unplaned,
+    whole_texts,
 )
 
 WINDOW = 20
@@ -261,7 +262,7 @@ def remove_repeats(
     block = window // 2
     buckets = groups(docs)
     carried = [c for c in dict.fromkeys((id_column, *carry))]
-    keyed = docs.select(
+    keyed = whole_texts(docs).select(
         F.col(id_column).cast("long").alias(_KEY),
         F.col(text_column).cast("binary").alias(_TEXT),
         # Tells rows apart that repeat an id with another text.

@@ -16,13 +16,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tilldeck.llm.coder import BLOCK_IDS, decode_blocks, encode_blocks, split_block
+from tilldeck.llm.coder import BLOCK_IDS, LANES, decode_blocks, encode_blocks, split_block
 from tilldeck.llm.graph import written
-from tilldeck.llm.tokens import Encoder, tokenizer_path
-from tilldeck.llm.words import chunks, column
+from tilldeck.llm.tokens import TEXT_BYTES, Encoder, tokenizer_path
+from tilldeck.llm.words import chunks, column, whole_texts
 
-# Texts of one frame, large enough for many blocks side by side.
-FRAME_BYTES = 16 << 20
+# Token ids of one frame: as many blocks as are coded side by side.
+FRAME_IDS = LANES * BLOCK_IDS
 MAGIC = b"TKF1"
 _HEADER = "<4sIQIQ"
 _DOCUMENTS = "part int, node long, base long, n_tokens long, ids_crc32 long, ids binary"
@@ -65,21 +65,35 @@ def read_frames(data: bytes) -> Iterator[tuple[list[int | None], np.ndarray, np.
         yield [int(n) if k else None for n, k in zip(nodes, known, strict=True)], sizes, ids
 
 
+def _one(frame: bytes) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([frame], type=pa.binary())], names=["frame"])
+
+
 def _encoded(path: str, end: int, block_ids: int):
     tail = end.to_bytes(4, "little")
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         encode = Encoder.of(path)
-        for part in chunks(batches, "text", FRAME_BYTES):
-            documents = [ids + tail for ids in encode(column(part, "text"))]
-            frame = _frame(column(part, "node"), documents, block_ids)
-            yield pa.RecordBatch.from_arrays([pa.array([frame], type=pa.binary())], names=["frame"])
+        nodes: list[int | None] = []
+        documents: list[bytes] = []
+        held = 0
+        for part in chunks(batches, "text", TEXT_BYTES):
+            found = [ids + tail for ids in encode(column(part, "text"))]
+            nodes += column(part, "node")
+            documents += found
+            held += sum(map(len, found)) // 4
+            if held >= FRAME_IDS:
+                yield _one(_frame(nodes, documents, block_ids))
+                nodes, documents, held = [], [], 0
+        if nodes:
+            yield _one(_frame(nodes, documents, block_ids))
 
     return run
 
 
 def _decoded(keep: bool):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        Encoder.release()
         for batch in batches:
             for part, data in zip(column(batch, "part"), column(batch, "content"), strict=True):
                 base = 0
@@ -123,7 +137,7 @@ def write_token_files(
     tokenizer = tokenizer or tokenizer_path("byte_bpe_50k.json")
     parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     frames = (
-        docs.select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("string").alias("text"))
+        whole_texts(docs).select(F.col(id_column).cast("long").alias("node"), F.col(text_column).cast("string").alias("text"))
         .repartitionByRange(parts, "node")
         .sortWithinPartitions("node", "text")
         .mapInArrow(_encoded(tokenizer, end, block_ids), "frame binary")

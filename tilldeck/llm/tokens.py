@@ -18,8 +18,10 @@ from tokenizers import Tokenizer
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 # Pieces remembered, and the length beyond which a piece is not worth it.
-REMEMBERED = 500_000
+REMEMBERED = 300_000
 _LONGEST = 64
+# Texts cut into pieces at once; a piece takes ten times its letters.
+TEXT_BYTES = 2 << 20
 
 
 # Ordinary pieces, at most one plain space in front, are encoded many at a time,

@@ -20,7 +20,7 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilldeck.llm.words import LETTER_DIGIT, Words, chunks, column, mix
+from tilldeck.llm.words import LETTER_DIGIT, Words, chunks, column, mix, whole_texts
 
 # Labelled rows used at most, of each label, on average: the bound of the fit.
 FIT_ROWS = 30_000
@@ -132,7 +132,7 @@ def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 def _hits(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         distance = _Distance(model)
-        for part in chunks(batches, "text"):
+        for part in chunks(_with_text(batches), "text"):
             words = _words(column(part, "text"))
             distinct, place = np.unique(words.hashes(), return_inverse=True)
             strong = (distance.saved(distinct) >= MARGIN)[place] if model.toxic else np.zeros(len(place), dtype=bool)
@@ -147,8 +147,17 @@ def _hits(model: Model):
     return run
 
 
+def _with_text(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Carried columns and the text, which the last of them is."""
+    for batch in batches:
+        carried = batch.column(0)
+        text = carried.field(carried.type.num_fields - 1).cast(pa.binary())
+        yield pa.RecordBatch.from_arrays([carried, text], names=["carried", "text"])
+
+
 def _scanned(docs: DataFrame, text_column: str, carried: list[str | Column], model: Model) -> DataFrame:
-    df = docs.select(F.struct(*carried).alias("carried"), F.col(text_column).cast("binary").alias("text"))
+    carried = [*(c for c in carried if c != text_column), F.col(text_column).cast("string").alias(text_column)]
+    df = whole_texts(docs).select(F.struct(*carried).alias("carried"))
     kinds = df.schema["carried"].dataType.simpleString()
     return df.mapInArrow(_hits(model), f"carried {kinds}, {_HITS}").select("carried.*", "hits", "windows")
 
@@ -176,7 +185,7 @@ def fit(
         chance < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))
     )
     # Proven small: 2 * fit_rows ids and labels.
-    rows = docs.join(F.broadcast(sample), docs[id_column] == sample["labelled"]).select(
+    rows = whole_texts(docs).join(F.broadcast(sample), docs[id_column] == sample["labelled"]).select(
         F.col("toxic"), F.col(text_column).cast("binary").alias("text")
     )
     # Documents with a row of each label, as far as the sample goes.
@@ -226,6 +235,6 @@ def toxicity(
     get the score of no hit. Repeated rows are scored alike; ids and any other
     columns are not looked at.
     """
-    out = _scanned(docs, text_column, list(carry), model)
+    out = _scanned(docs, text_column, list(carry), model).select(*carry, "hits", "windows")
     shares = F.array(*(F.lit(s) for s in model.shares))
     return out.withColumn("score", F.get(shares, F.least("hits", F.lit(MOST_HITS)).cast("int")))

@@ -16,6 +16,7 @@ import xxhash
 from pyspark.sql import DataFrame
 
 CHUNK_BYTES = 4 << 20
+BATCH_ROWS = 2000
 # A longer word is hashed by the library function instead of eight bytes a step.
 LONG_WORD = 4096
 _MIX_1, _MIX_2, _STEP = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB), np.uint64(0x9E3779B97F4A7C15)
@@ -78,7 +79,8 @@ class Words:
         data = b"\n".join(texts) + b"\n"
         if lower:
             data = data.lower()  # A-Z only, as for any bytes
-        inside = np.concatenate(([0], letters[np.frombuffer(data, dtype=np.uint8)].view(np.int8)))
+        inside = np.zeros(len(data) + 1, dtype=np.int8)
+        inside[1:] = letters[np.frombuffer(data, dtype=np.uint8)]
         edges = np.diff(inside)
         starts, ends = np.flatnonzero(edges == 1), np.flatnonzero(edges == -1)
         bounds = np.cumsum([0] + [len(text) + 1 for text in texts])
@@ -137,6 +139,15 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
                 yield batch.slice(low, high - low)
 
 
+def whole_texts(df: DataFrame) -> DataFrame:
+    """``df``, with batches of texts to Python kept to a few megabytes from here
+    on; a batch is held several times, by Spark, by Arrow and as objects."""
+    conf = df.sparkSession.conf
+    conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", BATCH_ROWS)
+    conf.set("spark.sql.execution.arrow.maxBytesPerBatch", 2 * CHUNK_BYTES)
+    return df
+
+
 def column(batch: pa.RecordBatch | pa.Table, name: str) -> list:
     return batch.column(batch.schema.get_field_index(name)).to_pylist()
 
