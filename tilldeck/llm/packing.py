@@ -74,7 +74,7 @@ def _pack(path: str, end: int, length: int, most: int, least_cut: int, keep: boo
         encode = Encoder.of(path)
         windows = _Windows(TaskContext.get().partitionId() << 32, length, most)
         waiting: dict[int, list[tuple]] = {}
-        for part in chunks(batches, "text", TEXT_BYTES):
+        for part in chunks(batches, "text", TEXT_BYTES, keep=True):
             rows = []
             for node, ids in zip(column(part, "node"), encode(column(part, "text")), strict=True):
                 ids += tail

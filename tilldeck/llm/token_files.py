@@ -77,7 +77,7 @@ def _encoded(path: str, end: int, block_ids: int):
         nodes: list[int | None] = []
         documents: list[bytes] = []
         held = 0
-        for part in chunks(batches, "text", TEXT_BYTES):
+        for part in chunks(batches, "text", TEXT_BYTES, keep=True):
             found = [ids + tail for ids in encode(column(part, "text"))]
             nodes += column(part, "node")
             documents += found

@@ -14,6 +14,8 @@ import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
 
+from tilldeck.llm.words import KEPT, give_back
+
 # Fixed value: the characters with Unicode's White_Space property.
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
 _PIECE = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
@@ -34,8 +36,6 @@ _TOGETHER = 512
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers in bytes."""
 
-    _by_path: dict[str, Encoder] = {}
-
     def __init__(self, path: str) -> None:
         self.tokenizer = Tokenizer.from_file(path)
         # What looks like a special token in a text is ordinary text.
@@ -47,14 +47,15 @@ class Encoder:
     @classmethod
     def of(cls, path: str) -> Encoder:
         """The worker's one encoder for a file."""
-        if path not in cls._by_path:
-            cls._by_path[path] = cls(path)
-        return cls._by_path[path]
+        if path not in KEPT:
+            KEPT[path] = cls(path)
+        return KEPT[path]
 
     @classmethod
     def release(cls) -> None:
         """Frees what encoders in this worker remember, for tasks that read."""
-        cls._by_path.clear()
+        KEPT.clear()
+        give_back()
 
     def _ids(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)

@@ -6,6 +6,7 @@ consecutive documents, so a task's memory does not depend on its partition.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 from dataclasses import dataclass, field
 
@@ -127,8 +128,26 @@ class Words:
         return values[at], at
 
 
-def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES) -> Iterator[pa.RecordBatch]:
-    """The same rows cut where their text reaches ``limit`` bytes."""
+def give_back() -> None:
+    """Freed memory goes back to the system. Workers live on from stage to stage,
+    and the allocators would keep the largest stage's share for each of them."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+# What tasks keep for later tasks of their worker, such as tokenizers.
+KEPT: dict[str, object] = {}
+
+
+def chunks(
+    batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTES, keep: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The same rows cut where their text reaches ``limit`` bytes. Without
+    ``keep``, what an earlier operator's tasks left in the worker is dropped."""
+    if not keep:
+        KEPT.clear()
     for batch in batches:
         column = batch.column(batch.schema.get_field_index(text))
         sizes = np.asarray(pa.compute.fill_null(pa.compute.binary_length(column), 0), dtype=np.int64)
@@ -137,6 +156,7 @@ def chunks(batches: Iterator[pa.RecordBatch], text: str, limit: int = CHUNK_BYTE
         for low, high in zip(cuts, cuts[1:], strict=False):
             if high > low:
                 yield batch.slice(low, high - low)
+    give_back()
 
 
 def whole_texts(df: DataFrame) -> DataFrame:
@@ -203,6 +223,7 @@ def batch_of(rows: list[tuple], schema: str) -> pa.RecordBatch:
 
 
 def table_of(rows: list[tuple], schema: str) -> pa.Table:
+    give_back()
     kinds = {"int": pa.int32(), "long": pa.int64(), "binary": pa.binary()}
     if not rows:
         return pa.table({n: pa.array([], type=kinds[k]) for n, k in (f.split() for f in schema.split(", "))})
