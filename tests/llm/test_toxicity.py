@@ -74,3 +74,26 @@ def test_held_out_accuracy(spark):
     recall = sum(p for t, p in judged if t) / sum(t for t, _ in judged)
     alarms = sum(p for t, p in judged if not t) / sum(1 - t for t, _ in judged)
     assert recall >= 0.8 and alarms <= 0.01
+
+
+def test_forms_never_seen_share_bytes(spark, sentence):
+    rows, labels = [], []
+    for i in range(300):
+        bad = i % 3 == 0
+        text = sentence(9000 + i, 40)
+        rows.append((i, f"{text[:90]} schwachkopf{'qwrtzpsdfghjklyxcvbnm'[i % 21]}{i} {text[90:]}" if bad else text))
+        labels.append((i, int(bad)))
+    model = fit(spark.createDataFrame(rows, "doc_id long, text string"), spark.createDataFrame(labels, "doc_id long, toxic int"))
+    row = toxicity(spark.createDataFrame([(1, "du Schwachkopfige")], "doc_id long, text string"), model).first()
+    assert row.hits == 1 and row.score >= THRESHOLD
+
+
+def test_hits_count_against_length(spark, learned, sentence):
+    model = fit(*learned)
+    clean = sentence(123_456, 20_000).split()
+    for i in range(9):
+        clean[1_000 + 2_000 * i] = "idiot"
+    stretch = sentence(123_457, 4_000) + " loser scum idiot" * 40
+    docs = spark.createDataFrame([(1, " ".join(clean)), (2, stretch), (3, "what an idiot")], "doc_id long, text string")
+    rows = toxicity(docs, model).collect()
+    assert rows[0].hits >= 9 and [r.score >= THRESHOLD for r in rows] == [False, True, True]

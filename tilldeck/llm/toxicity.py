@@ -1,16 +1,18 @@
 """Toxicity by compression distance.
 
-Two zstandard dictionaries are trained, on windows of toxic and of ordinary text.
-A window that the toxic dictionary compresses better by a margin speaks for
-toxicity; how much a document's number of such windows says is calibrated on
-labelled rows.
-
-A match costs a compressor about as much as a short word's letters, so windows
-are compressed in a redundant rendering: each word as sixteen bytes of its hash.
+Two zstandard dictionaries hold stretches of real toxic and of real ordinary text:
+byte sequences that tell one label from the other, as they stand in a bounded
+sample, so other forms of a word share bytes with them. Windows of several words
+of the whole text are compressed with either; what a difference in length says is
+weighed on labelled rows that chose no dictionary.
+
+A block's headers would hide a short match, and none is looked for near its end, so
+every window ends with the same bytes, which both dictionaries hold.
 """
 
 from __future__ import annotations
 
+from collections import Counter
 from collections.abc import Iterator
 from dataclasses import dataclass
 
@@ -20,62 +22,118 @@ import zstandard
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tilldeck.llm.words import LETTER_DIGIT, Words, chunks, column, mix, whole_texts
+from tilldeck.llm.words import LETTER_DIGIT, chunks, column, mix, whole_texts
 
-# Labelled rows used at most, of each label, on average: the bound of the fit.
+# Labelled rows that calibrate at most, of each label, on average.
 FIT_ROWS = 30_000
-# A toxic window's word follows this many different words at least in toxic texts
-# of the sample, so copies of one text do not make its rare words suspicious.
+# Labelled rows that choose the dictionaries at most, and characters of each.
+TOXIC_ROWS, ORDINARY_ROWS = 1_000, 4_000
+STRETCH = 8_000
+# Bytes of a sequence that is counted.
+SEQUENCE = 6
+# A telling sequence follows this many different words at least, so copies of one
+# text do not make its rare words suspicious.
 LEAST_CONTEXTS = 5
-# Share of ordinary documents, against toxic ones, that may hold such a word.
-MOST_ORDINARY = 0.02
-TOXIC_WINDOWS = 4_000
-ORDINARY_WINDOWS = 16_000
-LEVEL = 3
-# Bytes saved from which on a window counts.
-MARGIN = 4
-# Documents with more such windows are scored like those with so many.
-MOST_HITS = 4
+# Chance that a sequence without meaning follows that many in one label only.
+CHANCE = 1e-4
+# Its share in the other label's text, against its own.
+MOST_OTHER = 0.05
+DICTIONARY_BYTES = 64_000
+WINDOW_WORDS = 4
+# Bytes saved from which on a window counts as a hit, and with more are alike.
+MARGIN, MOST_SAVED = 3, 8
+# Evidence from which on the next share of toxic documents holds.
+STEPS = (0.5, 1.0, 1.5, 2.0, 2.5, 3.0, 4.0, 5.0, 7.0, 10.0, 15.0)
 THRESHOLD = 0.7
-_RENDERED = 16
-_COUNTS = "word long, before long, ordinary long"
-_HITS = "hits long, windows long"
-
-
-def _words(texts: list[bytes | None]) -> Words:
-    return Words.of(texts, letters=LETTER_DIGIT, lower=True)
-
-
-def _rendered(hashes: np.ndarray) -> bytes:
-    return np.stack((hashes, mix(hashes + np.uint64(1))), axis=1).tobytes()
-
-
-def _dictionary(words: np.ndarray, times: np.ndarray) -> bytes:
-    """A dictionary trained on windows of one word each; the more frequent a
-    window, the more samples. Where there is too little to train on, the windows
-    themselves are the dictionary."""
-    if not len(words):
+_PARAMETERS = {
+    "window_log": 18,
+    "hash_log": 15,
+    "chain_log": 15,
+    "search_log": 4,
+    "min_match": SEQUENCE,
+    "target_length": 64,
+    "strategy": zstandard.STRATEGY_GREEDY,
+    "write_content_size": False,
+    "write_checksum": False,
+    "write_dict_id": False,
+}
+_TRAILER = bytes(range(1, 32))
+_GAP = bytes(8)
+_PLAIN = bytes(b if LETTER_DIGIT[b] else 32 for b in bytes(range(256)).lower())
+_FOUND = "hits long, windows long, evidence double"
+
+
+def _words(text: bytes | None) -> list[bytes]:
+    return (text or b"").translate(_PLAIN).split()
+
+
+def _windows(text: bytes | None) -> list[bytes]:
+    words = _words(text)
+    return [
+        b" %b %b" % (b" ".join(words[i : i + WINDOW_WORDS]), _TRAILER) for i in range(0, len(words), WINDOW_WORDS)
+    ]
+
+
+def _sequences(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The texts' words, the byte sequence at each place and a hash of it with the
+    end of the word before; 0 where a sequence would leave its text."""
+    data = b"".join(b"%b %b " % (_GAP, b" ".join(_words(text))) for text in texts) + _GAP
+    count = len(data) - len(_GAP)
+    eight = np.ndarray((count,), dtype="<u8", buffer=data, strides=(1,))
+    found = eight & np.uint64((1 << 8 * SEQUENCE) - 1)
+    plain = np.frombuffer(data, dtype=np.uint8)
+    gaps = np.concatenate(([0], np.cumsum(plain == 0)))
+    found = np.where(gaps[SEQUENCE : SEQUENCE + count] == gaps[:count], found, np.uint64(0))
+    space = np.maximum.accumulate(np.where(plain[:count] == 32, np.arange(count), 0))
+    before = eight[np.maximum(space - 8, 0)]
+    return data, found, np.where(found == 0, np.uint64(0), mix(found ^ mix(before)))
+
+
+def _contexts(found: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences and after how many different words each stands."""
+    _, first = np.unique(pairs, return_index=True)
+    values, times = np.unique(found[first], return_counts=True)
+    return values[values != 0], times[values != 0]
+
+
+def _telling(own: list[bytes], other: list[bytes]) -> bytes:
+    """Stretches of ``own`` texts whose sequences ``other`` texts hardly hold, the
+    most frequent ones last, where they are cheapest to refer to."""
+    data, found, pairs = _sequences(own)
+    values, times = _contexts(found, pairs)
+    total, rest = sum(map(len, own)), sum(map(len, other))
+    if not total or not rest:
         return b""
-    blob = _rendered(words)
-    windows = [blob[i : i + _RENDERED] for i in range(0, len(blob), _RENDERED)]
-    samples = [w for w, n in zip(windows, times.tolist(), strict=True) for _ in range(min(8, max(2, n)))]
-    room = len(blob) + 1024
-    try:
-        trained = zstandard.train_dictionary(room, samples, k=_RENDERED, d=8).as_bytes()
-    except zstandard.ZstdError:
-        trained = b""
-    # Training may leave windows out; those go in front, the least valuable place.
-    missing = [w for w in windows if w not in trained]
-    return b"".join(missing[::-1]) if not trained else trained + b"".join(missing)
+    least = max(LEAST_CONTEXTS, np.log(CHANCE) / np.log(total / (total + rest)))
+    values, times = values[times >= least], times[times >= least]
+    against = np.zeros(len(values))
+    # A megabyte at a time; only candidates are counted, so a context may count in each.
+    for i in range(0, len(other), 125):
+        _, there, with_word = _sequences(other[i : i + 125])
+        known = np.isin(there, values)
+        which, n = _contexts(there[known], with_word[known])
+        against[np.searchsorted(values, which)] += n
+    values = values[against * total <= MOST_OTHER * times * rest]
+    marks = np.diff(np.concatenate(([0], np.isin(found, values).astype(np.int8), [0])))
+    runs = zip(np.flatnonzero(marks == 1), np.flatnonzero(marks == -1) + SEQUENCE - 1, strict=True)
+    counted = Counter(data[low:high] for low, high in runs)
+    kept, room = [], DICTIONARY_BYTES
+    for run in sorted(counted, key=lambda r: (-counted[r], r)):
+        if len(run) < room:
+            kept.append(run)
+            room -= len(run) + 1
+    return b"\n".join(kept[::-1])
 
 
 @dataclass(frozen=True)
 class Model:
-    """Both dictionaries and the share of toxic documents by number of hits."""
+    """Both dictionaries, the share of toxic documents by step of evidence, and what
+    a window says by bytes saved."""
 
     toxic: bytes
     ordinary: bytes
     shares: tuple[float, ...] = ()
+    weights: tuple[float, ...] = (0.0,) * (MOST_SAVED + 1)
 
 
 class _Distance:
@@ -84,64 +142,62 @@ class _Distance:
 
     @staticmethod
     def _compressor(content: bytes) -> zstandard.ZstdCompressor:
-        options = {"level": LEVEL, "write_content_size": False, "write_checksum": False, "write_dict_id": False}
-        if not content:
-            return zstandard.ZstdCompressor(**options)
-        trained = zstandard.ZstdCompressionDict(content, dict_type=zstandard.DICT_TYPE_RAWCONTENT)
-        trained.precompute_compress(level=LEVEL)
-        return zstandard.ZstdCompressor(dict_data=trained, **options)
-
-    def saved(self, hashes: np.ndarray) -> np.ndarray:
+        parameters = zstandard.ZstdCompressionParameters(**_PARAMETERS)
+        whole = zstandard.ZstdCompressionDict(
+            content + b"\n" + _TRAILER, dict_type=zstandard.DICT_TYPE_RAWCONTENT
+        )
+        whole.precompute_compress(compression_params=parameters)
+        return zstandard.ZstdCompressor(dict_data=whole, compression_params=parameters)
+
+    def saved(self, text: bytes | None) -> np.ndarray:
         """Bytes that the toxic dictionary saves over the ordinary one, by window."""
-        blob = _rendered(hashes)
         toxic, ordinary = self.toxic.compress, self.ordinary.compress
-        return np.fromiter(
-            (
-                len(ordinary(window)) - len(toxic(window))
-                for window in (blob[i : i + _RENDERED] for i in range(0, len(blob), _RENDERED))
-            ),
-            dtype=np.int64,
-            count=len(hashes),
-        )
+        return np.array([len(ordinary(w)) - len(toxic(w)) for w in _windows(text)], dtype=np.int64)
 
 
-def _counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """For toxic texts each word with the word before it, once per chunk; for
-    ordinary ones the number of documents that hold a word."""
-    for part in chunks(batches, "text"):
-        labels = np.array(column(part, "toxic"), dtype=np.int64)
-        words = _words(column(part, "text"))
-        hashes = words.hashes()
-        doc = np.repeat(np.arange(len(labels)), words.counts)
-        before = np.concatenate((np.zeros(1, dtype=np.uint64), hashes[:-1])) if len(hashes) else hashes
-        before = np.where(np.isin(np.arange(len(hashes)), words.first), np.uint64(0), before)
-        bad = labels[doc] == 1
-        pairs = np.unique(np.stack((hashes[bad], before[bad]), axis=1), axis=0)
-        held = np.unique(np.stack((hashes[~bad], doc[~bad].astype(np.uint64)), axis=1), axis=0)
-        good, times = np.unique(held[:, 0], return_counts=True)
-        yield pa.RecordBatch.from_arrays(
-            [
-                pa.array(np.concatenate((pairs[:, 0], good)).view(np.int64)),
-                pa.array([*pairs[:, 1].view(np.int64).tolist(), *[None] * len(good)], type=pa.int64()),
-                pa.array(np.concatenate((np.zeros(len(pairs), dtype=np.int64), times))),
-            ],
-            names=["word", "before", "ordinary"],
-        )
+def evidence(saved: np.ndarray, weights: np.ndarray) -> float:
+    """How much more likely the windows are in a toxic document than in an ordinary
+    one, as a logarithm: for the whole text, or for its best stretch of windows less
+    the number of stretches to choose from. So hits count against the length."""
+    if not len(saved):
+        return 0.0
+    sums = np.concatenate(([0.0], np.cumsum(weights[np.clip(saved, 0, MOST_SAVED)])))
+    best = (sums - np.minimum.accumulate(sums)).max()
+    return float(max(sums[-1], best - 2 * np.log(len(saved))))
 
 
-def _hits(model: Model):
+def _judged(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        distance = _Distance(model)
+        distance, weights = _Distance(model), np.array(model.weights)
         for part in chunks(_with_text(batches), "text"):
-            words = _words(column(part, "text"))
-            distinct, place = np.unique(words.hashes(), return_inverse=True)
-            strong = (distance.saved(distinct) >= MARGIN)[place] if model.toxic else np.zeros(len(place), dtype=bool)
-            sums = np.concatenate(([0], np.cumsum(strong)))
-            hits = sums[words.first[1:]] - sums[words.first[:-1]]
+            hits, windows, values = [], [], []
+            for text in column(part, "text"):
+                saved = distance.saved(text)
+                hits.append(int((saved >= MARGIN).sum()))
+                windows.append(len(saved))
+                values.append(evidence(saved, weights))
             carried = part.column(part.schema.get_field_index("carried"))
             yield pa.RecordBatch.from_arrays(
-                [carried, pa.array(hits, type=pa.int64()), pa.array(words.counts, type=pa.int64())],
-                names=["carried", "hits", "windows"],
+                [carried, pa.array(hits, pa.int64()), pa.array(windows, pa.int64()), pa.array(values, pa.float64())],
+                names=["carried", "hits", "windows", "evidence"],
+            )
+
+    return run
+
+
+def _tallied(model: Model):
+    """Windows of each label by bytes saved, one row a chunk and label."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        distance = _Distance(model)
+        for part in chunks(batches, "text"):
+            tally = np.zeros((2, MOST_SAVED + 1), dtype=np.int64)
+            for label, text in zip(column(part, "toxic"), column(part, "text"), strict=True):
+                tally[label] += np.bincount(np.clip(distance.saved(text), 0, MOST_SAVED), minlength=MOST_SAVED + 1)
+            label, saved = np.nonzero(tally)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(label, pa.int32()), pa.array(saved, pa.int32()), pa.array(tally[label, saved], pa.int64())],
+                names=["toxic", "saved", "n"],
             )
 
     return run
@@ -159,7 +215,33 @@ def _scanned(docs: DataFrame, text_column: str, carried: list[str | Column], mod
     carried = [*(c for c in carried if c != text_column), F.col(text_column).cast("string").alias(text_column)]
     df = whole_texts(docs).select(F.struct(*carried).alias("carried"))
     kinds = df.schema["carried"].dataType.simpleString()
-    return df.mapInArrow(_hits(model), f"carried {kinds}, {_HITS}").select("carried.*", "hits", "windows")
+    return df.mapInArrow(_judged(model), f"carried {kinds}, {_FOUND}").select(
+        "carried.*", "hits", "windows", "evidence"
+    )
+
+
+def _step(value: Column) -> Column:
+    """Number of the last step of evidence reached."""
+    reached = F.lit(0)
+    for step in STEPS:
+        reached = reached + (value >= step).cast("int")
+    return reached
+
+
+def _rising(tally: np.ndarray) -> np.ndarray:
+    """Share of the second column by row, neighbours pooled until it never falls."""
+    blocks: list[list] = []
+    for row in tally:
+        blocks.append([row.copy(), 1])
+        while len(blocks) > 1 and _share(blocks[-2][0]) >= _share(blocks[-1][0]):
+            last, n = blocks.pop()
+            blocks[-1][0] += last
+            blocks[-1][1] += n
+    return np.concatenate([np.full(n, _share(row)) for row, n in blocks])
+
+
+def _share(row: np.ndarray) -> float:
+    return float((row[1] + 0.5) / (row.sum() + 1))
 
 
 def fit(
@@ -170,71 +252,72 @@ def fit(
     label_column: str = "toxic",
     fit_rows: int = FIT_ROWS,
 ) -> Model:
-    """Dictionaries and calibration from labelled rows, about ``fit_rows`` of each
-    label at most (a hash of the id decides).
+    """Dictionaries from up to two thirds of the labelled rows, about ``TOXIC_ROWS``
+    and ``ORDINARY_ROWS`` at most, a stretch of each; calibration from the other
+    third, about ``fit_rows`` of each label at most. A hash of the id decides.
 
-    What comes to the driver is bounded by ``TOXIC_WINDOWS``,
-    ``ORDINARY_WINDOWS`` and ``MOST_HITS``. Without toxic rows no window counts.
+    What comes to the driver is bounded by the dictionary's rows times ``STRETCH``.
+    Without toxic rows no window counts.
     """
     known = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("labelled")).agg(F.max(label_column).cast("int").alias("toxic"))
-    counts = {row["toxic"]: row["n"] for row in known.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
-    share = {label: min(1.0, fit_rows / n) for label, n in counts.items()}
+    known = known.withColumn("choosing", F.pmod(F.xxhash64("labelled", F.lit("part")), F.lit(3)) < 2)
+    counts = {(row["toxic"], row["choosing"]): row["n"] for row in known.groupBy("toxic", "choosing").agg(F.count("*").alias("n")).collect()}
     chance = F.pmod(F.xxhash64("labelled"), F.lit(1_000_000)) / 1_000_000
-    sample = known.where(
-        chance < F.when(F.col("toxic") == 1, share.get(1, 1.0)).otherwise(share.get(0, 1.0))
-    )
-    # Proven small: 2 * fit_rows ids and labels.
-    rows = whole_texts(docs).join(F.broadcast(sample), docs[id_column] == sample["labelled"]).select(
-        F.col("toxic"), F.col(text_column).cast("binary").alias("text")
-    )
-    # Documents with a row of each label, as far as the sample goes.
-    n_toxic, n_ordinary = (counts.get(k, 0) * share.get(k, 1.0) for k in (1, 0))
-    words = (
-        rows.mapInArrow(_counted, _COUNTS)
-        .groupBy("word", "before")
-        .agg(F.sum("ordinary").alias("ordinary"))
-        .groupBy("word")
-        .agg(F.count("before").alias("contexts"), F.sum("ordinary").alias("ordinary"))
-    )
-    telling = (
-        words.where(F.col("contexts") >= LEAST_CONTEXTS)
-        .where(F.col("ordinary") * n_toxic <= MOST_ORDINARY * F.col("contexts") * n_ordinary)
-        .orderBy(F.desc("contexts"), "word")
-        .limit(TOXIC_WINDOWS)
+
+    def sampled(choosing: bool, most: tuple[int, int]) -> tuple[DataFrame, list[float]]:
+        share = [min(1.0, most[label] / counts.get((label, choosing), 1)) for label in (0, 1)]
+        part = known.where(F.col("choosing") == choosing).where(
+            chance < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])
+        )
+        # Proven small: ids and labels of the rows above.
+        rows = whole_texts(docs).join(F.broadcast(part), docs[id_column] == part["labelled"])
+        return rows.select("labelled", "toxic", F.col(text_column).cast("string").alias("text")), share
+
+    rows, _ = sampled(True, (ORDINARY_ROWS, TOXIC_ROWS))
+    start = F.pmod(F.xxhash64("labelled", F.lit("start")), F.greatest(F.length("text") - STRETCH, F.lit(1))) + 1
+    stretch = F.substring("text", start.cast("int"), F.lit(STRETCH)).cast("binary")
+    # Copies of one stretch count once, as the order of rows must not matter.
+    found = rows.where("text is not null").select("toxic", stretch.alias("text")).distinct().collect()
+    texts = [sorted(bytes(row["text"]) for row in found if row["toxic"] == label) for label in (0, 1)]
+    model = Model(_telling(texts[1], texts[0]), _telling(texts[0], texts[1]) if texts[1] else b"")
+    rows, share = sampled(False, (fit_rows, fit_rows))
+    sent = rows.select("toxic", F.col("text").cast("binary").alias("text"))
+    windows = np.zeros((MOST_SAVED + 1, 2))
+    for row in (
+        sent.mapInArrow(_tallied(model), "toxic int, saved int, n long")
+        .groupBy("saved", "toxic")
+        .agg(F.sum("n").alias("n"))
         .collect()
-    )
-    common = words.where("ordinary > 1").orderBy(F.desc("ordinary"), "word").limit(ORDINARY_WINDOWS).collect()
-    told = {row["word"] for row in telling}
-    common = [row for row in common if row["word"] not in told]
-    model = Model(
-        _dictionary(_column(telling, "word"), _column(telling, "contexts").view(np.int64)),
-        _dictionary(_column(common, "word"), _column(common, "ordinary").view(np.int64)),
-    )
-    hits = F.least("hits", F.lit(MOST_HITS)).alias("hits")
-    found = _scanned(rows, "text", ["toxic"], model).groupBy(hits, "toxic").agg(F.count("*").alias("n")).collect()
-    tally = np.zeros((MOST_HITS + 1, 2))
-    for row in found:
+    ):
+        windows[row["saved"], row["toxic"]] = row["n"]
+    if windows.sum(axis=0).all() and model.toxic:
+        # Odds of the pooled shares, against those of all windows.
+        rate = _rising(windows)
+        total = windows.sum(axis=0)
+        weights = tuple((np.log(rate / (1 - rate)) - np.log(total[1] / total[0])).tolist())
+    else:
+        weights = (0.0,) * (MOST_SAVED + 1)
+    model = Model(model.toxic, model.ordinary, (), weights)
+    steps = _scanned(rows, "text", ["toxic"], model).groupBy(_step(F.col("evidence")).alias("step"), "toxic")
+    tally = np.zeros((len(STEPS) + 1, 2))
+    for row in steps.agg(F.count("*").alias("n")).collect():
         # Back to the labels' own proportions where the sample thinned them out.
-        tally[row["hits"], row["toxic"]] += row["n"] / share[row["toxic"]]
-    rate = (tally[:, 1] + 0.5) / (tally.sum(axis=1) + 1)
-    return Model(model.toxic, model.ordinary, tuple(np.maximum.accumulate(rate).tolist()))
-
-
-def _column(rows: list, name: str) -> np.ndarray:
-    return np.array([row[name] for row in rows], dtype=np.int64).view(np.uint64)
+        tally[row["step"], row["toxic"]] += row["n"] / share[row["toxic"]]
+    return Model(model.toxic, model.ordinary, tuple(_rising(tally).tolist()), weights)
 
 
 def toxicity(
     docs: DataFrame, model: Model, text_column: str = "text", carry: tuple[str, ...] = ("doc_id",)
 ) -> DataFrame:
-    """One row per document: the ``carry`` columns, ``windows``, ``hits`` (windows
-    the toxic dictionary saves ``MARGIN`` bytes of) and ``score`` from 0 to 1.
+    """One row per document: the ``carry`` columns, ``hits`` (windows of
+    ``WINDOW_WORDS`` words that the toxic dictionary saves ``MARGIN`` bytes of),
+    and ``score`` from 0 to 1, by ``evidence``.
 
     Every window of the whole text counts. Null and empty texts have none and
-    get the score of no hit. Repeated rows are scored alike; ids and any other
+    get the score of no evidence. Repeated rows are scored alike; ids and any other
     columns are not looked at.
     """
-    out = _scanned(docs, text_column, list(carry), model).select(*carry, "hits", "windows")
+    out = _scanned(docs, text_column, list(carry), model)
     shares = F.array(*(F.lit(s) for s in model.shares))
-    return out.withColumn("score", F.get(shares, F.least("hits", F.lit(MOST_HITS)).cast("int")))
+    return out.select(*carry, "hits", F.get(shares, _step(F.col("evidence"))).alias("score"))
