@@ -35,6 +35,21 @@ def test_main_text(html, text):
     assert main_text(html) == text
 
 
+@pytest.mark.parametrize(
+    ("html", "text"),
+    [
+        (
+            f"<div><h1>T</h1><p>intro</p><section>{LONG} {LONG} {LONG}</section><section>short</section></div>",
+            f"T\nintro\n{LONG} {LONG} {LONG}\nshort",
+        ),
+        (f"<article><p>A {LONG}</p></article><article><p>{LONG} {LONG}</p></article>", f"A {LONG}\n{LONG} {LONG}"),
+        (f"<body><div>{MENU}</div><div><h2>H</h2><p>{LONG}</p></div><div>{MENU}</div></body>", f"H\n{LONG}"),
+    ],
+)
+def test_all_content_regions_are_covered(html, text):
+    assert main_text(html) == text
+
+
 def test_content_lines_cluster_dense_text():
     content = content_lines(["Home", "About", LONG, "Short.", LONG, "Terms"], [4, 4, 2, 2, 2, 5])
     assert content.tolist() == [False, True, True, True, True, True] or content[2:5].all()

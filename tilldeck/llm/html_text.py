@@ -2,9 +2,10 @@
 
 The parser's events give lines (block elements) with their text and number of
 tags. Text-to-tag ratios are smoothed by a Gaussian; lines above the standard
-deviation of the smoothed ratios cluster into content regions. The element that
-holds the regions is the article: its blocks are the text, short ones included,
-without the parts that page markup names as something else.
+deviation of the smoothed ratios cluster into content regions. The smallest element,
+or run of siblings in it, that covers all regions is the article, with neighbours
+that are not mostly links: its blocks are the text, short ones included, without the
+parts that page markup names as something else. Article tags are a hint.
 """
 
 from __future__ import annotations
@@ -21,7 +22,7 @@ from pyspark.sql import functions as F
 from tilldeck.llm.words import chunks, column, whole_texts
 
 SIGMA = 1.0
-# Share of the content regions' text that the chosen element must hold.
+# Share of the content regions' text from which on articles hold all that counts.
 LEAST_SHARE = 0.8
 _BLOCK = frozenset(
     "address article aside blockquote body center dd details dialog dir div dl dt fieldset figcaption figure footer "
@@ -44,6 +45,10 @@ _OTHER = frozenset(
     "recommendations widget widgets toolbar pagination pager search skip".split()
 )
 _REMARKS = frozenset("comment comments commentlist respond reply replies disqus".split())
+# An element is not extended to all of these.
+_PAGE = frozenset(("", "html", "body"))
+# Share of a neighbour's text from which on links make it no part of the article.
+_MOST_LINKS = 0.5
 _BODY = frozenset("article content main post entry story body text".split())
 _NAMES = re.compile(r"[^a-z0-9]+")
 
@@ -56,8 +61,11 @@ class _Lines(HTMLParser):
         self.texts: list[str] = []
         self.tags: list[int] = []
         self.homes: list[int] = []
-        # Element numbers: parent, and whether it is an article.
+        self.links: list[int] = []
+        self.headings: list[bool] = []
+        # Element numbers: parent, name, and whether it is an article.
         self.parents = [-1]
+        self.tag_names = [""]
         self.articles = [False]
         self.stack: list[tuple[str, int, int]] = []
         self.home = 0
@@ -67,6 +75,8 @@ class _Lines(HTMLParser):
         self.heading = False
         self.words: list[str] = []
         self.count = 0
+        self.linked = False
+        self.link = 0
 
     def _line(self) -> None:
         text = " ".join("".join(self.words).split())
@@ -74,9 +84,11 @@ class _Lines(HTMLParser):
             self.texts.append(text)
             self.tags.append(self.count)
             self.homes.append(self.home)
+            self.links.append(self.link)
+            self.headings.append(self.heading)
         if text or self.count:
             self.words.clear()
-            self.count = 0
+            self.count = self.link = 0
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _MUTE:
@@ -91,6 +103,8 @@ class _Lines(HTMLParser):
                 self._open(tag, attrs)
         elif tag == "br":
             self.words.append(" ")
+        elif tag == "a":
+            self.linked = True
         self.count += 1
 
     def _open(self, tag: str, attrs: list) -> None:
@@ -109,6 +123,7 @@ class _Lines(HTMLParser):
             out = 0
         self.stack.append((tag, self.home, self.out))
         self.parents.append(self.home)
+        self.tag_names.append(tag)
         self.articles.append(tag in _ARTICLE and not out)
         self.home = len(self.parents) - 1
         self.out = out
@@ -126,6 +141,8 @@ class _Lines(HTMLParser):
                     break
             return
         self.count += 1
+        if tag == "a":
+            self.linked = False
         if tag not in _BLOCK:
             return
         self._line()
@@ -139,6 +156,7 @@ class _Lines(HTMLParser):
     def handle_data(self, data: str) -> None:
         if not self.mute and (not self.out or self._title()):
             self.words.append(data)
+            self.link += len(data.strip()) if self.linked else 0
 
     def _title(self) -> bool:
         """A heading in the header of an article belongs to the article."""
@@ -167,24 +185,103 @@ def main_text(html: str | None, sigma: float = SIGMA, least_share: float = LEAST
     page.close()
     if not page.texts:
         return ""
-    content = content_lines(page.texts, page.tags, sigma)
-    mass: dict[int, int] = {}
-    for text, home, counts in zip(page.texts, page.homes, content, strict=True):
-        while counts and home >= 0:
-            mass[home] = mass.get(home, 0) + len(text)
-            home = page.parents[home]
-    whole = mass[0]
-    # Inner elements have higher numbers. An article is taken whole; where there
-    # are several, the one with most text, the outer one of equal ones.
-    articles = [e for e in mass if page.articles[e]]
-    if articles:
-        chosen = min(articles, key=lambda e: (-mass[e], e))
-    else:
-        chosen = max(e for e in mass if mass[e] >= least_share * whole)
-    inside = [e == chosen for e in range(len(page.parents))]
-    for e in range(chosen + 1, len(inside)):
-        inside[e] = inside[page.parents[e]]
-    return "\n".join(text for text, home in zip(page.texts, page.homes, strict=True) if inside[home])
+    dense = content_lines(page.texts, page.tags, sigma)
+    ratio = np.array([len(t) for t in page.texts]) / np.maximum(1, np.array(page.tags))
+    # A menu's last line is in a cluster only because its neighbour is dense.
+    core = np.flatnonzero(dense & (ratio >= min(ratio[dense].max(), ratio.std())))
+    held = [_holder(page, page.homes[i]) for i in core]
+    mass = [len(page.texts[i]) for i in core]
+    if sum(m for m, e in zip(mass, held, strict=True) if e >= 0) >= least_share * sum(mass):
+        core = core[[e >= 0 for e in held]]
+    low, high = _region(page, core)
+    return "\n".join(page.texts[low:high])
+
+
+def _holder(page: _Lines, element: int) -> int:
+    """The innermost article around an element, -1 where there is none."""
+    while element >= 0 and not page.articles[element]:
+        element = page.parents[element]
+    return element
+
+
+def _above(page: _Lines, element: int) -> list[int]:
+    path = [element]
+    while path[-1] > 0:
+        path.append(page.parents[path[-1]])
+    return path[::-1]
+
+
+def _region(page: _Lines, core: np.ndarray) -> tuple[int, int]:
+    """Lines, from and to, of the smallest run of siblings with all ``core`` lines."""
+    memo: dict[int, list[int]] = {}
+    paths = [memo.setdefault(h, _above(page, h)) if h not in memo else memo[h] for h in page.homes]
+    common = paths[core[0]]
+    for i in core[1:]:
+        n = next((k for k, (x, y) in enumerate(zip(common, paths[i], strict=False)) if x != y), None)
+        common = common[: min(len(common), len(paths[i])) if n is None else n]
+    low, high = int(core[0]), int(core[-1]) + 1
+    around = [e for e in common if page.articles[e]]
+    if around:  # all in one article: it is taken whole
+        depth = common.index(around[-1])
+        return _spread(page, paths, depth, around[-1], low, high, _ALL)
+    depth = len(common) - 1
+    while True:
+        first, last = _spread(page, paths, depth, common[depth], low, high, _ALL)
+        # Whole siblings, then neighbours.
+        low, high = _siblings(paths, depth, low, high, first, last)
+        if page.tag_names[common[depth]] in _PAGE:
+            while low > first and page.headings[low - 1]:
+                low -= 1
+            return low, high
+        low, high = _spread(page, paths, depth, common[depth], low, high, _MOST_LINKS)
+        if (low, high) != (first, last) or not depth or page.tag_names[common[depth - 1]] in _PAGE:
+            return low, high
+        depth -= 1
+
+
+_ALL = 2.0
+
+
+def _item(path: list[int], depth: int, line: int) -> tuple[int, int]:
+    """The child of the element at ``depth`` that holds a line, or the line itself."""
+    return (path[depth + 1], -1) if len(path) > depth + 1 else (-1, line)
+
+
+def _siblings(paths: list[list[int]], depth: int, low: int, high: int, first: int, last: int) -> tuple[int, int]:
+    while low > first and _item(paths[low - 1], depth, low - 1) == _item(paths[low], depth, low):
+        low -= 1
+    while high < last and _item(paths[high], depth, high) == _item(paths[high - 1], depth, high - 1):
+        high += 1
+    return low, high
+
+
+def _spread(
+    page: _Lines, paths: list[list[int]], depth: int, element: int, low: int, high: int, most: float
+) -> tuple[int, int]:
+    """``low`` and ``high`` moved over neighbours in ``element`` whose share of text
+    in links stays below ``most``."""
+
+    def fits(start: int, end: int) -> bool:
+        return sum(page.links[start:end]) < most * sum(len(t) for t in page.texts[start:end])
+
+    def inside(line: int) -> bool:
+        return 0 <= line < len(paths) and len(paths[line]) > depth and paths[line][depth] == element
+
+    while inside(low - 1):
+        start, item = low - 1, _item(paths[low - 1], depth, low - 1)
+        while inside(start - 1) and _item(paths[start - 1], depth, start - 1) == item:
+            start -= 1
+        if not fits(start, low):
+            break
+        low = start
+    while inside(high):
+        end, item = high + 1, _item(paths[high], depth, high)
+        while inside(end) and _item(paths[end], depth, end) == item:
+            end += 1
+        if not fits(high, end):
+            break
+        high = end
+    return low, high
 
 
 def _extract(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
