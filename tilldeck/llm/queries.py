@@ -13,6 +13,7 @@ from tilldeck.llm.flat_tokens import document_token_counts, write_flat_tokens
 from tilldeck.llm.html_text import extract_main_text
 from tilldeck.llm.ngram_join import near_duplicate_classes
 from tilldeck.llm.packing import pack_documents
+from tilldeck.llm.periodic import periodic_runs
 from tilldeck.llm.substring import remove_repeats
 from tilldeck.llm.token_files import read_token_files, write_token_files
 from tilldeck.llm.toxicity import THRESHOLD, fit, toxicity
@@ -93,6 +94,37 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_read(spark, folder, "documents"))
 
 
+def planted_runs(docs: DataFrame) -> DataFrame:
+    """``docs`` with a periodic end for ids whose crc32 is divisible by 10: words from
+    place ``a`` on become those from ``a`` with period ``p``. Other texts are unchanged,
+    as are those without id or words."""
+    h = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    split = F.filter(F.split(F.col("text"), r"[\x20\x09-\x0D]+"), lambda w: w != "")
+    parts = docs.select("doc_id", "text", F.floor(h / 10).alias("g"), F.when(h % 10 == 0, split).alias("w"))
+    parts = parts.withColumn("n", F.size("w")).withColumn("a", F.when(F.col("n") > 0, F.col("g") % F.col("n")))
+    parts = parts.withColumn("p", F.floor((F.col("n") - F.col("a")) / (3 + F.col("g") % 8)) + 1)
+    again = F.expr("flatten(array_repeat(slice(w, int(a + 1), int(p)), int(ceil((n - a) / p))))")
+    words = F.concat(F.expr("slice(w, 1, int(a))"), F.slice(again, F.lit(1), (F.col("n") - F.col("a")).cast("int")))
+    return parts.select("doc_id", F.when(F.col("n") > 0, F.array_join(words, " ")).otherwise(F.col("text")).alias("text"))
+
+
+def op13_periodic_runs(spark: SparkSession, folder: str) -> DataFrame:
+    out = periodic_runs(planted_runs(_read(spark, folder, "documents")))
+    best = F.array_max(F.transform("runs", lambda r: F.struct(r["length"], -r["start"], -r["period"])))
+    lines = F.transform("runs", lambda r: F.concat(F.concat_ws(",", r["start"], r["length"], r["period"]), F.lit("\n")))
+    found = out.withColumn("best", best)
+    return found.select(
+        "doc_id",
+        F.size("runs").cast("long").alias("n_runs"),
+        (-F.col("best.col2")).alias("start"),
+        F.col("best.length").alias("length"),
+        (-F.col("best.col3")).alias("period"),
+        F.floor(1000 * F.col("best.length") / -F.col("best.col3")).alias("exponent_milli"),
+        F.sha2(F.array_join(lines, "").cast("binary"), 256).alias("runs_sha256"),
+        F.sha2(F.col("collapsed_text").cast("binary"), 256).alias("collapsed_sha256"),
+    )
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_substring_dedup": op1_substring_dedup,
     "op2_html_text": op2_html_text,
@@ -104,6 +136,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op13_periodic_runs": op13_periodic_runs,
 }
 
 _WORDS_1 = r"""
@@ -180,4 +213,50 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(low.b, e.vec_id)) AS component_id,
        e.vec_id = least(e.vec_id, coalesce(low.b, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN counts ON e.vec_id = counts.a LEFT JOIN low ON e.vec_id = low.a""",
+    # A run is an island of equal words on one diagonal of 5-word repeats; of those
+    # that cover one stretch, the one of the smallest period counts.
+    "op13_periodic_runs": r"""
+WITH
+split AS (
+  SELECT doc_id, CAST(doc_id AS VARCHAR) AS s,
+         list_filter(regexp_split_to_array(coalesce(text, ''), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws
+  FROM documents),
+hashed AS (
+  SELECT *, len(ws) AS n, xor(4294967295::BIGINT, list_reduce(range(8 * len(s)), lambda c, i:
+      CASE WHEN (xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(s, (i // 8 + 1)::INT, 1)) ELSE 0 END) & 1) = 1
+        THEN xor(xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(s, (i // 8 + 1)::INT, 1)) ELSE 0 END) >> 1, 3988292384::BIGINT)
+        ELSE xor(c, CASE WHEN i % 8 = 0 THEN ascii(substr(s, (i // 8 + 1)::INT, 1)) ELSE 0 END) >> 1 END,
+      4294967295::BIGINT)) AS h
+  FROM split),
+cut AS (
+  SELECT *, CASE WHEN h % 10 = 0 AND n > 0 THEN (h // 10) % n END AS a,
+         CASE WHEN h % 10 = 0 AND n > 0 THEN 1 + (n - (h // 10) % n) // (3 + (h // 10) % 8) END AS p FROM hashed),
+words AS (
+  SELECT doc_id, n, i, ws[(CASE WHEN a IS NULL OR i < a THEN i ELSE a + (i - a) % p END) + 1] AS w
+  FROM (SELECT *, unnest(range(n)) AS i FROM cut)),
+grams AS (
+  SELECT doc_id, n, i, list(w) OVER ahead AS g, count(*) OVER ahead AS m FROM words
+  WINDOW ahead AS (PARTITION BY doc_id ORDER BY i ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING)),
+coded AS (SELECT doc_id, n, i, hash(g) AS g FROM grams WHERE m = 5),
+pairs AS (
+  SELECT x.doc_id, x.i, y.i - x.i AS q FROM coded x JOIN coded y
+  ON x.doc_id = y.doc_id AND x.g = y.g AND y.i > x.i AND 4 * (y.i - x.i) <= x.n),
+islands AS (
+  SELECT doc_id, q, i, i - row_number() OVER (PARTITION BY doc_id, q ORDER BY i) AS k FROM pairs),
+stretches AS (
+  SELECT doc_id, q, min(i) AS s, count(*) + 4 + q AS l FROM islands GROUP BY doc_id, q, k
+  HAVING count(*) + 4 + q >= greatest(6, 4 * q)),
+runs AS (
+  SELECT * FROM stretches r WHERE NOT EXISTS (
+    FROM stretches o WHERE o.doc_id = r.doc_id AND o.q < r.q AND o.s <= r.s AND o.s + o.l >= r.s + r.l)),
+listed AS (
+  SELECT doc_id, count(*) AS n_runs, string_agg(s || ',' || l || ',' || q || chr(10), '' ORDER BY s, q) AS lines FROM runs GROUP BY doc_id),
+best AS (
+  SELECT * FROM runs QUALIFY row_number() OVER (PARTITION BY doc_id ORDER BY l DESC, s, q) = 1),
+gone AS (SELECT DISTINCT doc_id, unnest(range(s + q, s + l)) AS i FROM runs),
+kept AS (
+  SELECT doc_id, string_agg(w, ' ' ORDER BY i) AS t FROM words ANTI JOIN gone USING (doc_id, i) GROUP BY doc_id)
+SELECT d.doc_id, coalesce(n_runs, 0) AS n_runs, b.s AS start, b.l AS length, b.q AS period,
+       1000 * b.l // b.q AS exponent_milli, sha256(coalesce(lines, '')) AS runs_sha256, sha256(coalesce(t, '')) AS collapsed_sha256
+FROM documents d LEFT JOIN listed USING (doc_id) LEFT JOIN best b USING (doc_id) LEFT JOIN kept USING (doc_id)""",
 }
