@@ -16,13 +16,14 @@ COLUMNS = {
     "op6_token_files": {"doc_id", "start", "n_tokens", "ids_crc32"},
     "op7_token_counts": {"part", "ordinal", "start", "n_tokens", "closed"},
     "op8_toxicity": {"doc_id", "held_out", "score", "predicted", "hits"},
+    "op12_language_id": {"doc_id", "held_out", "lang_pred", "score"},
     "op10_packing": {"doc_id", "start", "length", "ids_crc32", "doc_tokens", "sequence_id", "offset"},
 }
 
 
 def test_all_are_registered():
     assert {*QUERIES, "pipeline"} <= set(entry.queries()) and set(ORACLE) <= set(entry.oracle_sql())
-    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 11)) | {13}
+    assert {int(name[2:].split("_")[0]) for name in QUERIES} == set(range(1, 14))
 
 
 @pytest.mark.parametrize("name", sorted(ORACLE))

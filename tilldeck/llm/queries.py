@@ -11,6 +11,9 @@ from tilldeck.llm.decontaminate import benchmark_matches
 from tilldeck.llm.embeddings import near_duplicate_vectors
 from tilldeck.llm.flat_tokens import document_token_counts, write_flat_tokens
 from tilldeck.llm.html_text import extract_main_text
+from tilldeck.llm.language import fit as fit_language
+from tilldeck.llm.language import language
+from tilldeck.llm.negatives import hard_negatives
 from tilldeck.llm.ngram_join import near_duplicate_classes
 from tilldeck.llm.packing import pack_documents
 from tilldeck.llm.periodic import periodic_runs
@@ -94,6 +97,20 @@ def op10_packing(spark: SparkSession, folder: str) -> DataFrame:
     return pack_documents(_read(spark, folder, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, folder: str) -> DataFrame:
+    label = F.when(F.col("vec_id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label"))
+    vectors = _read(spark, folder, "embeddings").select("vec_id", "embedding", label.alias("label"))
+    return hard_negatives(vectors, F.col("vec_id") % 100 == 0)
+
+
+def op12_language_id(spark: SparkSession, folder: str) -> DataFrame:
+    docs = _read(spark, folder, "documents")
+    crc = F.crc32(F.col("doc_id").cast("string").cast("binary"))
+    held = F.coalesce(crc % 4 == 2, F.lit(False))
+    model = fit_language(docs.where(~held))
+    return language(docs, model).select("doc_id", held.alias("held_out"), "lang_pred", "score")
+
+
 def planted_runs(docs: DataFrame) -> DataFrame:
     """``docs`` with a periodic end for ids whose crc32 is divisible by 10: words from
     place ``a`` on become those from ``a`` with period ``p``. Other texts are unchanged,
@@ -136,6 +153,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_decontaminate": op9_decontaminate,
     "op10_packing": op10_packing,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_language_id": op12_language_id,
     "op13_periodic_runs": op13_periodic_runs,
 }
 
@@ -213,6 +232,24 @@ counts AS (SELECT a, count(*) AS n FROM links GROUP BY a)
 SELECT e.vec_id, coalesce(n, 0) AS n_links, least(e.vec_id, coalesce(low.b, e.vec_id)) AS component_id,
        e.vec_id = least(e.vec_id, coalesce(low.b, e.vec_id)) AS kept
 FROM embeddings e LEFT JOIN counts ON e.vec_id = counts.a LEFT JOIN low ON e.vec_id = low.a""",
+    "op11_hard_negatives": """
+WITH
+v AS (
+  SELECT vec_id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS q FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.vec_id AS a, b.vec_id AS b, a.label = b.label AS same, list_inner_product(a.q, b.q)::BIGINT AS score
+  FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.q) = len(b.q) WHERE a.vec_id % 100 = 0),
+positives AS (
+  SELECT * FROM scored WHERE same QUALIFY row_number() OVER (PARTITION BY a ORDER BY score DESC, b) <= 5)
+SELECT p.a AS anchor_id, p.b AS positive_id,
+       (row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b))::INT AS rank,
+       n.b AS negative_id, p.score AS positive_score, n.score AS negative_score
+FROM positives p JOIN scored n ON p.a = n.a AND NOT n.same
+  AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
+QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) <= 5""",
     # A run is an island of equal words on one diagonal of 5-word repeats; of those
     # that cover one stretch, the one of the smallest period counts.
     "op13_periodic_runs": r"""
