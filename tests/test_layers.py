@@ -70,6 +70,66 @@ def test_a_large_day_is_written_by_several_tasks(spark, tmp_path):
     assert layers.read_layer(spark, str(tmp_path), TABLE).count() == 60000
 
 
+def test_backfill_writes_runs_of_days(spark, tmp_path, rows):
+    root, df = str(tmp_path), events(spark, 400, 5)
+    layers.write_layer(df.repartition(7), root, TABLE, mode="backfill")
+    back = layers.read_layer(spark, root, TABLE)
+    assert rows(back, "event_id", "dt") == rows(df, "event_id", "dt")
+    assert not glob.glob(f"{root}/dwd/{TABLE}/dt=*")
+    assert len(glob.glob(f"{root}/dwd/{TABLE}/*.parquet")) <= 4
+    day = layers.read_layer(spark, root, TABLE, "2025-01-02", "2025-01-03")
+    assert day.count() == 10 and "PushedFilters: [IsNotNull(dt)" in day._jdf.queryExecution().executedPlan().toString()
+    with pytest.raises(Exception, match="ALREADY_EXISTS"):
+        layers.write_layer(df, root, TABLE, mode="backfill")
+    with pytest.raises(ValueError, match="runs of days"):
+        layers.write_layer(df, root, TABLE, days=("2025-01-01", "2025-01-02"))
+
+
+def test_backfill_tasks_own_runs_of_days_and_share_a_large_one(spark, tmp_path):
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        hot = events(spark, 1, 3000).unionAll(events(spark, 300, 10)).withColumn("event_id", F.expr("uuid()"))
+        layers.write_layer(hot, str(tmp_path), TABLE, mode="backfill")
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    spans = (
+        layers.read_layer(spark, str(tmp_path), TABLE)
+        .groupBy("_metadata.file_name").agg(F.min("dt").alias("low"), F.max("dt").alias("high"))
+        .orderBy("low", "high").collect()
+    )
+    assert sum(s.low == "2025-01-01" for s in spans) > 1
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
+
+
+def test_emptied_days_are_cleared_before_new_ones_show(spark, tmp_path, monkeypatch):
+    root, df = str(tmp_path), events(spark, 4)
+    layers.write_layer(df, root, TABLE)
+    new = events(spark, 4, 5).where("dt != '2025-01-02'")
+    days = ("2025-01-01", "2025-01-03")
+
+    def counts():
+        return {r.dt: r["count"] for r in layers.read_layer(spark, root, TABLE).groupBy("dt").count().collect()}
+
+    show = layers._show
+    monkeypatch.setattr(layers, "_show", lambda *_: (_ for _ in ()).throw(RuntimeError("lost")))
+    with pytest.raises(RuntimeError, match="lost"):
+        layers.write_layer(new.where("dt <= '2025-01-03'"), root, TABLE, days=days)
+    assert counts() == {"2025-01-01": 3, "2025-01-03": 3, "2025-01-04": 3}
+    monkeypatch.setattr(layers, "_show", show)
+    layers.write_layer(new.where("dt <= '2025-01-03'"), root, TABLE, days=days)
+    assert counts() == {"2025-01-01": 5, "2025-01-03": 5, "2025-01-04": 3}
+
+
+def test_a_run_that_cannot_be_computed_changes_nothing(spark, tmp_path, rows):
+    root, df = str(tmp_path), events(spark, 3)
+    layers.write_layer(df, root, TABLE)
+    before = rows(layers.read_layer(spark, root, TABLE))
+    broken = df.where("dt = '2025-01-01'").withColumn("user_id", F.raise_error(F.lit("bad row")).cast("string"))
+    with pytest.raises(Exception, match="bad row"):
+        layers.write_layer(broken, root, TABLE, days=("2025-01-01", "2025-01-03"))
+    assert rows(layers.read_layer(spark, root, TABLE)) == before
+
+
 def test_catalog_table(spark, tmp_path):
     spark.sql(f"create database if not exists shelf location '{tmp_path}/shelf'")
     for _ in range(2):

@@ -37,6 +37,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--input", required=True, help="folder of the nine raw CSV files")
     sub.add_argument("--output", required=True, help="root of the layers")
     sub.add_argument("--stages", default=",".join(RETAIL_STAGES))
+    sub.add_argument("--backfill", action="store_true", help="new tables over many days, few files")
 
     sub = command("behavior", "build the behaviour layers")
     sub.add_argument("--input", help="folder of the six raw Parquet files")
@@ -72,7 +73,7 @@ def main(argv: list[str] | None = None) -> None:
     args = _parser().parse_args(argv)
     spark = build_session("tilldeck", args.master, args.time_zone, args.shuffle_partitions)
     if args.command in ("retail", "behavior", "quality"):
-        run = RunContext(args.start_date, args.end_date, args.dt)
+        run = RunContext(args.start_date, args.end_date, args.dt, getattr(args, "backfill", False))
     if args.command == "retail":
         stages = args.stages.split(",")
         if "ods" in stages:

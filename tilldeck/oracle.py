@@ -696,9 +696,7 @@ _SQL = {
 }
 
 
-# The whole retail build takes the year as period of everything but events.
-_DATED = ("orders_raw", "payments", "refunds_raw", "stock_raw")
-_LAYERED = _CTES | {name: _CTES[name].replace("%Y-%m-%d", "%Y-01-01") for name in _DATED}
+_LAYERED = dict(_CTES)
 # Layer tables hold ids as text, and the fixed order among copies follows it.
 _LAYERED["items"] = """
         SELECT order_item_id, order_id, product_id, shop_id, quantity, item_amount, sale_price FROM (

@@ -28,7 +28,7 @@ def raw_csv_tables(spark: SparkSession, folder: str) -> dict[str, DataFrame]:
 def build_landed(raw: Mapping[str, DataFrame], root: str, run: RunContext) -> None:
     for name, table in RAW_TABLES.items():
         landed = land(raw[name], name, run.load_dt)
-        write_layer(in_date_range(landed, run.start, run.end), root, table, days=run.days)
+        write_layer(in_date_range(landed, run.start, run.end), root, table, run.mode, days=run.days)
 
 
 def build_facts(spark: SparkSession, root: str, run: RunContext) -> None:
@@ -48,18 +48,21 @@ def build_facts(spark: SparkSession, root: str, run: RunContext) -> None:
         "dwd_inventory_change_detail": facts.inventory_detail(landed("ods_inventory_logs", True)),
     }
     for table, df in built.items():
-        write_layer(df, root, table, days=run.days)
+        write_layer(df, root, table, run.mode, days=run.days)
 
 
 def build_dimensions(spark: SparkSession, root: str, run: RunContext) -> None:
     dt = run.load_dt
     products = read_layer(spark, root, "ods_products")
-    write_layer(dimensions.dim_user(read_layer(spark, root, "ods_users"), dt), root, "dim_user")
-    write_layer(dimensions.dim_product(products, dt), root, "dim_product")
-    write_layer(dimensions.dim_shop(read_layer(spark, root, "ods_shops"), dt), root, "dim_shop")
-    current = read_layer(spark, root, "dim_product", dt, dt)
-    write_layer(dimensions.dim_category(current, dt), root, "dim_category")
-    write_layer(dimensions.dim_date(dimensions.date_range(spark, *run.calendar)), root, "dim_date")
+
+    def put(df: DataFrame, table: str) -> None:
+        write_layer(df, root, table, run.mode)
+
+    put(dimensions.dim_user(read_layer(spark, root, "ods_users"), dt), "dim_user")
+    put(dimensions.dim_product(products, dt), "dim_product")
+    put(dimensions.dim_shop(read_layer(spark, root, "ods_shops"), dt), "dim_shop")
+    put(dimensions.dim_category(read_layer(spark, root, "dim_product", dt, dt), dt), "dim_category")
+    put(dimensions.dim_date(dimensions.date_range(spark, *run.calendar)), "dim_date")
 
 
 def build_summaries(spark: SparkSession, root: str, run: RunContext) -> None:
@@ -81,7 +84,7 @@ def build_summaries(spark: SparkSession, root: str, run: RunContext) -> None:
         "dws_inventory_day_summary": summaries.inventory_daily(fact("dwd_inventory_change_detail")),
     }
     for table, df in built.items():
-        write_layer(money_as_double(df), root, table, days=run.days)
+        write_layer(money_as_double(df), root, table, run.mode, days=run.days)
 
 
 def build_metrics(spark: SparkSession, root: str, run: RunContext) -> None:
@@ -111,7 +114,7 @@ def build_metrics(spark: SparkSession, root: str, run: RunContext) -> None:
         ),
     }
     for table, df in built.items():
-        write_layer(money_as_double(df), root, table, days=run.days)
+        write_layer(money_as_double(df), root, table, run.mode, days=run.days)
 
 
 def layer_quality(spark: SparkSession, root: str, run: RunContext) -> DataFrame:

@@ -1,4 +1,5 @@
-"""Layer tables: ``<root>/<layer>/<table>/dt=...`` as Parquet."""
+"""Layer tables: ``<root>/<layer>/<table>/dt=...`` as Parquet, or, after a backfill,
+files of runs of days in ``<root>/<layer>/<table>``."""
 
 from __future__ import annotations
 
@@ -9,6 +10,7 @@ from pyspark.sql.utils import AnalysisException
 from tilldeck.functions.casts import typed
 from tilldeck.functions.frames import in_date_range
 from tilldeck.schemas import OPTIONAL, layer_of, schema_of
+from tilldeck.session import scratch_dir
 
 
 def table_path(root: str, table: str) -> str:
@@ -52,40 +54,73 @@ def write_layer(
     """Write by day. ``overwrite`` replaces the days present in ``df``.
 
     Give the range a run covers as ``days``: days of it that had rows and have
-    none any more are emptied. Other days stay.
+    none any more are emptied, before the new days show: the new rows are computed
+    into scratch files first, so a run that fails leaves the table as it was, or
+    with such days emptied, but never new days beside rows that are no more. Other
+    days stay.
 
     The rebalance hint puts one day's rows together without forcing a large
     day into one task: AQE splits big partitions and merges small ones.
+
+    ``backfill`` writes a new table over many days: each file holds a run of days
+    in order, with ``dt`` as a column, so thousands of small days need few files.
+    Day filters skip files and row groups by their statistics. Readers see no
+    difference, but such a table is only written as a whole.
     """
     shaped = conform(df, table)
-    size = [output_partitions] if output_partitions else []
-    ranged = mode == "overwrite" and all(days)
-    before = _day_files(df.sparkSession, root, table, days) if ranged else {}
     path = table_path(root, table)
+    if mode == "backfill":
+        _in_runs(shaped).write.mode("errorifexists").parquet(path)
+        return
+    if _has_files(df.sparkSession, path):
+        raise ValueError(f"{path} was written in runs of days; single days cannot be written to it")
+    if mode == "overwrite" and all(days) and (before := _written_days(df.sparkSession, root, table, days)):
+        staged = scratch_dir(df.sparkSession, f"staged-{table}")
+        _in_runs(shaped).write.parquet(staged)
+        shaped = df.sparkSession.read.schema(shaped.schema).parquet(staged)
+        now = {row["dt"] for row in shaped.select("dt").distinct().collect()}
+        nothing = shaped.drop("dt").where("false")
+        for day in sorted(before - now):
+            nothing.write.mode("overwrite").parquet(f"{path}/dt={day}")
+    _show(shaped, path, mode, output_partitions)
+
+
+def _in_runs(df: DataFrame) -> DataFrame:
+    """Rows in the order of days, over tasks that each own a run of days. A hash of
+    the row is the second key of the range, so a large day fills several tasks."""
+    row = F.xxhash64(*(c for c in df.columns if c != "dt"))
+    return df.repartitionByRange("dt", row).sortWithinPartitions("dt")
+
+
+def _show(df: DataFrame, path: str, mode: str, output_partitions: int | None) -> None:
+    size = [output_partitions] if output_partitions else []
     (
-        shaped.hint("rebalance", *size, F.col("dt"))
+        df.hint("rebalance", *size, F.col("dt"))
         .write.mode(mode)
         .option("partitionOverwriteMode", "dynamic")
         .partitionBy("dt")
         .parquet(path)
     )
-    if before:
-        after = _day_files(df.sparkSession, root, table, days)
-        nothing = shaped.drop("dt").where("false")
-        for day in (day for day, name in before.items() if after.get(day) == name):
-            nothing.write.mode("overwrite").parquet(f"{path}/dt={day}")
 
 
-def _day_files(spark: SparkSession, root: str, table: str, days: tuple[str, str]) -> dict[str, str]:
-    """A file name of each written day in the range; a new write changes it."""
+def _has_files(spark: SparkSession, path: str) -> bool:
+    """Whether Parquet files lie in the folder itself, not in those of days."""
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    files = folder.getFileSystem(spark._jsc.hadoopConfiguration())
+    return files.exists(folder) and any(
+        found.isFile() and found.getPath().getName().endswith(".parquet") for found in files.listStatus(folder)
+    )
+
+
+def _written_days(spark: SparkSession, root: str, table: str, days: tuple[str, str]) -> set[str]:
+    """Days of the range that hold rows."""
     try:
         rows = read_layer(spark, root, table, *days)
     except AnalysisException as missing:
         if missing.getCondition() != "PATH_NOT_FOUND":
             raise
-        return {}
-    named = rows.groupBy("dt").agg(F.min("_metadata.file_name").alias("name"))
-    return {row["dt"]: row["name"] for row in named.collect()}
+        return set()
+    return {row["dt"] for row in rows.select("dt").distinct().collect()}
 
 
 def save_as_table(df: DataFrame, table: str, database: str | None = None) -> None:
