@@ -286,7 +286,7 @@ def fit(
         share = F.when(F.col("lang") == lang, min(1.0, stretches / n)).otherwise(share)
     chosen = F.filter(
         F.sequence(F.lit(0).cast("long"), F.col("places")),
-        lambda k: F.pmod(F.xxhash64("id", F.length("text"), k), F.lit(1_000_000)) < F.col("share") * 1_000_000,
+        lambda k: F.pmod(F.xxhash64("id", F.octet_length("text"), k), F.lit(1_000_000)) < F.col("share") * 1_000_000,
     )
     cut = F.transform(chosen, lambda k: F.substring("text", (k * STRETCH + 1).cast("int"), F.lit(STRETCH)))
     found = rows.withColumn("share", share).select("lang", F.explode(cut).alias("text")).collect()
