@@ -7,6 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tilldeck.functions.frames import (
+    positioned,
     in_date_range,
     keep_one,
     money_as_double,
@@ -65,3 +66,17 @@ def test_reported_form(spark):
     )
     assert tuple(reported(df).first()) == (1.1, "2024-01-02 03:04:05", "2024-01-02", 7)
     assert dict(money_as_double(df).dtypes)["m"] == "double"
+
+
+def test_positions_of_a_key_that_fills_many_tasks(spark):
+    for name, value in (("adaptive.coalescePartitions.enabled", "false"), ("shuffle.partitions", "7")):
+        spark.conf.set(f"spark.sql.{name}", value)
+    try:
+        df = spark.range(5000).selectExpr("if(id % 3 = 0, 'hot', concat('k', id % 50)) as k", "(id * 7919) % 5000 as v", "'x' as other")
+        got = positioned(df, ["k"], ["v"])
+        expected = df.selectExpr("*", "cast(row_number() over (partition by k order by v) as long) as position")
+        assert got.exceptAll(expected).isEmpty() and got.count() == 5000 and got.columns == ["k", "v", "other", "position"]
+        assert positioned(df.where("false"), ["k"], ["v"]).collect() == []
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")

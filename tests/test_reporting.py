@@ -79,10 +79,24 @@ def test_period_kpis(spark):
     assert tuple(nothing) == (0.0, 0.0, 0.0, 0.0, 1.0, 0.0)
 
 
-def test_payload_is_clean_json(spark):
-    df = spark.createDataFrame([("a", float("nan"), 1 / 3)], "k string, x double, y double")
-    (row,) = R.payload({"s": df}).collect()
-    assert row.section == "s" and json.loads(row.record) == {"k": "a", "y": 0.333333}
+def test_payload_is_clean_and_in_order(spark):
+    df = spark.createDataFrame(
+        [("a", float("nan"), 1), ("b", 1 / 3, 7), (None, 2.0, 7), ("c", None, None)], "k string, x double, n int"
+    )
+    sections = {"s": R.Section(df, ("-n", "k")), "one": R.Section(df.where("k = 'a'")), "none": R.Section(df.where("false"))}
+    payload = R.payload(sections)
+    rows = sorted((r.section, r.position, json.loads(r.record)) for r in payload.collect())
+    assert rows == [
+        ("one", 1, {"k": "a", "n": 1}),
+        ("s", 1, {"k": "b", "x": 0.333333, "n": 7}),
+        ("s", 2, {"x": 2.0, "n": 7}),
+        ("s", 3, {"k": "a", "n": 1}),
+        ("s", 4, {"k": "c"}),
+    ]
+    values = {tuple(r) for r in R.payload_values(payload).where("section = 's' and position = 2").collect()}
+    assert values == {("s", 2, "k", None, None), ("s", 2, "x", None, 2.0), ("s", 2, "n", None, 7.0)}
+    with pytest.raises(ValueError, match="only numbers"):
+        R.payload({"s": R.Section(df, ("-k",))})
 
 
 def test_segment_rollup_keeps_null(spark, rows):

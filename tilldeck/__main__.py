@@ -62,6 +62,7 @@ def _parser() -> argparse.ArgumentParser:
     sub.add_argument("--input", required=True, help="root of the layers")
     sub.add_argument("--output", required=True)
     sub.add_argument("--topn", type=int, default=reporting.TOP)
+    sub.add_argument("--external-root", nargs="*", default=[], help="Parquet files whose profile is added")
 
     sub = command("profile", "rows, size and columns of Parquet files", dated=False)
     sub.add_argument("--output", required=True)
@@ -113,6 +114,9 @@ def main(argv: list[str] | None = None) -> None:
     elif args.command == "dashboard":
         sections = dashboard.retail_sections(spark, args.input, args.topn)
         sections |= dashboard.behavior_sections(spark, args.input, args.topn)
+        if args.external_root:
+            profile = dataset_profile(spark, args.external_root)
+            sections["public_dataset"] = reporting.Section(profile, ("file_name",))
         write_payload(reporting.payload(sections), args.output)
     else:
         dataset_profile(spark, args.paths).coalesce(1).write.mode("overwrite").json(args.output)

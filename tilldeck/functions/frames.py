@@ -8,7 +8,9 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-_RANK = "__rank"
+from tilldeck.session import scratch_dir
+
+_RANK, _TASK, _ROW = "__rank", "__task", "__row"
 
 
 def ranked(df: DataFrame, keys: Sequence[str], order: Sequence[Column], keep: int, rank: str) -> DataFrame:
@@ -28,6 +30,26 @@ def keep_one(df: DataFrame, keys: Sequence[str], order: Sequence[Column] | None
     return ranked(df, keys, order + rest, 1, _RANK).drop(_RANK)
 
 
+def positioned(df: DataFrame, keys: Sequence[str], order: Sequence[str], name: str = "position") -> DataFrame:
+    """``df`` with each row's place, from 1, in the given order inside its key.
+
+    A key of any size is spread: rows are dealt to tasks by ranges of key and order,
+    numbered inside their task and written to the shared scratch folder; then a sum
+    over one row per task and key gives how many rows came before. Give an order
+    without ties where places must not depend on the run.
+    """
+    spark, sort = df.sparkSession, [*keys, *order]
+    path = scratch_dir(spark, "positions")
+    dealt = df.repartitionByRange(*sort).sortWithinPartitions(*sort)
+    dealt.select("*", F.spark_partition_id().alias(_TASK), F.monotonically_increasing_id().alias(_ROW)).write.parquet(path)
+    rows = spark.read.parquet(path)
+    counts = rows.groupBy(*keys, _TASK).agg(F.min(_ROW).alias("__first"), F.count("*").alias("__rows"))
+    before = Window.partitionBy(*keys).orderBy(_TASK).rowsBetween(Window.unboundedPreceding, -1)
+    ahead = counts.withColumn("__ahead", F.coalesce(F.sum("__rows").over(before), F.lit(0))).drop("__rows")
+    place = F.col(_ROW) - F.col("__first") + F.col("__ahead") + 1
+    return rows.join(ahead, [*keys, _TASK]).select(*df.columns, place.alias(name))
+
+
 def in_date_range(
     df: DataFrame, start: str | None = None, end: str | None = None, time_column: str | None = None
 ) -> DataFrame:

@@ -7,12 +7,15 @@ through a single task to be compared with its own total.
 from __future__ import annotations
 
 from collections.abc import Sequence
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from tilldeck.functions.expressions import clean_value, safe_div
+from tilldeck.functions.frames import positioned
 from tilldeck.operators.behavior import STEPS
 
 SPARSE_SHARE = 0.1
@@ -172,13 +175,64 @@ def conversion_scatter(daily: DataFrame) -> DataFrame:
     )
 
 
-def payload(sections: dict[str, DataFrame]) -> DataFrame:
-    """Dashboard sections as rows of (section, JSON record), values cleaned."""
+@dataclass(frozen=True)
+class Section:
+    """Rows of one dashboard section and the columns they are listed by, a ``-`` in
+    front for descending. Nulls come last."""
 
-    def records(name: str, df: DataFrame) -> DataFrame:
-        columns = [
-            (clean_value(F.col(c)).alias(c) if kind in ("double", "float") else F.col(c)) for c, kind in df.dtypes
-        ]
-        return df.select(F.lit(name).alias("section"), F.to_json(F.struct(*columns)).alias("record"))
+    rows: DataFrame
+    order: tuple[str, ...] = ()
 
-    return reduce(DataFrame.unionByName, (records(name, df) for name, df in sections.items()))
+
+def _sort_key(section: Section) -> Column:
+    """The order of any section in one comparable type."""
+    keys = []
+    for name in section.order:
+        column = F.col(name.removeprefix("-"))
+        if isinstance(section.rows.schema[name.removeprefix("-")].dataType, T.NumericType):
+            number = column.cast("double") * (-1 if name.startswith("-") else 1)
+            keys.append(F.struct(F.coalesce(number, F.lit(float("inf"))).alias("n"), F.lit("").alias("t")))
+        elif name.startswith("-"):
+            raise ValueError(f"{name}: only numbers are listed in descending order")
+        else:
+            null = F.when(column.isNull(), float("inf")).otherwise(0.0)
+            keys.append(F.struct(null.alias("n"), F.coalesce(column.cast("string"), F.lit("")).alias("t")))
+    return F.array(*keys) if keys else F.expr("cast(array() as array<struct<n: double, t: string>>)")
+
+
+def payload(sections: dict[str, Section]) -> DataFrame:
+    """Dashboard sections as rows of (section, position, record, values).
+
+    ``position`` counts from 1 in the section's order, ``record`` is the row as JSON
+    with cleaned numbers, ``values`` the same as an array of typed entries. Positions
+    are found without any section passing through one task, see ``positioned``.
+    """
+
+    def records(name: str, section: Section) -> DataFrame:
+        columns, entries = [], []
+        for field in section.rows.schema:
+            column, number, text = F.col(field.name), F.lit(None).cast("double"), F.lit(None).cast("string")
+            if isinstance(field.dataType, (T.DoubleType, T.FloatType, T.DecimalType)):
+                column = number = clean_value(column.cast("double"))
+            elif isinstance(field.dataType, T.NumericType):
+                number = column.cast("double")
+            else:
+                text = column.cast("string")
+            columns.append(column.alias(field.name))
+            entries.append(F.struct(F.lit(field.name).alias("key"), text.alias("text"), number.alias("number")))
+        return section.rows.select(
+            F.lit(name).alias("section"),
+            _sort_key(section).alias("sort_key"),
+            F.to_json(F.struct(*columns)).alias("record"),
+            F.array(*entries).alias("values"),
+        )
+
+    rows = reduce(DataFrame.unionByName, (records(name, section) for name, section in sections.items()))
+    return positioned(rows, ["section"], ["sort_key", "record"]).drop("sort_key")
+
+
+def payload_values(payload: DataFrame) -> DataFrame:
+    """One row per value of the payload."""
+    return payload.select("section", "position", F.inline("values")).withColumnsRenamed(
+        {"text": "text_value", "number": "number_value"}
+    )

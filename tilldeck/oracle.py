@@ -11,7 +11,9 @@ import re
 from tilldeck.operators.quality import REPORT_HEADER, REPORT_TITLE, REPORT_TOTALS, RULES
 from tilldeck.plans.catalog import (
     BEHAVIOR_DT,
+    DASHBOARD_DT,
     EMPTIED_DT,
+    GIVEN_TABLES,
     LIMIT_PER_TABLE,
     MEASURES,
     PROCESS_DT,
@@ -19,6 +21,7 @@ from tilldeck.plans.catalog import (
     SAMPLE_FRACTION,
     SAMPLE_SEED,
 )
+from tilldeck.schemas import TABLES
 
 
 def _day(x: str) -> str:
@@ -696,6 +699,97 @@ _SQL = {
 }
 
 
+_SHOWN = {
+    "ads_retail_dashboard_daily": "SELECT * FROM dashboards",
+    "ads_product_topn": _SQL["product_topn"],
+    "ads_category_topn": _SQL["category_topn"],
+    "ads_shop_rank": _SQL["shop_rank"],
+    "ads_user_retention": "SELECT * FROM retention",
+    "ads_rfm_user_segment": "SELECT * FROM rfm",
+    "ads_refund_analysis": "SELECT * FROM refund_groups",
+    "ads_inventory_turnover": "SELECT * FROM turnover",
+    "ads_synerise_behavior_dashboard_daily": "SELECT * FROM behavior_days",
+    "ads_synerise_event_type_trend": "SELECT * FROM behavior_types",
+    "ads_synerise_product_topn": _SQL["behavior_product_topn"],
+    "ads_synerise_category_topn": _SQL["behavior_category_topn"],
+}
+_CTES["shown_day"] = "SELECT max(dt) AS dt FROM ({}) WHERE dt <= '{}'".format(
+    " UNION ALL ".join(f"SELECT dt FROM ({sql})" for table, sql in _SHOWN.items() if "synerise" not in table),
+    DASHBOARD_DT,
+)
+
+
+def _values(section: str, source: str, order: str, columns: dict[str, bool]) -> str:
+    """A section value by value; ``columns`` says which ones are numbers."""
+    rows = f"SELECT *, row_number() OVER (ORDER BY {order}) AS position FROM ({source})"
+    return f"WITH listed AS MATERIALIZED ({rows}) " + " UNION ALL ".join(
+        f"SELECT '{section}' AS section, position, '{name}' AS key, "
+        + (
+            f"CAST(NULL AS VARCHAR) AS text_value, round(CAST({name} AS DOUBLE), 6) AS number_value"
+            if number
+            else f"CAST({name} AS VARCHAR) AS text_value, CAST(NULL AS DOUBLE) AS number_value"
+        )
+        + " FROM listed"
+        for name, number in columns.items()
+    )
+
+
+def _shown(section: str, table: str, order: str, where: str = "true", keep: int | None = None) -> str:
+    fields = (field.split() for field in TABLES[table].split(", "))
+    columns = {name: kind != "STRING" for name, kind in fields}
+    limit = f"ORDER BY {order} LIMIT {keep}" if keep else ""
+    return _values(section, f"SELECT * FROM ({_SHOWN[table]}) WHERE {where} {limit}", order, columns)
+
+
+def _ordered(by: str, *ties: str) -> str:
+    return ", ".join([f"{by} DESC NULLS LAST", *(f"{t} NULLS LAST" for t in ties)])
+
+
+_ON_DAY, _DENSE = "dt = (SELECT dt FROM shown_day)", "dt = (SELECT dt FROM dense_day)"
+_RANKED = _ordered("pay_event_count", "rank_no")
+_DASHBOARD = [
+    _values("latest_dt", "SELECT dt AS latest_dt FROM shown_day", "1", {"latest_dt": False}),
+    _shown("kpis", "ads_retail_dashboard_daily", "dt", _ON_DAY),
+    _shown("daily", "ads_retail_dashboard_daily", "dt"),
+    _shown("retention", "ads_user_retention", "cohort_dt, day_diff", _ON_DAY, 20),
+    _values(
+        "rfm_segment",
+        _SQL["rfm_segment_rollup"],
+        _ordered("user_count", "user_segment"),
+        {"user_segment": False, "user_count": True, "monetary": True},
+    ),
+    _shown("product_topn", "ads_product_topn", _ordered("sales_amount", "rank_no"), _ON_DAY, 10),
+    _shown("category_topn", "ads_category_topn", _ordered("sales_amount", "rank_no"), _ON_DAY, 10),
+    _shown("shop_rank", "ads_shop_rank", _ordered("sales_amount", "rank_no"), _ON_DAY, 10),
+    _shown("refund_analysis", "ads_refund_analysis", _ordered("refund_amount", "refund_reason", "refund_status"), _ON_DAY, 10),
+    _shown(
+        "inventory_turnover",
+        "ads_inventory_turnover",
+        _ordered("inventory_turnover_rate", "CAST(product_id AS VARCHAR)", "CAST(shop_id AS VARCHAR)"),
+        _ON_DAY,
+        10,
+    ),
+    _values("synerise_latest_dt", "SELECT dt AS latest_dt FROM dense_day", "1", {"latest_dt": False}),
+    _shown("synerise_kpis", "ads_synerise_behavior_dashboard_daily", "dt", _DENSE),
+    _shown("synerise_daily", "ads_synerise_behavior_dashboard_daily", "dt"),
+    _shown("synerise_event_type", "ads_synerise_event_type_trend", "dt, event_type"),
+    _shown("synerise_product_topn", "ads_synerise_product_topn", _RANKED, _DENSE, 10),
+    _shown("synerise_category_topn", "ads_synerise_category_topn", _RANKED, _DENSE, 10),
+    _shown("synerise_product_topn_all", "ads_synerise_product_topn", "dt, rank_no"),
+    _shown("synerise_category_topn_all", "ads_synerise_category_topn", "dt, rank_no"),
+    _values(
+        "public_dataset",
+        " UNION ALL ".join(
+            f"SELECT '{name}' AS table_name, (SELECT count(*) FROM {name}) AS row_count, "
+            f"(SELECT string_agg(column_name, ',') FROM (DESCRIBE {name})) AS columns"
+            for name in GIVEN_TABLES
+        ),
+        "table_name",
+        {"table_name": False, "row_count": True, "columns": False},
+    ),
+]
+_SQL["dashboard_payload"] = " UNION ALL ".join(f"SELECT * FROM ({sql})" for sql in _DASHBOARD)
+
 _LAYERED = dict(_CTES)
 # Layer tables hold ids as text, and the fixed order among copies follows it.
 _LAYERED["items"] = """

@@ -17,6 +17,7 @@ from tilldeck.operators import facts, landing, metrics, quality
 from tilldeck.operators import reporting as R
 from tilldeck.operators import summaries as S
 from tilldeck.plans import behavior as behavior_plan
+from tilldeck.plans import dashboard
 from tilldeck.plans import retail as retail_plan
 from tilldeck.schemas import LAYERS
 from tilldeck.session import scratch_dir
@@ -25,6 +26,7 @@ from tilldeck.sources.driver_tables import DriverTables
 
 PROCESS_DT = "2001-08-01"
 BEHAVIOR_DT = "2024-01-30"
+DASHBOARD_DT = "1998-07-01"
 RANGE = ("2024-01-08", "2024-01-21")
 RERUN_DT = "2024-01-15"
 EMPTIED_DT = "2024-01-16"
@@ -186,6 +188,55 @@ class Shop:
     def behavior_types(self) -> DataFrame:
         return B.behavior_event_type_daily(self.behavior_bare)
 
+    def stored(self, df: DataFrame, name: str) -> DataFrame:
+        """``df`` computed once, as a table in the scratch folder."""
+        path = self.scratch(name)
+        df.write.parquet(path)
+        return self.spark.read.parquet(path)
+
+    def metric_tables(self) -> str:
+        """The metric tables the dashboard reads; facts they share are computed once."""
+        root = self.scratch("metrics")
+        lines = self.stored(self.product_lines, "lines")
+        behavior = self.stored(self.behavior, "behavior")
+        payments, refunds = self.stored(self.payments, "payments"), self.stored(self.refunds, "refunds")
+        trade = S.trade_daily(S.order_fact(lines), payments, refunds)
+        sales = metrics.product_sales(lines, "quantity", "item_amount")
+        tables = {
+            "ads_retail_dashboard_daily": metrics.retail_dashboard(
+                trade, metrics.repeat_purchase(S.user_pay_day(payments))
+            ),
+            "ads_product_topn": metrics.product_topn(
+                S.product_daily(lines), D.dim_product(self.raw.products, PROCESS_DT)
+            ),
+            "ads_category_topn": metrics.category_topn(S.category_daily(lines)),
+            "ads_shop_rank": metrics.shop_rank(S.shop_daily(lines), D.dim_shop(self.raw.shops, PROCESS_DT)),
+            "ads_user_retention": self.retention,
+            "ads_rfm_user_segment": metrics.rfm_segment(payments, PROCESS_DT),
+            "ads_refund_analysis": metrics.refund_analysis(refunds),
+            "ads_inventory_turnover": metrics.inventory_turnover(self.stock, sales),
+            "ads_synerise_behavior_dashboard_daily": B.behavior_daily(behavior),
+            "ads_synerise_event_type_trend": B.behavior_event_type_daily(behavior),
+            "ads_synerise_product_topn": B.behavior_product_topn(B.behavior_product_daily(behavior)),
+            "ads_synerise_category_topn": B.behavior_category_topn(B.behavior_category_daily(behavior)),
+        }
+        for table, df in tables.items():
+            layers.write_layer(money_as_double(df), root, table, mode="backfill")
+        return root
+
+    def table_profile(self) -> DataFrame:
+        """Rows and columns of every given table."""
+        tables = {name: self.raw.table(name) for name in GIVEN_TABLES}
+        return reduce(
+            DataFrame.unionByName,
+            (
+                df.agg(F.count("*").alias("row_count")).select(
+                    F.lit(name).alias("table_name"), "row_count", F.lit(",".join(df.columns)).alias("columns")
+                )
+                for name, df in tables.items()
+            ),
+        )
+
     def checks(self, only: list[str] | None = None) -> DataFrame:
         """Quality rules on the tables as they arrive, where they can fail."""
         raw = self.raw
@@ -784,19 +835,12 @@ def conversion_scatter(shop: Shop) -> DataFrame:
 
 @query
 def dashboard_payload(shop: Shop) -> DataFrame:
-    trade = money_as_double(metrics.retail_dashboard(shop.trade, shop.repeat))
-    day = R.latest_non_sparse_dt(shop.behavior_day)
-    return R.payload(
-        {
-            "daily": trade,
-            "kpis": R.on_day(trade, R.latest_dt(shop.order_day)),
-            "retention": R.latest_retention(shop.retention, R.latest_dt(shop.retention)),
-            "rfm_segment": money_as_double(R.segment_rollup(shop.rfm)),
-            "synerise_daily": shop.behavior_day,
-            "synerise_kpis": R.on_day(shop.behavior_day, day),
-            "synerise_event_type": shop.behavior_types,
-        }
-    )
+    """All sections of the dashboard, from metric tables written once, value by value."""
+    root = shop.metric_tables()
+    sections = dashboard.retail_sections(shop.spark, root, until=DASHBOARD_DT)
+    sections |= dashboard.behavior_sections(shop.spark, root)
+    sections["public_dataset"] = R.Section(shop.table_profile(), ("table_name",))
+    return R.payload_values(R.payload(sections))
 
 
 # -- whole builds -------------------------------------------------------------------

@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 
 def write_payload(payload: DataFrame, path: str) -> None:
-    """One folder per section, one JSON record per line."""
+    """One folder per section, one JSON record per line, in the order of positions:
+    along the files' names and inside each file."""
     (
-        payload.select("section", F.col("record").alias("value"))
-        .hint("rebalance", F.col("section"))
+        payload.repartitionByRange("section", "position")
+        .sortWithinPartitions("section", "position")
+        .select("section", F.col("record").alias("value"))
         .write.mode("overwrite")
         .partitionBy("section")
         .text(path)
