@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-from functools import cached_property, reduce
+from collections.abc import Callable, Iterable
+from concurrent.futures import ThreadPoolExecutor
+from functools import cached_property, partial, reduce
 
+from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -188,18 +190,25 @@ class Shop:
     def behavior_types(self) -> DataFrame:
         return B.behavior_event_type_daily(self.behavior_bare)
 
-    def stored(self, df: DataFrame, name: str) -> DataFrame:
-        """``df`` computed once, as a table in the scratch folder."""
-        path = self.scratch(name)
-        df.write.parquet(path)
-        return self.spark.read.parquet(path)
+    def together(self, jobs: Iterable[Callable[[], None]]) -> None:
+        """Independent writes side by side: most are one small task for a while."""
+        with ThreadPoolExecutor(4) as pool:
+            for done in [pool.submit(inheritable_thread_target(self.spark)(job)) for job in jobs]:
+                done.result()
+
+    def stored(self, **frames: DataFrame) -> dict[str, DataFrame]:
+        """Each frame computed once, as a table in the scratch folder."""
+        paths = {name: self.scratch(name) for name in frames}
+        self.together(partial(df.write.parquet, paths[name]) for name, df in frames.items())
+        return {name: self.spark.read.parquet(path) for name, path in paths.items()}
 
     def metric_tables(self) -> str:
         """The metric tables the dashboard reads; facts they share are computed once."""
         root = self.scratch("metrics")
-        lines = self.stored(self.product_lines, "lines")
-        behavior = self.stored(self.behavior, "behavior")
-        payments, refunds = self.stored(self.payments, "payments"), self.stored(self.refunds, "refunds")
+        made = self.stored(
+            lines=self.product_lines, payments=self.payments, refunds=self.refunds, behavior=self.behavior
+        )
+        lines, payments, refunds, behavior = made.values()
         trade = S.trade_daily(S.order_fact(lines), payments, refunds)
         sales = metrics.product_sales(lines, "quantity", "item_amount")
         tables = {
@@ -220,8 +229,9 @@ class Shop:
             "ads_synerise_product_topn": B.behavior_product_topn(B.behavior_product_daily(behavior)),
             "ads_synerise_category_topn": B.behavior_category_topn(B.behavior_category_daily(behavior)),
         }
-        for table, df in tables.items():
-            layers.write_layer(money_as_double(df), root, table, mode="backfill")
+        self.together(
+            partial(layers.write_layer, money_as_double(df), root, table, "backfill") for table, df in tables.items()
+        )
         return root
 
     def table_profile(self) -> DataFrame:
@@ -766,29 +776,36 @@ def latest_behavior_kpis(shop: Shop) -> DataFrame:
 
 @query
 def latest_day_topn(shop: Shop) -> DataFrame:
-    products = S.product_daily(shop.product_lines)
-    categories = S.category_daily(shop.product_lines)
-    shops = S.shop_daily(shop.lines)
-    refunds = metrics.refund_analysis(shop.refunds)
-    skus = B.behavior_product_daily(shop.behavior)
-    trade_day = R.latest_dt(shop.order_day)
-    sections = (
-        R.day_top(products, trade_day, "products", "sales_amount", ["product_id", "category_id"]),
-        R.day_top(categories, trade_day, "categories", "sales_amount", ["category_id", "category_name"]),
-        R.day_top(shops, trade_day, "shops", "sales_amount", ["shop_id"]),
-        R.day_top(
-            refunds, R.latest_dt(shop.refunds), "refunds", "refund_amount", ["refund_reason", "refund_status"]
-        ),
-        R.day_top(
-            shop.turnover,
-            R.latest_dt(facts.inventory_detail(shop.raw.inventory_logs)),
-            "turnover",
-            "inventory_turnover_rate",
-            ["product_id", "shop_id"],
+    """Best rows of the latest day of six tables, all read from summaries written once."""
+    keys = ("dt", "product_id", "category_id", "category_name", "brand", "shop_id")
+    sums = {name: F.sum(name).alias(name) for name in ("sales_quantity", "sales_amount")}
+    made = shop.stored(
+        sales=shop.product_lines.groupBy(*keys).agg(
+            F.sum("quantity").alias("sales_quantity"), F.sum("item_amount").alias("sales_amount")
         ),
+        refunds=metrics.refund_analysis(shop.refunds),
+        stock=shop.stock,
+        skus=B.behavior_product_daily(shop.behavior),
+        types=shop.behavior_types,
+    )
+    sales, refunds, stock, skus = (made[name] for name in ("sales", "refunds", "stock", "skus"))
+    by_product, by_shop = ["product_id", "category_id"], ["shop_id"]
+    by_category = ["category_id", "category_name"]
+    products = sales.groupBy(*keys[:-1]).agg(sums["sales_amount"])
+    categories = sales.groupBy("dt", *by_category).agg(sums["sales_amount"])
+    shops = sales.groupBy("dt", *by_shop).agg(sums["sales_amount"])
+    turnover = metrics.inventory_turnover(stock, sales.groupBy("dt", "product_id").agg(*sums.values()))
+    trade_day = R.latest_dt(sales)
+    busy_day = R.latest_non_sparse_dt(made["types"].groupBy("dt").agg(F.sum("event_count").alias("event_count")))
+    sections = (
+        R.day_top(products, trade_day, "products", "sales_amount", by_product),
+        R.day_top(categories, trade_day, "categories", "sales_amount", by_category),
+        R.day_top(shops, trade_day, "shops", "sales_amount", by_shop),
+        R.day_top(refunds, R.latest_dt(refunds), "refunds", "refund_amount", ["refund_reason", "refund_status"]),
         R.day_top(
-            skus, R.latest_non_sparse_dt(shop.behavior_day), "skus", "pay_event_count", ["sku", "category_id"]
+            turnover, R.latest_dt(stock), "turnover", "inventory_turnover_rate", ["product_id", "shop_id"]
         ),
+        R.day_top(skus, busy_day, "skus", "pay_event_count", ["sku", "category_id"]),
     )
     return reduce(DataFrame.unionByName, sections)
 
