@@ -175,3 +175,19 @@ def test_sampling(spark):
 def test_topn(detail):
     top = B.behavior_product_topn(B.behavior_product_daily(detail), keep=1).collect()
     assert {(r.dt, r.sku, r.rank_no) for r in top} == {("2024-01-01", 10, 1), ("2024-01-02", 10, 1)}
+
+
+def test_sketches_of_days_merge_to_users_of_ranges(spark):
+    events = spark.range(60_000).selectExpr(
+        "id % 20000 as client_id",
+        "cast(date_add(date'2024-01-01', cast(id div 20000 as int)) as string) as dt",
+        "if(id % 10 = 0, 'pay', 'view') as event_type",
+    ).unionAll(spark.sql("select 77777L, '2024-01-04', 'view'"))
+    ranges = spark.createDataFrame([("2024-01-01", "2024-01-03"), ("2024-01-03", "2024-01-09")], "first_dt string, last_dt string")
+    sketches = B.user_sketches(events)
+    assert sketches.count() == 4
+    got = {r.first_dt: r for r in B.users_of_ranges(sketches, ranges).collect()}
+    for first, users, payers in (("2024-01-01", 20_000, 2_000), ("2024-01-03", 20_001, 2_000)):
+        assert abs(got[first].active_user_count - users) < 0.05 * users
+        assert abs(got[first].pay_user_count - payers) < 0.05 * payers
+        assert got[first].cart_user_count == 0

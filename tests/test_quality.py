@@ -1,5 +1,7 @@
 from __future__ import annotations
 
+from dataclasses import replace
+
 import pytest
 
 from tilldeck.operators import quality as Q
@@ -106,3 +108,17 @@ def test_report(spark):
     assert "- 检查项总数：2" in lines and "- 失败：1" in lines
     assert lines[-1] == "| DQ002 | 关键字段为空检查 | `table_b` | FAIL | 2 | bad |"
     assert tuple(Q.quality_summary(checks).first()) == (2, 1, 1)
+
+
+def test_keys_are_probed_in_one_pass_over_the_lines(inputs):
+    plan = Q.quality_checks(inputs, ["DQ002", "DQ007"])._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("order_item_id") <= 1 and plan.count("Join LeftOuter") == 3
+
+
+def test_blank_keys_are_unknown_keys(spark, inputs):
+    lines = spark.createDataFrame(
+        [("I1", "O1", "U1", "P1", "S1", "d"), ("I2", None, None, "P1", "S1", "d"), ("I3", "O1", "U1", "P1", "S8", None)],
+        inputs.lines.schema,
+    )
+    got = {r.rule_id: r.error_count for r in Q.quality_checks(replace(inputs, lines=lines), ["DQ002", "DQ007"]).collect()}
+    assert got == {"DQ002": 2, "DQ007": 2}

@@ -205,3 +205,28 @@ def test_rfm(shop):
 def test_refund_analysis_keeps_null_reason(shop):
     got = by_key(metrics.refund_analysis(shop.refunds), "refund_reason", "refund_status")
     assert got[(None, "approved")].refund_amount == 10.0 and len(got) == 3
+
+
+def test_masks_of_two_runs_merge_and_answer_any_offset(spark):
+    rows = [("u", "2024-01-01"), ("u", "2024-01-02"), ("u", "2024-02-10"), ("v", "2024-01-01"), ("v", "2024-03-11")]
+    rows += [("w", "1969-12-31"), ("w", "1970-01-01"), (None, "2024-01-01"), ("x", None), ("u", "2024-01-02")]
+    events = spark.createDataFrame(rows, "user_id string, dt string")
+    parts = [S.activity_masks(events.where(f"pmod(hash(dt, user_id), 3) = {k}")) for k in range(3)]
+    merged = S.merged_masks(*parts, S.activity_masks(events))
+    assert sorted(map(tuple, merged.collect())) == sorted(map(tuple, S.activity_masks(events).collect()))
+    got = {(r.cohort_dt, r.day_diff): (r.cohort_users, r.retained_users) for r in S.retention_from_masks(merged, (1, 39, 40, 70)).collect()}
+    assert got == {
+        ("2024-01-01", 1): (2, 1),
+        ("2024-01-01", 40): (2, 1),
+        ("2024-01-01", 70): (2, 1),
+        ("2024-01-02", 39): (1, 1),
+        ("1969-12-31", 1): (1, 1),
+    }
+
+
+def test_another_offset_costs_no_other_exchange_or_explode(spark):
+    events = spark.createDataFrame([("u", "2024-01-01")], "user_id string, dt string")
+    plans = [
+        S.user_retention(events, offsets)._jdf.queryExecution().executedPlan().toString() for offsets in ((1, 7), (1, 7, 30))
+    ]
+    assert len({(plan.count("Exchange"), plan.count("Generate explode")) for plan in plans}) == 1

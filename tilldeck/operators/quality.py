@@ -105,22 +105,21 @@ def _amount_rule(inputs: QualityInputs, _: Sequence[str]) -> DataFrame:
 
 
 def _line_rules(inputs: QualityInputs, rules: Sequence[str]) -> DataFrame:
-    """Blank keys, and keys no dimension knows.
+    """Blank keys, and keys some dimension does not know, in one pass over the lines.
 
-    Lines known to all three dimensions count against all lines. Semi joins
-    need no unique dimension and let AQE split a skewed left side.
+    Lines keep one flag and the keys, which are looked up in each dimension's distinct
+    keys; a null key is unknown. AQE sends a small dimension to all tasks and splits a
+    skewed left side.
     """
-    blank = missing_any(ORDER_KEYS).alias("blank")
-    lines = inputs.lines.select(F.lit(1).alias("unknown"), blank)
+    keys = (("user_id", inputs.users), ("product_id", inputs.products), ("shop_id", inputs.shops))
+    lines = inputs.lines.select(*(key for key, _ in keys), missing_any(ORDER_KEYS).alias("blank"))
+    unknown = F.lit(False)
     if "DQ007" in rules:
-        known = inputs.lines
-        for key, dim in (("user_id", inputs.users), ("product_id", inputs.products), ("shop_id", inputs.shops)):
-            known = known.join(dim.select(key), key, "left_semi")
-        lines = lines.unionAll(known.select(F.lit(-1).alias("unknown"), F.lit(False).alias("blank")))
-    counts = lines.agg(
-        F.count_if("blank").alias("DQ002"), F.coalesce(F.sum("unknown"), F.lit(0)).alias("DQ007")
-    )
-    return _rows(counts, rules)
+        for key, dim in keys:
+            known = dim.select(key).distinct().withColumn(f"{key}_known", F.lit(True))
+            lines = lines.join(known, key, "left")
+            unknown = unknown | F.col(f"{key}_known").isNull()
+    return _rows(lines.agg(F.count_if("blank").alias("DQ002"), F.count_if(unknown).alias("DQ007")), rules)
 
 
 def _payment_rules(inputs: QualityInputs, rules: Sequence[str]) -> DataFrame:

@@ -15,6 +15,8 @@ from tilldeck.functions.expressions import safe_div
 
 ORDER_HEADER = ("user_id", "order_time", "order_status", "dt", "total_amount", "discount_amount", "payable_amount")
 RETENTION_OFFSETS = (1, 7)
+# Days whose activity is kept in one number.
+MASK_DAYS = 32
 
 
 def successful(payments: DataFrame) -> DataFrame:
@@ -221,56 +223,71 @@ def user_daily(orders: DataFrame, payments: DataFrame, refunds: DataFrame, event
     )
 
 
-def user_retention(events: DataFrame, offsets: Sequence[int] = RETENTION_OFFSETS) -> DataFrame:
-    """Share of a day's active users who are active again after n days.
+def activity_masks(events: DataFrame) -> DataFrame:
+    """Active days of each user as bits: one row per user and period of ``MASK_DAYS``
+    days, bit ``k`` set for activity on the period's day ``k``. Masks of several runs
+    or sources are merged by ``merged_masks``."""
+    day = F.datediff(F.col("dt").cast("date"), F.lit("1970-01-01").cast("date"))
+    return (
+        events.where(F.col("user_id").isNotNull() & day.isNotNull())
+        .select("user_id", F.floor(day / MASK_DAYS).cast("int").alias("period"), F.pmod(day, F.lit(MASK_DAYS)).alias("bit"))
+        .groupBy("user_id", "period")
+        .agg(F.bit_or(F.expr("shiftleft(1L, bit)")).alias("days"))
+    )
+
+
+def merged_masks(*masks: DataFrame) -> DataFrame:
+    return (
+        reduce(DataFrame.unionByName, masks).groupBy("user_id", "period").agg(F.bit_or("days").alias("days"))
+    )
+
 
-    Every activity marks its own cohort and the cohorts n days before, so one
-    grouping by user and cohort day replaces the self-join. Cohorts nobody
-    returns to have no row.
+def retention_from_masks(masks: DataFrame, offsets: Sequence[int] = RETENTION_OFFSETS) -> DataFrame:
+    """Share of a day's active users who are active again after n days, any n.
+
+    A user's masks stand side by side, a few numbers a year, and each active day looks
+    n days ahead by a shift. Cohorts nobody returns to have no row.
     """
-    marks = F.explode(F.array(F.lit(0), *(F.lit(n) for n in offsets)))
-    active = events.where(F.col("user_id").isNotNull()).select(
-        "user_id", F.col("dt").cast("date").alias("active_on"), marks.alias("offset")
+    per_user = masks.groupBy("user_id").agg(
+        F.map_from_entries(F.collect_list(F.struct("period", "days"))).alias("masks")
     )
-    per_user = active.groupBy("user_id", F.date_sub("active_on", F.col("offset")).alias("cohort")).agg(
-        *(F.bool_or(F.col("offset") == n).alias(f"after_{n}") for n in (0, *offsets))
+
+    def active(day: Column) -> Column:
+        mask = F.try_element_at("masks", F.floor(day / MASK_DAYS).cast("int"))
+        return F.coalesce(mask.bitwiseAND(F.call_function("shiftleft", F.lit(1).cast("long"), F.pmod(day, F.lit(MASK_DAYS)))) != 0, F.lit(False))
+
+    periods = per_user.select("masks", F.explode("masks").alias("period", "days"))
+    bits = F.filter(F.sequence(F.lit(0), F.lit(MASK_DAYS - 1)), lambda k: F.call_function("shiftright", "days", k).bitwiseAND(F.lit(1).cast("long")) == 1)
+    days = periods.select("masks", F.explode(F.transform(bits, lambda k: F.col("period") * MASK_DAYS + k)).alias("day"))
+    cohorts = days.groupBy("day").agg(
+        F.count("*").alias("cohort_users"),
+        *(F.count_if(active(F.col("day") + n)).alias(f"after_{n}") for n in offsets),
     )
-    per_cohort = (
-        per_user.where("after_0")
-        .groupBy("cohort")
-        .agg(
-            F.count("*").alias("cohort_users"),
-            *(F.count_if(f"after_{n}").alias(f"after_{n}") for n in offsets),
-        )
+    back = F.array(
+        *(F.struct(F.lit(n).alias("day_diff"), F.col(f"after_{n}").alias("retained_users")) for n in offsets)
     )
     return (
-        per_cohort.select(
-            F.col("cohort").cast("string").alias("cohort_dt"),
+        cohorts.select(
+            F.date_add(F.lit("1970-01-01").cast("date"), F.col("day")).cast("string").alias("cohort_dt"),
             "cohort_users",
-            F.explode(
-                F.array(
-                    *(
-                        F.struct(
-                            F.lit(n).alias("day_diff"),
-                            F.col(f"after_{n}").alias("retained_users"),
-                        )
-                        for n in offsets
-                    )
-                )
-            ).alias("back"),
+            F.inline(back),
         )
-        .where(F.col("back.retained_users") > 0)
+        .where(F.col("retained_users") > 0)
         .select(
             "cohort_dt",
-            "back.day_diff",
+            "day_diff",
             "cohort_users",
-            "back.retained_users",
-            safe_div(F.col("back.retained_users"), F.col("cohort_users")).alias("retention_rate"),
+            "retained_users",
+            safe_div(F.col("retained_users"), F.col("cohort_users")).alias("retention_rate"),
             F.col("cohort_dt").alias("dt"),
         )
     )
 
 
+def user_retention(events: DataFrame, offsets: Sequence[int] = RETENTION_OFFSETS) -> DataFrame:
+    return retention_from_masks(activity_masks(events), offsets)
+
+
 # -- sales --------------------------------------------------------------------------
 
 

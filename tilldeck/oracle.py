@@ -597,6 +597,26 @@ _SQL = {
     "behavior_event_type_daily": "SELECT * FROM behavior_types",
     "behavior_daily": "SELECT * FROM behavior_days",
     "behavior_daily_approx": f"SELECT dt, {_APPROX} FROM behavior_days",
+    "behavior_users_of_ranges": """SELECT strftime(CAST(d.dt AS DATE) - 6, '%Y-%m-%d') AS first_dt, d.dt AS last_dt,
+        count(DISTINCT b.client_id) AS active_users,
+        count(DISTINCT b.client_id) FILTER (WHERE b.event_type = 'pay') AS pay_users,
+        true AS active_estimate_near, true AS pay_estimate_near
+        FROM behavior_days d JOIN behavior b ON CAST(b.dt AS DATE) BETWEEN CAST(d.dt AS DATE) - 6 AND CAST(d.dt AS DATE)
+        GROUP BY d.dt""",
+    "metric_tables_by_name": " UNION ALL ".join(
+        f"SELECT '{table}' AS table_name, dt, count(*) AS row_count, {_int('sum(event_count)')} AS event_count "
+        f"FROM ({source}) GROUP BY dt"
+        for table, source in {
+            "ads_synerise_behavior_dashboard_daily": "SELECT * FROM behavior_days",
+            "ads_synerise_event_type_trend": "SELECT * FROM behavior_types",
+            "ads_synerise_product_topn": _top(
+                "sku_days", "pay_event_count cart_event_count", "sku category_id product_name", 50
+            ),
+            "ads_synerise_category_topn": _top(
+                "sku_category_days", "pay_event_count cart_event_count", "category_id", 50
+            ),
+        }.items()
+    ),
     "behavior_product_daily": "SELECT * FROM sku_days",
     "behavior_category_daily": "SELECT * FROM sku_category_days",
     "behavior_product_topn": _top(

@@ -5,9 +5,10 @@ from __future__ import annotations
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from functools import cached_property, partial, reduce
+from uuid import uuid4
 
 from pyspark import inheritable_thread_target
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tilldeck.context import RunContext
@@ -251,6 +252,9 @@ class Shop:
         """Quality rules on the tables as they arrive, where they can fail."""
         raw = self.raw
         lines = facts.raw_order_lines(raw.order_items, raw.orders)
+        if only is None:
+            # Four rules read the joined lines, which are computed once.
+            lines = self.stored(lines=lines.select("order_item_id", *quality.ORDER_KEYS))["lines"]
         headers = self.orders.select(
             "order_id", "order_time", F.col("payable_amount").alias("order_payable_amount")
         )
@@ -689,6 +693,61 @@ def behavior_daily_approx(shop: Shop) -> DataFrame:
     )
 
 
+@query
+def behavior_users_of_ranges(shop: Shop) -> DataFrame:
+    """Distinct users of the seven days up to each day, from the days' merged sketches:
+    how near the estimate comes to the exact count."""
+    daily = shop.stored(sketches=B.user_sketches(shop.behavior_bare))["sketches"]
+    ranges = daily.select(F.date_sub(F.col("dt").cast("date"), 6).cast("string").alias("first_dt"), F.col("dt").alias("last_dt"))
+    guessed = B.users_of_ranges(daily, ranges)
+    held = F.explode(F.expr("sequence(date(dt), date_add(date(dt), 6), interval 1 day)"))
+    days = shop.behavior_bare.groupBy("dt", "client_id").agg(F.bool_or(F.col("event_type") == "pay").alias("pay"))
+    spread = days.select("client_id", "pay", held.alias("last_day"))
+    exact = spread.groupBy(F.col("last_day").cast("string").alias("last_dt")).agg(
+        F.countDistinct("client_id").alias("active_users"),
+        F.countDistinct(F.when(F.col("pay"), F.col("client_id"))).alias("pay_users"),
+    )
+
+    def near(guess: str, count: str) -> Column:
+        # Six standard errors, and one user.
+        return F.abs(F.col(guess) - F.col(count)) <= 1 + 0.048 * F.col(count)
+
+    return guessed.join(exact, "last_dt").select(
+        "first_dt",
+        "last_dt",
+        "active_users",
+        "pay_users",
+        near("active_user_count", "active_users").alias("active_estimate_near"),
+        near("pay_user_count", "pay_users").alias("pay_estimate_near"),
+    )
+
+
+@query
+def metric_tables_by_name(shop: Shop) -> DataFrame:
+    """The behaviour metric tables as catalog tables, partitioned by day, read by name."""
+    database = f"metrics_{uuid4().hex}"
+    shop.spark.sql(f"CREATE DATABASE {database} LOCATION '{shop.scratch('catalog')}'")
+    behavior = shop.stored(behavior=shop.behavior)["behavior"]
+    tables = {
+        "ads_synerise_behavior_dashboard_daily": B.behavior_daily(behavior),
+        "ads_synerise_event_type_trend": B.behavior_event_type_daily(behavior),
+        "ads_synerise_product_topn": B.behavior_product_topn(B.behavior_product_daily(behavior)),
+        "ads_synerise_category_topn": B.behavior_category_topn(B.behavior_category_daily(behavior)),
+    }
+    for table, df in tables.items():
+        layers.save_as_table(df, table, database)
+    return reduce(
+        DataFrame.unionByName,
+        (
+            shop.spark.sql(
+                f"SELECT '{table}' AS table_name, dt, count(*) AS row_count, "
+                f"CAST(sum(event_count) AS BIGINT) AS event_count FROM {database}.{table} GROUP BY dt"
+            )
+            for table in tables
+        ),
+    )
+
+
 @query
 def behavior_product_daily(shop: Shop) -> DataFrame:
     return B.behavior_product_daily(shop.behavior)
