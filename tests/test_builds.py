@@ -4,12 +4,15 @@ from __future__ import annotations
 
 import glob
 import json
+import re
 
 import pytest
 from tables import RAW, raw_table
 from test_behavior import EVENTS
 
 from tilldeck.__main__ import main
+from tilldeck.context import RunContext
+from tilldeck.plans import retail
 from tilldeck.schemas import ADS, DIM, DWD, DWS, ODS
 from tilldeck.sources.layers import read_layer
 
@@ -58,6 +61,28 @@ def test_a_day_can_be_built_again(spark, root, rows, tmp_path):
     assert rows(read_layer(spark, root, table)) == before
 
 
+def test_a_run_of_one_day_reads_the_days_that_hold_its_keys(spark, root, rows):
+    run = RunContext("2025-01-02", "2025-01-02")
+    sources = retail.fact_sources(spark, root, run)
+    whole = retail.fact_sources(spark, root, RunContext())
+    for table in ("dwd_trade_order_detail", "dwd_trade_payment_detail", "dwd_trade_refund_detail"):
+        other = sources[table][1]
+        plan = other._jdf.queryExecution().executedPlan().toString()
+        assert re.search(r"PartitionFilters: \[[^\]]*dt#\d+ (IN|=) ", plan)
+        built = retail.FACTS[table](*sources[table])
+        expected = retail.FACTS[table](*whole[table]).where("dt = '2025-01-02'")
+        assert rows(built) == rows(expected)
+
+
+def test_days_of_copies_are_read_and_others_are_not(spark, tmp_path):
+    data = [("I1", "O1", "d1"), ("I1", "O9", "d3"), ("I2", "O2", "d2"), ("I3", None, "d4")]
+    spark.createDataFrame(data, "order_item_id string, order_id string, dt string").write.partitionBy("dt").parquet(str(tmp_path / "t"))
+    table = spark.read.parquet(str(tmp_path / "t"))
+    wanted = table.where("order_id = 'O1'")
+    assert {r.dt for r in retail.on_days_of(table, "order_item_id", wanted).collect()} == {"d1", "d3"}
+    assert retail.on_days_of(table, "order_item_id", wanted.where("false")).collect() == []
+
+
 def test_stages_can_be_skipped(spark, root):
     main(
         ["--time-zone", "UTC", "behavior", "--output", root, "--exact", "--topn", "1"]

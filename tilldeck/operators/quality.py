@@ -38,6 +38,10 @@ LARGEST_MOVE = 100000
 REPORT_TITLE = "# 数据质量报告"
 REPORT_TOTALS = ("- 检查项总数：{}", "- 通过：{}", "- 失败：{}")
 REPORT_HEADER = ("| 规则ID | 规则名称 | 检查表 | 状态 | 异常数 | 说明 |", "| --- | --- | --- | --- | ---: | --- |")
+REPORT_CLOSING = (
+    "## 解读",
+    "该报告用于离线批处理完成后的基础质量验收。若出现 FAIL，应优先排查源数据生成、DWD 清洗逻辑和维表装载是否一致。",
+)
 
 
 @dataclass(frozen=True)
@@ -222,4 +226,9 @@ def quality_report(checks: DataFrame) -> DataFrame:
             "description",
         ).alias("line"),
     )
-    return head.unionByName(body)
+    heading, text = REPORT_CLOSING
+    tail = head.sparkSession.range(1).select(
+        F.posexplode(F.array(F.lit(""), F.lit(heading), F.lit(""), F.lit(text))).alias("at", "line")
+    )
+    closing = tail.select((F.col("at") + 8 + len(RULES)).alias("line_no"), "line")
+    return head.unionByName(body).unionByName(closing)

@@ -8,7 +8,7 @@ from __future__ import annotations
 
 import re
 
-from tilldeck.operators.quality import REPORT_HEADER, REPORT_TITLE, REPORT_TOTALS, RULES
+from tilldeck.operators.quality import REPORT_CLOSING, REPORT_HEADER, REPORT_TITLE, REPORT_TOTALS, RULES
 from tilldeck.plans.catalog import (
     BEHAVIOR_DT,
     DASHBOARD_DT,
@@ -647,7 +647,9 @@ _SQL = {
             CAST(count(*) FILTER (WHERE status <> 'PASS') AS VARCHAR)) FROM checks
         UNION ALL SELECT 5, '' UNION ALL SELECT 6, '{REPORT_HEADER[0]}' UNION ALL SELECT 7, '{REPORT_HEADER[1]}'
         UNION ALL SELECT CAST(7 + CAST(substr(rule_id, 3, 3) AS INTEGER) AS INTEGER), '| ' || rule_id || ' | ' || rule_name || ' | `'
-            || table_name || '` | ' || status || ' | ' || error_count || ' | ' || description || ' |' FROM checks""",
+            || table_name || '` | ' || status || ' | ' || error_count || ' | ' || description || ' |' FROM checks
+        UNION ALL SELECT 20, '' UNION ALL SELECT 21, '{REPORT_CLOSING[0]}' UNION ALL SELECT 22, ''
+        UNION ALL SELECT 23, '{REPORT_CLOSING[1]}'""",
     # reports
     "latest_dt": """SELECT greatest((SELECT max(dt) FROM lines), (SELECT max(dt) FROM retention),
         (SELECT max(dt) FROM refunds), (SELECT max(dt) FROM stock)) AS latest_dt""",

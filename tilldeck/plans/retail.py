@@ -31,24 +31,52 @@ def build_landed(raw: Mapping[str, DataFrame], root: str, run: RunContext) -> No
         write_layer(in_date_range(landed, run.start, run.end), root, table, run.mode, days=run.days)
 
 
-def build_facts(spark: SparkSession, root: str, run: RunContext) -> None:
-    """Range filters go on the side that owns the day, before any shuffle."""
+def on_days_of(table: DataFrame, key: str, wanted: DataFrame) -> DataFrame:
+    """Rows of a layer table on the days that hold any wanted key, so partitions are
+    pruned. The stored key column is the index: only it is read of the other days, and
+    only the days' names, never keys, come to the driver."""
+    held = table.select(key, "dt").join(wanted.select(key), key, "left_semi")
+    days = [row["dt"] for row in held.select("dt").distinct().collect()]
+    return table.where(F.col("dt").isin(days) if days else F.lit(False))
+
+
+def fact_sources(spark: SparkSession, root: str, run: RunContext) -> dict[str, tuple[DataFrame, ...]]:
+    """The landed tables each fact is made of. The side that owns the day is cut to the
+    run's range; the others to days that hold a row of the same key, copies included, so
+    a run over a few days does not read all history."""
 
     def landed(table: str, ranged: bool = False) -> DataFrame:
         bounds = run.days if ranged else (None, None)
         return read_layer(spark, root, table, *bounds)
 
-    built = {
-        "dwd_trade_order_detail": facts.trade_order_detail(
-            landed("ods_orders", True), landed("ods_order_items"), landed("ods_products")
-        ),
-        "dwd_trade_payment_detail": facts.payment_detail(landed("ods_payments", True), landed("ods_orders")),
-        "dwd_trade_refund_detail": facts.refund_detail(landed("ods_refunds", True), landed("ods_payments")),
-        "dwd_user_behavior_detail": facts.user_behavior_detail(landed("ods_user_events", True)),
-        "dwd_inventory_change_detail": facts.inventory_detail(landed("ods_inventory_logs", True)),
+    orders, payments, refunds = (landed(f"ods_{name}", True) for name in ("orders", "payments", "refunds"))
+    items, all_orders, all_payments = landed("ods_order_items"), landed("ods_orders"), landed("ods_payments")
+    if all(run.days) and not run.backfill:
+        own = items.select("order_item_id", "order_id").join(orders.select("order_id"), "order_id", "left_semi")
+        items = on_days_of(items, "order_item_id", own)
+        all_orders = on_days_of(all_orders, "order_id", payments)
+        all_payments = on_days_of(all_payments, "order_id", refunds)
+    return {
+        "dwd_trade_order_detail": (orders, items, landed("ods_products")),
+        "dwd_trade_payment_detail": (payments, all_orders),
+        "dwd_trade_refund_detail": (refunds, all_payments),
+        "dwd_user_behavior_detail": (landed("ods_user_events", True),),
+        "dwd_inventory_change_detail": (landed("ods_inventory_logs", True),),
     }
-    for table, df in built.items():
-        write_layer(df, root, table, run.mode, days=run.days)
+
+
+FACTS = {
+    "dwd_trade_order_detail": facts.trade_order_detail,
+    "dwd_trade_payment_detail": facts.payment_detail,
+    "dwd_trade_refund_detail": facts.refund_detail,
+    "dwd_user_behavior_detail": facts.user_behavior_detail,
+    "dwd_inventory_change_detail": facts.inventory_detail,
+}
+
+
+def build_facts(spark: SparkSession, root: str, run: RunContext) -> None:
+    for table, sources in fact_sources(spark, root, run).items():
+        write_layer(FACTS[table](*sources), root, table, run.mode, days=run.days)
 
 
 def build_dimensions(spark: SparkSession, root: str, run: RunContext) -> None:
