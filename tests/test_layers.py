@@ -177,3 +177,17 @@ def test_every_raw_table_has_a_contract():
 
     assert set(RAW_TABLES) == set(RAW)
     assert all(schema_of(t).names[-1] == "dt" for t in TABLES)
+
+
+def test_column_profile_by_file(spark, tmp_path):
+    path = str(tmp_path / "c")
+    df = spark.sql("select id, if(id = 3, null, concat('t', id)) t, array(id) a, date'2024-01-01' d from range(4)")
+    for part in ("id < 2", "id >= 2"):
+        df.where(part).coalesce(1).write.mode("append").parquet(path)
+    rows = {(r.column_name, r.min_number): r for r in files.column_profile(spark.read.parquet(path), by_file=True).collect()}
+    assert len(rows) == 5 and len({r.file_name for r in rows.values()}) == 2
+    assert (rows["id", 2.0].max_number, rows["id", 2.0].row_count) == (3.0, 2)
+    whole = {r.column_name: r for r in files.column_profile(spark.read.parquet(path)).collect()}
+    assert (whole["t"].null_count, whole["t"].min_text, whole["t"].max_text) == (1, "t0", "t2")
+    assert whole["a"].min_text is None and whole["d"].max_text == "2024-01-01"
+    assert files.column_profile(df.where("false")).where("row_count = 0").count() == 4

@@ -721,6 +721,50 @@ _SQL = {
 }
 
 
+# Columns of the given tables: numbers, texts, times and nested ones.
+_GIVEN_COLUMNS = {
+    "region": ("r_regionkey", "r_name", "", ""),
+    "nation": ("n_nationkey n_regionkey", "n_name", "", ""),
+    "customer": ("c_custkey c_nationkey c_acctbal", "c_name c_mktsegment", "", ""),
+    "supplier": ("s_suppkey s_nationkey s_acctbal", "s_name", "", ""),
+    "part": ("p_partkey p_size p_retailprice", "p_name p_brand p_type", "", ""),
+    "orders": ("o_orderkey o_custkey o_totalprice", "o_orderstatus o_orderpriority", "o_orderdate", ""),
+    "lineitem": (
+        "l_orderkey l_partkey l_suppkey l_linenumber l_quantity l_extendedprice l_discount l_tax",
+        "l_returnflag l_linestatus",
+        "l_shipdate",
+        "",
+    ),
+    "events": ("event_id user_id value", "event_type props", "ts", ""),
+    "documents": ("doc_id n_chars", "text lang source", "", ""),
+    "embeddings": ("vec_id label", "", "", "embedding"),
+    "pages": ("page_id", "url html", "", ""),
+    "benchmark": ("item_id", "text", "", ""),
+    "labels": ("doc_id quality toxic", "", "", ""),
+    "conversations": ("conv_id turn", "role text", "", ""),
+}
+
+
+def _limits(table: str, column: str, text: str = "CAST(NULL AS VARCHAR)", number: str = "CAST(NULL AS DOUBLE)") -> str:
+    ends = ", ".join(
+        f"{value.replace('?', f'{end}({column})')} AS {end}_{kind}"
+        for kind, value in (("text", text), ("number", number))
+        for end in ("min", "max")
+    )
+    return (
+        f"SELECT '{table}' AS table_name, '{column}' AS column_name, count(*) AS row_count, "
+        f"count(*) - count({column}) AS null_count, {ends} FROM {table}"
+    )
+
+
+_SQL["column_profile"] = " UNION ALL ".join(
+    _limits(table, column, **shape)
+    for table, kinds in _GIVEN_COLUMNS.items()
+    for columns, shape in zip(
+        kinds, ({"number": "CAST(? AS DOUBLE) + 0"}, {"text": "?"}, {"text": _ts("?")}, {}), strict=True
+    )
+    for column in columns.split()
+)
 _SHOWN = {
     "ads_retail_dashboard_daily": "SELECT * FROM dashboards",
     "ads_product_topn": _SQL["product_topn"],

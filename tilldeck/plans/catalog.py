@@ -308,6 +308,18 @@ def dataset_profile(shop: Shop) -> DataFrame:
     return files.dataset_profile(shop.spark, [f"{shop.raw.folder}/{name}.parquet" for name in GIVEN_TABLES])
 
 
+@query
+def column_profile(shop: Shop) -> DataFrame:
+    """Rows, nulls and limits of every column of the given tables."""
+    return reduce(
+        DataFrame.unionByName,
+        (
+            files.column_profile(shop.raw.table(name)).select(F.lit(name).alias("table_name"), "*")
+            for name in GIVEN_TABLES
+        ),
+    )
+
+
 @query
 def layer_roundtrip(shop: Shop) -> DataFrame:
     root = shop.scratch("layer")
