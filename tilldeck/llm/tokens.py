@@ -8,6 +8,7 @@ texts do; each is encoded once as long as the memory allowed for it lasts.
 
 from __future__ import annotations
 
+import os
 import re
 
 import numpy as np
@@ -23,7 +24,7 @@ _PIECE = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
 REMEMBERED = 300_000
 _LONGEST = 64
 # Texts cut into pieces at once; a piece takes ten times its letters.
-TEXT_BYTES = 2 << 20
+TEXT_BYTES = 1 << 20
 
 
 # Ordinary pieces, at most one plain space in front, are encoded many at a time,
@@ -37,6 +38,8 @@ class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers in bytes."""
 
     def __init__(self, path: str) -> None:
+        # A task has one core; the library's own threads would each keep memory.
+        os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         # What looks like a special token in a text is ordinary text.
         self.tokenizer.encode_special_tokens = True
