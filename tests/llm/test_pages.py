@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import re
+
 import pytest
 
-from tilldeck.llm.html_text import content_lines, extract_main_text, main_text
+from tilldeck.llm.html_text import content_lines, extract_main_text, main_text, named_part
 from tilldeck.llm.urls import host_links, spread, url_verdicts
 
 LONG = "This sentence is part of the article and has a good number of words in it."
@@ -145,3 +147,53 @@ def test_trust_and_distrust_spread_along_links(spark):
     assert verdicts["liar.net"] == verdicts["helper.net"] == "block" and verdicts["mid.net"] == "allow"
     none = spark.createDataFrame([], "source string, target string, links long")
     assert spread(none, spark.createDataFrame([("a", 2)], "host string, seed long")).collect()[0].host == "a"
+
+DENSE = "A long sentence of the article goes on here with many words and no tags at all, so that it is dense. " * 3
+
+
+@pytest.mark.parametrize(
+    "markup, kept",
+    [
+        ('<div class="post-comments"><p>A reader disagrees with all of this at some length, as readers do.</p></div>', False),
+        ('<div class="comment-body"><p>A reader disagrees with all of this at some length, as readers do.</p></div>', False),
+        ('<div class="entry-footer"><p>Filed under this and that, posted by someone on a day.</p></div>', False),
+        ('<div class="content-sidebar"><p>More stories from elsewhere that nobody asked for today.</p></div>', False),
+        ('<div class="content-ad"><p>Buy now and save, this offer ends tonight at twelve sharp.</p></div>', False),
+        ('<section class="job-search"><p>Looking for work takes months, the figures of last year say.</p></section>', True),
+        ('<div class="content sidebar-left"><p>The layout has a sidebar, the text is the article.</p></div>', True),
+        ('<div class="has-comments"><p>A page that allows comments has a text of its own.</p></div>', True),
+        ("<p>Press <button>here</p><p>The rest of the article follows an unclosed button.</p>", True),
+        ("<div>Press <button>here</div><p>The rest follows a button its parent has closed.</p>", True),
+    ],
+)
+def test_names_are_judged_by_their_parts_and_mute_elements_end_with_parents(markup, kept):
+    page = f"<html><body><article><h1>Title</h1><p>{DENSE}</p>{markup}<p>{DENSE}</p></article></body></html>"
+    last = re.sub("<[^>]*>", "\n", markup).strip().split("\n")[-1]
+    lines = main_text(page).split("\n")
+    assert lines[0] == "Title" and lines[1] == DENSE.strip() and lines[-1] == DENSE.strip()
+    assert (last in lines) is kept
+
+
+@pytest.mark.parametrize(
+    "names, part",
+    [("post-comments", 2), ("comment_content", 2), ("ad", 1), ("main-ad", 1), ("article-body", 0), ("post", 0), ("job-search", 0),
+     ("site search", 1), ("content comments", 2), ("no-sidebar", 0), ("shadow", 0), ("", 0), ("footer-links story", 0)],
+)
+def test_names_of_elements(names, part):
+    assert named_part(names) == part
+
+
+def test_trust_reaches_hosts_many_links_away(spark):
+    count = 45
+    edges = spark.createDataFrame([(f"h{i}", f"h{i + 1}", 1) for i in range(count)], "source string, target string, links long")
+    got = {r.host: r.rank for r in spread(edges, spark.createDataFrame([("h0", 1)], "host string, seed long"), tolerance=1e-9).collect()}
+    assert got[f"h{count}"] == pytest.approx(0.15 * 0.85**count, rel=1e-6)
+
+
+def test_ties_and_repeated_pages_of_a_host(spark):
+    page = ("http://a.org/x", '<a href="http://b.net/">b</a>')
+    blocked = ("http://c.com/de/x", '<a href="http://b.net/">b</a>')
+    rows = [(1, *page), (1, *page), (2, *page), (3, *blocked), (4, "http://b.net/p", None)]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r.page_id, r.verdict) for r in url_verdicts(df).collect())
+    assert got == [(1, "allow"), (1, "allow"), (2, "allow"), (3, "block"), (4, "allow")]

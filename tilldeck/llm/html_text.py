@@ -50,9 +50,39 @@ _PAGE = frozenset(("", "html", "body"))
 # Share of a neighbour's text from which on links make it no part of the article.
 _MOST_LINKS = 0.5
 _BODY = frozenset("article content main post entry story body text".split())
+# First parts of names that tell of a page's layout, not of an element's role.
+_ABOUT = frozenset("has no with without is not show hide toggle js".split())
+# Last parts of names that say nothing if an unknown word stands before them, as in a
+# section on job search.
+_LOOSE = frozenset("search notice notices promotion related social skip respond reply replies".split())
 _NAMES = re.compile(r"[^a-z0-9]+")
 
 
+def named_part(value: str) -> int:
+    """What the names in class, id or role say of an element: 0 nothing, 1 no part of the
+    article, 2 a reader's remark.
+
+    The last part of a name decides (``post-comments`` are comments), else the first one
+    (``comment-body``), which a name made of words for the article overrules
+    (``content sidebar-left``).
+    """
+    strong = weak = 0
+    body = False
+    for name in value.lower().split():
+        parts = [p for p in _NAMES.split(name) if p]
+        if not parts or parts[0] in _ABOUT:
+            continue
+        first, last = parts[0], parts[-1]
+        unknown = len(parts) > 1 and not any(p in _OTHER or p in _BODY for p in parts[:-1])
+        if last in _OTHER and not (last in _LOOSE and unknown):
+            strong = max(strong, 2 if last in _REMARKS else 1)
+        elif first in _OTHER and len(parts) > 1:
+            weak = max(weak, 2 if first in _REMARKS else 1)
+        elif _BODY.issuperset(parts):
+            body = True
+    return max(strong, 0 if body else weak)
+
+
 class _Lines(HTMLParser):
     """Lines of one page: text, tags, element, and whether it counts at all."""
 
@@ -71,7 +101,9 @@ class _Lines(HTMLParser):
         self.home = 0
         # 0 counts, 1 is left out, 2 is a reader's remark.
         self.out = 0
-        self.mute: list[str] = []
+        # Open elements without text of the article: name, depth, and the block they began in.
+        self.mute: list[tuple[str, int, str]] = []
+        self.block = ""
         self.heading = False
         self.words: list[str] = []
         self.count = 0
@@ -92,12 +124,14 @@ class _Lines(HTMLParser):
 
     def handle_starttag(self, tag: str, attrs: list) -> None:
         if tag in _MUTE:
-            self.mute.append(tag)
+            self.mute.append((tag, len(self.stack), self.block))
             return
         if tag in _BLOCK:
-            if self.mute == ["head"]:
+            if [name for name, _, _ in self.mute] == ["head"]:
                 self.mute.clear()  # its end tag may be left out
             self._line()
+            if not self.mute:
+                self.block = "" if tag in _HOLDER else tag
             self.heading = len(tag) == 2 and tag[0] == "h" and tag[1] in "123456"
             if tag in _HOLDER:
                 self._open(tag, attrs)
@@ -109,13 +143,9 @@ class _Lines(HTMLParser):
 
     def _open(self, tag: str, attrs: list) -> None:
         out = self.out
-        names: set[str] = set()
-        for key, value in attrs:
-            if value and key in ("class", "id", "role"):
-                names.update(_NAMES.split(value.lower()))
-        named = names & _OTHER
-        if named and not names & _BODY and tag not in ("body", "html"):
-            out = max(out, 2 if named & _REMARKS else 1)
+        named = named_part(" ".join(v for k, v in attrs if v and k in ("class", "id", "role")))
+        if named and tag not in ("body", "html"):
+            out = max(out, named)
         elif tag in _LEFT_OUT:
             out = max(out, 1)
         elif tag in _ARTICLE and out == 1 and not any(t in _LEFT_OUT for t, _, _ in self.stack):
@@ -136,8 +166,8 @@ class _Lines(HTMLParser):
 
     def handle_endtag(self, tag: str) -> None:
         if tag in _MUTE:
-            while tag in self.mute:
-                if self.mute.pop() == tag:
+            while any(name == tag for name, _, _ in self.mute):
+                if self.mute.pop()[0] == tag:
                     break
             return
         self.count += 1
@@ -147,11 +177,18 @@ class _Lines(HTMLParser):
             return
         self._line()
         self.heading = False
+        if tag not in _HOLDER:
+            # What was left open inside a block ends with it.
+            while self.mute and self.mute[-1][2] == tag:
+                self.mute.pop()
+            self.block = ""
         if tag in _HOLDER and any(t == tag for t, _, _ in self.stack):
             while True:
                 closed, self.home, self.out = self.stack.pop()
                 if closed == tag:
                     break
+            while self.mute and self.mute[-1][1] > len(self.stack):
+                self.mute.pop()
 
     def handle_data(self, data: str) -> None:
         if not self.mute and (not self.out or self._title()):

@@ -7,6 +7,8 @@ outweighs trust is blocked. DataFrame functions only.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -20,7 +22,8 @@ RULES = (
     ("com/de/", "block"),
 )
 DAMPING = 0.85
-ROUNDS = 20
+# Share of all seeds by which a rank may still move when rounds end.
+TOLERANCE = 1e-6
 # Rounds after which ranks are written and their lineage ends.
 _CUT = 5
 # Distrust per trust from which on a host is blocked.
@@ -57,12 +60,14 @@ def host_links(pages: DataFrame, url_column: str = "url", html_column: str = "ht
     )
 
 
-def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds: int = ROUNDS) -> DataFrame:
+def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, tolerance: float = TOLERANCE) -> DataFrame:
     """``host``, ``rank``: each round a host keeps 1 - ``damping`` of its seed and
     passes ``damping`` of its rank on, by the weight of its ``source`` edges.
 
-    What a host without edges would pass on is lost. ``edges``: source, target,
-    links; ``seeds``: host, seed.
+    Rounds go on until no host's rank has moved by more than ``tolerance`` of all seeds
+    between two written tables of ranks, so hosts any number of links away are reached
+    as long as what reaches them counts. What a host without edges would pass on is
+    lost. ``edges``: source, target, links; ``seeds``: host, seed.
     """
     total = edges.groupBy("source").agg(F.sum("links").alias("total"))
     weights = written(
@@ -70,14 +75,19 @@ def spread(edges: DataFrame, seeds: DataFrame, damping: float = DAMPING, rounds:
         "link-weights",
     )
     base = seeds.where("seed > 0").select("host", (F.col("seed") * (1 - damping)).alias("rank"))
-    ranks = base
-    for turn in range(1, rounds + 1):
-        passed = weights.join(ranks, weights["source"] == ranks["host"]).select(
-            F.col("target").alias("host"), (F.col("rank") * F.col("weight") * damping).alias("rank")
-        )
-        ranks = base.union(passed).groupBy("host").agg(F.sum("rank").alias("rank"))
-        if turn % _CUT == 0:
-            ranks = written(ranks, "ranks")
+    least = tolerance * (seeds.where("seed > 0").agg(F.sum("seed")).first()[0] or 0)
+    ranks = before = written(base, "ranks")
+    moved = math.inf
+    while moved > least:
+        for _ in range(_CUT):
+            passed = weights.join(ranks, weights["source"] == ranks["host"]).select(
+                F.col("target").alias("host"), (F.col("rank") * F.col("weight") * damping).alias("rank")
+            )
+            ranks = base.union(passed).groupBy("host").agg(F.sum("rank").alias("rank"))
+        ranks = written(ranks, "ranks")
+        both = ranks.join(before.withColumnRenamed("rank", "was"), "host", "full")
+        change = F.abs(F.coalesce("rank", F.lit(0.0)) - F.coalesce("was", F.lit(0.0)))
+        moved, before = both.agg(F.max(change)).first()[0] or 0.0, ranks
     return ranks
 
 
@@ -103,7 +113,7 @@ def url_verdicts(
     url_column: str = "url",
     html_column: str = "html",
     damping: float = DAMPING,
-    rounds: int = ROUNDS,
+    tolerance: float = TOLERANCE,
     most_distrust: float = MOST_DISTRUST,
 ) -> DataFrame:
     """One row per page: id, ``host``, ``path``, ``rule``, ``verdict`` and the
@@ -141,10 +151,12 @@ def url_verdicts(
     edges = written(host_links(pages, url_column, html_column), "host-links")
     good, bad = (seeds.where(F.col("ruled") == v).select("host", "seed") for v in ("allow", "block"))
     back = edges.select(F.col("target").alias("source"), F.col("source").alias("target"), "links")
-    if edges.isEmpty():
-        rounds = 0
-    trust = spread(edges, good, damping, rounds).withColumnRenamed("rank", "trust")
-    distrust = spread(back, bad, damping, rounds).withColumnRenamed("rank", "distrust")
+    # Without links between hosts seeds alone have ranks.
+    ranked = seeds.select("host", "ruled", (F.col("seed") * (1 - damping)).alias("rank"))
+    trust, distrust = (ranked.where(F.col("ruled") == v).select("host", "rank") for v in ("allow", "block"))
+    if not edges.isEmpty():
+        trust, distrust = spread(edges, good, damping, tolerance), spread(back, bad, damping, tolerance)
+    trust, distrust = trust.withColumnRenamed("rank", "trust"), distrust.withColumnRenamed("rank", "distrust")
     zero = F.lit(0.0)
     scores = (
         hosts.join(trust, "host", "left")
