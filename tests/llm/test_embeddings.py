@@ -1,9 +1,12 @@
 from __future__ import annotations
 
+import tracemalloc
+
 import numpy as np
 import pytest
 
-from tilldeck.llm.embeddings import _forest, near_duplicate_vectors, quantised
+from tilldeck.llm import embeddings as module
+from tilldeck.llm.embeddings import _Block, _forest, _linked, _unit, near_duplicate_vectors, quantised
 
 
 def brute_force(rows, threshold=0.9):
@@ -66,3 +69,22 @@ def test_forest_connects_what_pairs_connect():
 def test_empty_table(spark):
     df = spark.createDataFrame([], "vec_id long, embedding array<float>")
     assert near_duplicate_vectors(df).collect() == []
+
+
+def test_a_dense_tile_is_held_in_slices(monkeypatch):
+    dice = np.random.default_rng(4)
+    unit = _unit(dice.normal(size=64) + dice.normal(size=(600, 64)) * 0.03)
+    codes, scales, errors = quantised(unit)
+    row = {
+        "dims": 64, "ids": np.arange(600).tobytes(), "copies": np.ones(600, dtype=np.int64).tobytes(), "vectors": unit.tobytes(),
+        "codes": codes.tobytes(), "scales": scales.tobytes(), "errors": errors.tobytes(),
+    }
+    monkeypatch.setattr(module, "_WIDENED", 64 * 1000)
+    a, b = _Block(row), _Block(row)
+    tracemalloc.start()
+    i, j = _linked(a, b, 0, 0.9)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    exact = np.argwhere(a.unit[:512] @ b.unit.T >= 0.9)
+    assert sorted(zip(i.tolist(), j.tolist(), strict=True)) == sorted(map(tuple, exact.tolist()))
+    assert len(i) > 250_000 and peak < 150 * len(i)

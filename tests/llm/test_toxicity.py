@@ -3,6 +3,7 @@ from __future__ import annotations
 import zlib
 
 import pytest
+from pyspark.sql import functions as F
 
 from tilldeck.llm.queries import QUERIES, held_out
 from tilldeck.llm.toxicity import THRESHOLD, Model, fit, toxicity
@@ -97,3 +98,10 @@ def test_hits_count_against_length(spark, learned, sentence):
     docs = spark.createDataFrame([(1, " ".join(clean)), (2, stretch), (3, "what an idiot")], "doc_id long, text string")
     rows = toxicity(docs, model).collect()
     assert rows[0].hits >= 9 and [r.score >= THRESHOLD for r in rows] == [False, True, True]
+
+
+def test_documents_with_columns_named_like_those_of_the_labels(spark, documents):
+    docs = documents.withColumn("toxic", F.lit(9)).withColumn("labelled", F.lit("x")).withColumn("choosing", F.lit(True))
+    labels = spark.createDataFrame([(i, i % 2) for i in range(1, 16)] + [(None, 1), (2, 7)], "doc_id long, toxic int")
+    rows = toxicity(docs, fit(docs, labels), carry=("doc_id", "toxic")).collect()
+    assert len(rows) == docs.count() and {r.toxic for r in rows} == {9}

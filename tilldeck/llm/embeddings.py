@@ -23,6 +23,8 @@ THRESHOLD = 0.9
 BLOCK = 4096
 # Rows of a tile multiplied at once.
 STRIPE = 512
+# Components of pairs held as doubles at once.
+_WIDENED = 2_000_000
 # Far above what double precision loses in norms, products and bounds.
 _SLACK = 1e-9
 _BLOCKS = "dims int, block int, ids binary, copies binary, vectors binary, codes binary, scales binary, errors binary"
@@ -79,15 +81,22 @@ def _linked(a: _Block, b: _Block, low: int, threshold: float) -> tuple[np.ndarra
     i += low
     if a is b:
         i, j = i[i < j], j[i < j]
-    products = np.einsum("ij,ij->i", a.codes[i].astype(np.float64), b.codes[j].astype(np.float64))
-    about = products * a.scales[i] * b.scales[j]
+    about = np.empty(len(i))
+    # In slices: a dense stripe may hold millions of pairs.
+    most = max(1, _WIDENED // a.codes.shape[1])
+    for low in range(0, len(i), most):
+        at = slice(low, low + most)
+        about[at] = np.einsum("ij,ij->i", a.codes[i[at]], b.codes[j[at]], dtype=np.float64)
+    about *= a.scales[i] * b.scales[j]
     # u.w = (u' + du).(w' + dw), and a rounded vector is no longer than 1 + error.
     eu, ew = a.errors[i], b.errors[j]
     bound = (1 + eu) * ew + (1 + ew) * eu + eu * ew
     near = about + bound >= threshold
     i, j, about, bound = i[near], j[near], about[near], bound[near]
     sure = about - bound >= threshold
-    for at in np.array_split(np.flatnonzero(~sure), max(1, (~sure).sum() // 100_000)):
+    doubt = np.flatnonzero(~sure)
+    for low in range(0, len(doubt), most):
+        at = doubt[low : low + most]
         sure[at] = np.einsum("ij,ij->i", a.unit[i[at]], b.unit[j[at]]) >= threshold
     return i[sure], j[sure]
 

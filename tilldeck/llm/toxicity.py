@@ -256,8 +256,15 @@ def fit(
     and ``ORDINARY_ROWS`` at most, a stretch of each; calibration from the other
     third, about ``fit_rows`` of each label at most. A hash of the id decides.
 
-    What comes to the driver is bounded by the dictionary's rows times ``STRETCH``.
+    What comes to the driver is bounded by the dictionary's rows times ``STRETCH``: of a
+    longer text a stretch at a place set by its id may choose sequences for the
+    dictionaries; calibration and scoring always take whole texts. Dictionaries hold raw
+    stretches of text, picked by what they tell, not by zstandard's own trainer.
     Without toxic rows no window counts.
+
+    Labels other than 0 and 1 and rows with a null id are left out; an id labelled both
+    ways counts as toxic. Rows of ``docs`` that share an id are all taken, those with a
+    null text have no window. Other columns, whatever their names, are not looked at.
     """
     known = labels.where(F.col(label_column).isin(0, 1) & F.col(id_column).isNotNull())
     known = known.groupBy(F.col(id_column).alias("labelled")).agg(F.max(label_column).cast("int").alias("toxic"))
@@ -271,8 +278,9 @@ def fit(
             chance < F.when(F.col("toxic") == 1, share[1]).otherwise(share[0])
         )
         # Proven small: ids and labels of the rows above.
-        rows = whole_texts(docs).join(F.broadcast(part), docs[id_column] == part["labelled"])
-        return rows.select("labelled", "toxic", F.col(text_column).cast("string").alias("text")), share
+        # Other columns of the documents may be named like these.
+        texts = whole_texts(docs).select(F.col(id_column).alias("labelled"), F.col(text_column).cast("string").alias("text"))
+        return texts.join(F.broadcast(part), "labelled").select("labelled", "toxic", "text"), share
 
     rows, _ = sampled(True, (ORDINARY_ROWS, TOXIC_ROWS))
     start = F.pmod(F.xxhash64("labelled", F.lit("start")), F.greatest(F.length("text") - STRETCH, F.lit(1))) + 1
