@@ -250,6 +250,26 @@ SELECT p.a AS anchor_id, p.b AS positive_id,
 FROM positives p JOIN scored n ON p.a = n.a AND NOT n.same
   AND 80 * p.score <= 100 * n.score AND 100 * n.score <= 100 * p.score
 QUALIFY row_number() OVER (PARTITION BY p.a, p.b ORDER BY n.score DESC, n.b) <= 5""",
+    "op5_ngram_jaccard": r"""
+WITH RECURSIVE
+split AS (
+  SELECT doc_id, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ',
+    'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS ws FROM documents),
+words AS (SELECT doc_id, len(ws) AS n, unnest(ws) AS w, generate_subscripts(ws, 1) AS p FROM split),
+grams AS (
+  SELECT DISTINCT doc_id, hash(k) AS g FROM (
+    SELECT doc_id, n, p, list(w) OVER (PARTITION BY doc_id ORDER BY p ROWS BETWEEN CURRENT ROW AND 4 FOLLOWING) AS k
+    FROM words) WHERE len(k) = 5 OR (n < 5 AND p = 1)),
+sizes AS (SELECT doc_id, count(*) AS n FROM grams GROUP BY doc_id),
+shared AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS c FROM grams a JOIN grams b ON a.g = b.g AND a.doc_id < b.doc_id GROUP BY ALL),
+links AS (
+  SELECT a, b FROM shared JOIN sizes x ON x.doc_id = a JOIN sizes y ON y.doc_id = b WHERE 100 * c >= 80 * (x.n + y.n - c)),
+both_ways AS (SELECT a, b FROM links UNION ALL SELECT b, a FROM links),
+reach(a, b) AS (SELECT a, b FROM both_ways UNION SELECT reach.a, l.b FROM reach JOIN both_ways l ON reach.b = l.a),
+low AS (SELECT a, min(b) AS b FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(n, 0) AS n_shingles, least(d.doc_id, coalesce(low.b, d.doc_id)) AS component_id
+FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN low ON low.a = d.doc_id""",
     # A run is an island of equal words on one diagonal of 5-word repeats; of those
     # that cover one stretch, the one of the smallest period counts.
     "op13_periodic_runs": r"""
