@@ -7,48 +7,53 @@ partition that a hot key, or the rows without one, make too large.
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tilldeck.functions.casts import as_time, typed
 from tilldeck.functions.expressions import UNKNOWN_CATEGORY, VALID_EVENT_TYPES, clean_text
 from tilldeck.functions.frames import keep_one
+from tilldeck.schemas import column_names
 
 _LANDING_COLUMNS = ("dt", "ods_load_time", "source_table")
 
 
+def _contract(table: str) -> list[str]:
+    """The columns of a layer table, without those that landing adds."""
+    return [name for name in column_names(table) if name not in _LANDING_COLUMNS[1:]]
+
+
+def _cleaned(
+    rows: DataFrame, table: str, texts: Sequence[str] = (), times: Sequence[str] = (), whole: Sequence[str] = ()
+) -> DataFrame:
+    """The contract's columns: ``texts`` trimmed and in lower case, ``times`` read as
+    times, ``whole`` as whole numbers, all others as they are."""
+    shapes = {name: clean_text(name) for name in texts}
+    shapes |= {name: as_time(rows, name) for name in times}
+    shapes |= {name: typed(rows, name, "int") for name in whole}
+    return rows.select(*(shapes.get(name, F.col(name)).alias(name) for name in _contract(table)))
+
+
+def _valid(rows: DataFrame, filled: Sequence[str], positive: Sequence[str] = ()) -> DataFrame:
+    """Rows with every ``filled`` column and no negative or null ``positive`` one."""
+    for name in filled:
+        rows = rows.where(F.col(name).isNotNull())
+    for name in positive:
+        rows = rows.where(F.col(name) >= 0)
+    return rows
+
+
 def clean_orders(orders: DataFrame) -> DataFrame:
     """One valid header per order, its day as ``dt``."""
-    shaped = orders.select(
-        "order_id",
-        "user_id",
-        "shop_id",
-        as_time(orders, "order_time").alias("order_time"),
-        clean_text("order_status").alias("order_status"),
-        "total_amount",
-        "discount_amount",
-        "payable_amount",
-        "province",
-        "city",
-        "dt",
-    ).where(
-        F.col("order_id").isNotNull()
-        & F.col("user_id").isNotNull()
-        & (F.col("total_amount") >= 0)
-        & (F.col("payable_amount") >= 0)
-    )
-    return keep_one(shaped, ["order_id"])
+    shaped = _cleaned(orders, "ods_orders", ["order_status"], ["order_time"])
+    return keep_one(_valid(shaped, ["order_id", "user_id"], ["total_amount", "payable_amount"]), ["order_id"])
 
 
 def _valid_items(items: DataFrame) -> DataFrame:
-    valid = items.where(
-        F.col("order_item_id").isNotNull()
-        & F.col("order_id").isNotNull()
-        & (F.col("quantity") > 0)
-        & (F.col("sale_price") >= 0)
-        & (F.col("item_amount") >= 0)
-    )
-    return valid.drop(*_LANDING_COLUMNS)
+    valid = _valid(items, ["order_item_id", "order_id"], ["sale_price", "item_amount"])
+    return valid.where(F.col("quantity") > 0).drop(*_LANDING_COLUMNS)
 
 
 def clean_items(items: DataFrame) -> DataFrame:
@@ -93,28 +98,8 @@ def _with_product(lines: DataFrame, products: DataFrame, category_name: Column)
     if "category_id" in lines.columns:
         category_id = F.coalesce("category_id", category_id)
     sku = F.col("sku_id") if "sku_id" in lines.columns else F.lit(None).cast("string")
-    return lines.join(products, "product_id", "left").select(
-        "order_item_id",
-        "order_id",
-        "user_id",
-        "shop_id",
-        "product_id",
-        category_id.alias("category_id"),
-        category_name.alias("category_name"),
-        "brand",
-        sku.alias("sku_id"),
-        "quantity",
-        "sale_price",
-        "item_amount",
-        "total_amount",
-        "discount_amount",
-        "payable_amount",
-        "order_status",
-        "order_time",
-        "province",
-        "city",
-        "dt",
-    )
+    known = {"category_id": category_id, "category_name": category_name, "sku_id": sku}
+    return lines.join(products, "product_id", "left").withColumns(known).select(*_contract("dwd_trade_order_detail"))
 
 
 def trade_order_detail(orders: DataFrame, items: DataFrame, products: DataFrame) -> DataFrame:
@@ -162,49 +147,20 @@ def payment_detail(payments: DataFrame, orders: DataFrame) -> DataFrame:
         ),
         ["order_id"],
     )
-    return clean_payments(payments).join(headers, "order_id", "left").select(
-        "payment_id",
-        "order_id",
-        "user_id",
-        "shop_id",
-        "pay_time",
-        "order_time",
-        "pay_method",
-        "pay_amount",
-        "order_payable_amount",
-        "pay_status",
-        "dt",
-    )
+    joined = clean_payments(payments).join(headers, "order_id", "left")
+    return joined.select(*_contract("dwd_trade_payment_detail"))
 
 
 def clean_payments(payments: DataFrame) -> DataFrame:
     """The payment columns the daily summaries need, without the order join."""
-    valid = payments.select(
-        "payment_id",
-        "order_id",
-        "user_id",
-        as_time(payments, "pay_time").alias("pay_time"),
-        "pay_method",
-        "pay_amount",
-        clean_text("pay_status").alias("pay_status"),
-        "dt",
-    ).where(F.col("payment_id").isNotNull() & F.col("order_id").isNotNull() & (F.col("pay_amount") >= 0))
-    return keep_one(valid, ["payment_id"])
+    shaped = _cleaned(payments, "ods_payments", ["pay_status"], ["pay_time"])
+    return keep_one(_valid(shaped, ["payment_id", "order_id"], ["pay_amount"]), ["payment_id"])
 
 
 def clean_refunds(refunds: DataFrame) -> DataFrame:
     """One valid row per refund."""
-    valid = refunds.select(
-        "refund_id",
-        "order_id",
-        "user_id",
-        as_time(refunds, "refund_time").alias("refund_time"),
-        "refund_amount",
-        "refund_reason",
-        clean_text("refund_status").alias("refund_status"),
-        "dt",
-    ).where(F.col("refund_id").isNotNull() & F.col("order_id").isNotNull() & (F.col("refund_amount") >= 0))
-    return keep_one(valid, ["refund_id"])
+    shaped = _cleaned(refunds, "ods_refunds", ["refund_status"], ["refund_time"])
+    return keep_one(_valid(shaped, ["refund_id", "order_id"], ["refund_amount"]), ["refund_id"])
 
 
 def paid_orders(payments: DataFrame) -> DataFrame:
@@ -224,56 +180,19 @@ def paid_orders(payments: DataFrame) -> DataFrame:
 
 def refund_detail(refunds: DataFrame, payments: DataFrame) -> DataFrame:
     """Refunds with the payment they reverse; grain: refund."""
-    return clean_refunds(refunds).join(paid_orders(payments), "order_id", "left").select(
-        "refund_id",
-        "order_id",
-        "user_id",
-        "refund_time",
-        "refund_amount",
-        "refund_reason",
-        "refund_status",
-        "paid_payment_id",
-        "paid_amount",
-        "pay_time",
-        "dt",
-    )
+    joined = clean_refunds(refunds).join(paid_orders(payments), "order_id", "left")
+    return joined.select(*_contract("dwd_trade_refund_detail"))
 
 
 def user_behavior_detail(events: DataFrame) -> DataFrame:
     """Events of the six valid types; grain: event."""
-    valid = events.select(
-        "event_id",
-        "user_id",
-        "product_id",
-        "shop_id",
-        clean_text("event_type").alias("event_type"),
-        as_time(events, "event_time").alias("event_time"),
-        "session_id",
-        "device_type",
-        "source_channel",
-        "dt",
-    ).where(
-        F.col("event_id").isNotNull() & F.col("user_id").isNotNull() & F.col("event_type").isin(*VALID_EVENT_TYPES)
-    )
-    return keep_one(valid, ["event_id"])
+    shaped = _cleaned(events, "dwd_user_behavior_detail", ["event_type"], ["event_time"])
+    known = F.col("event_type").isin(*VALID_EVENT_TYPES)
+    return keep_one(_valid(shaped, ["event_id", "user_id"]).where(known), ["event_id"])
 
 
 def inventory_detail(logs: DataFrame) -> DataFrame:
     """Stock movements with non-negative stock; grain: log entry."""
-    valid = logs.select(
-        "inventory_log_id",
-        "product_id",
-        "shop_id",
-        clean_text("change_type").alias("change_type"),
-        typed(logs, "change_quantity", "int"),
-        typed(logs, "before_quantity", "int"),
-        typed(logs, "after_quantity", "int"),
-        as_time(logs, "change_time").alias("change_time"),
-        "dt",
-    ).where(
-        F.col("inventory_log_id").isNotNull()
-        & F.col("product_id").isNotNull()
-        & (F.col("before_quantity") >= 0)
-        & (F.col("after_quantity") >= 0)
-    )
-    return keep_one(valid, ["inventory_log_id"])
+    counts = ["before_quantity", "after_quantity"]
+    shaped = _cleaned(logs, "dwd_inventory_change_detail", ["change_type"], ["change_time"], ["change_quantity", *counts])
+    return keep_one(_valid(shaped, ["inventory_log_id", "product_id"], counts), ["inventory_log_id"])

@@ -166,3 +166,7 @@ def schema_of(table: str) -> T.StructType:
     if table not in TABLES:
         raise ValueError(f"unknown layer table: {table}")
     return T.StructType.fromDDL(TABLES[table])
+
+
+def column_names(table: str) -> list[str]:
+    return [field.split()[0] for field in TABLES[table].split(", ")]
