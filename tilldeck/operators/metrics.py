@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from tilldeck.functions import expressions as E
 from tilldeck.functions.frames import ranked
 from tilldeck.operators.summaries import successful
+from tilldeck.schemas import column_names
 
 PRODUCT_TOP = 20
 CATEGORY_TOP = 20
@@ -85,20 +86,16 @@ def shop_rank(shops: DataFrame, dim_shop: DataFrame, keep: int = SHOP_TOP) -> Da
 
 
 def _recency_frequency_monetary(payments: DataFrame, as_of: str) -> DataFrame:
-    return (
+    """Per customer, from one row per paid order: an order counts once however many
+    payments it took, and no row is copied to count orders distinctly."""
+    orders = (
         successful(payments)
-        .groupBy("user_id")
-        .agg(
-            F.max("pay_time").alias("last_pay_time"),
-            F.countDistinct("order_id").alias("frequency"),
-            F.sum("pay_amount").alias("monetary"),
-        )
-        .select(
-            "user_id",
-            F.datediff(F.lit(as_of).cast("date"), F.col("last_pay_time").cast("date")).alias("recency_days"),
-            "frequency",
-            "monetary",
-        )
+        .groupBy("user_id", "order_id")
+        .agg(F.max("pay_time").alias("paid_at"), F.sum("pay_amount").alias("paid"))
+    )
+    since = F.datediff(F.lit(as_of).cast("date"), F.max("paid_at").cast("date"))
+    return orders.groupBy("user_id").agg(
+        since.alias("recency_days"), F.count("order_id").alias("frequency"), F.sum("paid").alias("monetary")
     )
 
 
@@ -123,11 +120,14 @@ def rfm_segment_threshold(payments: DataFrame, as_of: str) -> DataFrame:
 
 
 def refund_analysis(refunds: DataFrame) -> DataFrame:
-    """Refunds per day, reason and status; a refund is one row of the detail."""
-    return refunds.groupBy("dt", "refund_reason", "refund_status").agg(
-        F.count("refund_id").alias("refund_count"),
-        F.countDistinct("order_id").alias("refund_order_count"),
-        F.sum("refund_amount").alias("refund_amount"),
+    """Refunds per day, reason and status; a refund is one row of the detail. They are
+    summed per order first, so that orders are counted as rows."""
+    keys = ["dt", "refund_reason", "refund_status"]
+    orders = refunds.groupBy(*keys, "order_id").agg(F.count("refund_id").alias("n"), F.sum("refund_amount").alias("sum"))
+    return orders.groupBy(*keys).agg(
+        F.sum("n").alias("refund_count"),
+        F.count("order_id").alias("refund_order_count"),
+        F.sum("sum").alias("refund_amount"),
     )
 
 
@@ -140,21 +140,9 @@ def product_sales(lines_or_days: DataFrame, quantity: str, amount: str) -> DataF
 
 def inventory_turnover(stock: DataFrame, sales: DataFrame) -> DataFrame:
     """Units sold per unit held. A shop's row gets the product's total sales."""
-    average = (F.col("avg_before_quantity") + F.col("ending_quantity")) / 2
-    return (
-        stock.join(sales, ["dt", "product_id"], "left")
-        .na.fill(0, ["sales_quantity", "sales_amount"])
-        .withColumn("avg_inventory", average)
-        .select(
-            "dt",
-            "product_id",
-            "shop_id",
-            "sales_quantity",
-            "sales_amount",
-            "in_quantity",
-            "out_quantity",
-            "ending_quantity",
-            "avg_inventory",
-            E.safe_div(F.col("sales_quantity"), F.col("avg_inventory")).alias("inventory_turnover_rate"),
-        )
+    held = (F.col("avg_before_quantity") + F.col("ending_quantity")) / 2
+    sold = stock.join(sales, ["dt", "product_id"], "left").na.fill(0, ["sales_quantity", "sales_amount"])
+    rated = sold.withColumn("avg_inventory", held).withColumn(
+        "inventory_turnover_rate", E.safe_div(F.col("sales_quantity"), F.col("avg_inventory"))
     )
+    return rated.select(*column_names("ads_inventory_turnover"))
