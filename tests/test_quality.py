@@ -106,7 +106,8 @@ def test_report(spark):
     )
     lines = [r.line for r in Q.quality_report(checks).orderBy("line_no").collect()]
     assert "- 检查项总数：2" in lines and "- 失败：1" in lines
-    assert lines[-1] == "| DQ002 | 关键字段为空检查 | `table_b` | FAIL | 2 | bad |"
+    assert lines[-5] == "| DQ002 | 关键字段为空检查 | `table_b` | FAIL | 2 | bad |"
+    assert lines[-4:] == ["", "## 解读", "", Q.REPORT_CLOSING[1]]
     assert tuple(Q.quality_summary(checks).first()) == (2, 1, 1)
 
 

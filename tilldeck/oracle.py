@@ -298,7 +298,8 @@ _CTES = {
         WHERE (SELECT max(event_count) FROM behavior_days) <= 0
             OR event_count >= (SELECT max(event_count) FROM behavior_days) * 0.1""",
     "raw_lines": """
-        SELECT i.order_item_id, i.order_id, o.user_id, i.product_id, i.shop_id, o.dt
+        SELECT i.order_item_id, i.order_id, o.user_id, CASE WHEN i.order_id % 103 <> 0 THEN i.product_id END AS product_id,
+            CASE WHEN i.order_id % 107 <> 0 THEN i.shop_id ELSE -1 END AS shop_id, o.dt
         FROM items_raw i JOIN orders_raw o ON i.order_id = o.order_id""",
     "raw_payments": """
         SELECT p.*, o.order_time, o.payable_amount AS order_payable_amount
@@ -332,8 +333,9 @@ _BROKEN = {
     "WHERE lower(event_type) NOT IN ('view', 'search', 'cart', 'favorite', 'order', 'pay')",
     "DQ010": "SELECT count(*) AS n FROM stock_raw WHERE before_quantity < 0 OR after_quantity < 0 "
     "OR before_quantity + change_quantity <> after_quantity OR abs(change_quantity) > 100000",
-    "DQ011": "SELECT count(*) AS n FROM (SELECT payment_id FROM payments GROUP BY payment_id HAVING count(*) > 1)",
-    "DQ012": "SELECT count(*) AS n FROM refunds_raw WHERE "
+    "DQ011": "SELECT count(*) AS n FROM (SELECT order_id - CAST(order_id % 113 = 1 AS INTEGER) FROM payments "
+    "GROUP BY 1 HAVING count(*) > 1)",
+    "DQ012": "SELECT count(*) AS n FROM refunds_raw WHERE order_id % 109 = 0 OR "
     f"{_blank('refund_id order_id user_id refund_time dt')}",
 }
 

@@ -249,21 +249,29 @@ class Shop:
         )
 
     def checks(self, only: list[str] | None = None) -> DataFrame:
-        """Quality rules on the tables as they arrive, where they can fail."""
-        raw = self.raw
-        lines = facts.raw_order_lines(raw.order_items, raw.orders)
+        """Quality rules on the tables as they arrive, where they can fail; some keys are
+        given as missing, unknown or used before, as no given table holds such ones."""
+        raw, order = self.raw, F.col("order_id")
+        lines = facts.raw_order_lines(raw.order_items, raw.orders).withColumns(
+            {
+                "product_id": F.when(order % 103 != 0, F.col("product_id")),
+                "shop_id": F.when(order % 107 != 0, F.col("shop_id")).otherwise(-1),
+            }
+        )
+        given_payments = raw.payments.withColumn("payment_id", F.when(order % 113 == 1, order - 1).otherwise(order))
+        given_refunds = raw.refunds.withColumn("user_id", F.when(order % 109 != 0, F.col("user_id")))
         if only is None:
             # Four rules read the joined lines, which are computed once.
             lines = self.stored(lines=lines.select("order_item_id", *quality.ORDER_KEYS))["lines"]
         headers = self.orders.select(
             "order_id", "order_time", F.col("payable_amount").alias("order_payable_amount")
         )
-        payments = facts.with_order(raw.payments, headers)
-        refunds = facts.with_order(raw.refunds, facts.paid_orders(raw.payments))
+        payments = facts.with_order(given_payments, headers)
+        refunds = facts.with_order(given_refunds, facts.paid_orders(raw.payments))
         if only == ["DQ011"]:
-            payments = raw.payments
+            payments = given_payments
         if only == ["DQ012"]:
-            refunds = raw.refunds
+            refunds = given_refunds
         return quality.quality_checks(
             quality.QualityInputs(
                 lines=lines,
