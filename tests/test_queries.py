@@ -12,7 +12,7 @@ from tilldeck.oracle import ORACLE
 from tilldeck.plans.catalog import QUERIES
 
 FOLDER = "/root/testdata/sf0.001"
-ROWS_ONLY = {"dataset_profile", "dashboard_payload"}
+ROWS_ONLY = {"dataset_profile"}
 # Minutes of small files; test_builds covers them, oracle_check.py compares them.
 BUILDS = {"retail_layers_build", "behavior_layers_build"}
 
