@@ -21,25 +21,36 @@ from tilldeck.session import scratch_dir
 NAMES = ("byte_bpe_50k.json", "word_bpe_49k.json")
 
 
-def whole(name, texts):
+def whole(name, texts, ordinary=False):
     tokenizer = Tokenizer.from_file(tokenizer_path(name))
-    tokenizer.encode_special_tokens = True
+    tokenizer.encode_special_tokens = ordinary
     return [e.ids for e in tokenizer.encode_batch([t or "" for t in texts], add_special_tokens=False)]
 
 
 @pytest.mark.parametrize("name", NAMES)
 @settings(max_examples=150, deadline=None)
-@given(st.lists(st.text(st.sampled_from("ab'sÉé\u0301 \t\n\r\x1c\x85\xa0\u2003\u3000.1é<|end>of"), max_size=40), max_size=4))
+@given(
+    st.lists(
+        st.lists(
+            st.sampled_from([*"ab'sÉé\u0301 \t\n\r\x1c\x85\xa0\u2003\u3000.1é<|end>of", "<|endoftext|>", "<|startoftext|>"]),
+            max_size=40,
+        ).map("".join),
+        max_size=4,
+    )
+)
 def test_pieces_give_the_ids_of_whole_texts(name, texts):
     got = [np.frombuffer(b, dtype="<u4").tolist() for b in Encoder.of(tokenizer_path(name))(texts)]
     assert got == whole(name, texts)
 
 
-def test_special_tokens_in_a_text_are_ordinary_text():
-    texts = ["a <|endoftext|> b", "x" * 300 + "<|endoftext|>"]
-    for name in NAMES:
-        got = [np.frombuffer(b, dtype="<u4").tolist() for b in Encoder(tokenizer_path(name))(texts)]
-        assert got == whole(name, texts) and 50256 not in got[0] and 49407 not in got[0]
+@pytest.mark.parametrize("ordinary", [True, False])
+def test_special_tokens_in_a_text(ordinary):
+    texts = ["a <|endoftext|> b", "x" * 300 + "<|endoftext|>", "one  <|endoftext|>two<|endoftext|>"]
+    for name, special in zip(NAMES, (50256, 49407), strict=True):
+        encode = Encoder(tokenizer_path(name), ordinary)
+        got = [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)]
+        assert got == whole(name, texts, ordinary)
+        assert all((special in ids) is not ordinary for ids in got)
 
 
 def test_white_space_is_unicodes():

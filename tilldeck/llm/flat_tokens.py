@@ -24,7 +24,7 @@ _ENDS = "part int, block int, tokens long, ends array<long>"
 
 def _encoded(path: str):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encode = Encoder.of(path)
+        encode = Encoder.of(path, ordinary=True)
         for part in chunks(batches, "text", TEXT_BYTES, keep=True):
             flat = [
                 (np.frombuffer(ids, dtype="<u4") + 1).astype("<u2").tobytes() for ids in encode(column(part, "text"))

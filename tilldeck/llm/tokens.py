@@ -35,24 +35,27 @@ _TOGETHER = 512
 
 
 class Encoder:
-    """Ids of texts as little-endian unsigned 32-bit integers in bytes."""
+    """Ids of texts as little-endian unsigned 32-bit integers in bytes.
 
-    def __init__(self, path: str) -> None:
+    A special token that stands literally in a text gets its own id, as by the plain
+    library call; with ``ordinary`` it is text like any other."""
+
+    def __init__(self, path: str, ordinary: bool = False) -> None:
         # A task has one core; the library's own threads would each keep memory.
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
-        # What looks like a special token in a text is ordinary text.
-        self.tokenizer.encode_special_tokens = True
+        self.tokenizer.encode_special_tokens = ordinary
         self.known: dict[str, bytes] = {}
         marks = ((m, self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS)
         self.mark, (self.mark_id,) = next((m, ids) for m, ids in marks if len(ids) == 1)
 
     @classmethod
-    def of(cls, path: str) -> Encoder:
+    def of(cls, path: str, ordinary: bool = False) -> Encoder:
         """The worker's one encoder for a file."""
-        if path not in KEPT:
-            KEPT[path] = cls(path)
-        return KEPT[path]
+        key = f"{path} {ordinary}"
+        if key not in KEPT:
+            KEPT[key] = cls(path, ordinary)
+        return KEPT[key]
 
     @classmethod
     def release(cls) -> None:
