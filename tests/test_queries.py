@@ -101,6 +101,11 @@ def test_distinct_counts_copy_no_row(plan, name):
     assert "Expand" not in plan(name)
 
 
+def test_product_columns_join_the_best_products_only(plan):
+    text = plan("product_topn")
+    assert text[: text.index("WindowGroupLimit")].count("LeftOuter") == 2
+
+
 def test_a_day_filter_reaches_the_orders_below_the_line_join(spark):
     day = QUERIES["trade_order_detail"](spark, FOLDER).where("dt = '1995-01-01'")
     text = day._jdf.queryExecution().optimizedPlan().toString()

@@ -65,6 +65,12 @@ def product_attributes(products: DataFrame) -> DataFrame:
     return keep_one(products.select("product_id", "category_id", "category_name", "brand"), ["product_id"])
 
 
+def with_product_attributes(rows: DataFrame, products: DataFrame) -> DataFrame:
+    """Few rows by product, such as top lists, with the product columns lines get."""
+    named = rows.join(product_attributes(products), "product_id", "left")
+    return named.withColumn("category_name", F.coalesce("category_name", F.lit(UNKNOWN_CATEGORY)))
+
+
 def raw_order_lines(items: DataFrame, orders: DataFrame) -> DataFrame:
     """Lines as they are given with their order's header columns and day.
 

@@ -617,9 +617,10 @@ def retail_dashboard(shop: Shop) -> DataFrame:
 
 @query
 def product_topn(shop: Shop) -> DataFrame:
-    return metrics.product_topn(
-        S.product_daily(shop.product_lines), D.dim_product(shop.raw.products, PROCESS_DT)
-    )
+    """A product has one category and brand, so these too join after the cut."""
+    top = metrics.product_topn(S.item_daily(shop.lines), D.dim_product(shop.raw.products, PROCESS_DT))
+    keys = ["product_id", "dt", "category_id", "category_name", "brand"]
+    return facts.with_product_attributes(top, shop.raw.products).select(*keys, *(c for c in top.columns if c not in keys))
 
 
 @query
