@@ -101,6 +101,25 @@ def test_backfill_tasks_own_runs_of_days_and_share_a_large_one(spark, tmp_path):
     assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
 
 
+def test_runs_cut_by_a_stored_table_compute_the_new_one_once(spark, tmp_path, monkeypatch, rows):
+    """The days tell the runs: no range is sampled, a large day is shared, and days that
+    the other table lacks stay."""
+    monkeypatch.setattr(layers, "RUN_ROWS", 1000)
+    hot = events(spark, 1, 3000).unionAll(events(spark, 300, 10)).withColumn("event_id", F.expr("xxhash64(event_id, monotonically_increasing_id())").cast("string"))
+    plan = layers._in_runs_as(layers.conform(hot, TABLE), hot)._jdf.queryExecution().executedPlan().toString()
+    assert "rangepartitioning" not in plan
+    new = hot.unionAll(events(spark, 302, 1).where("dt > '2025-10-27'"))
+    layers.write_layer(new, str(tmp_path), TABLE, mode="backfill", spread=hot)
+    back = layers.read_layer(spark, str(tmp_path), TABLE)
+    assert rows(back, "event_id", "dt") == rows(new, "event_id", "dt")
+    spans = (
+        back.where(F.col("dt") < "2025-10-01").groupBy("_metadata.file_name")
+        .agg(F.min("dt").alias("low"), F.max("dt").alias("high")).orderBy("low", "high").collect()
+    )
+    assert sum(s.low == "2025-01-01" for s in spans) > 1
+    assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
+
+
 def test_emptied_days_are_cleared_before_new_ones_show(spark, tmp_path, monkeypatch):
     root, df = str(tmp_path), events(spark, 4)
     layers.write_layer(df, root, TABLE)
