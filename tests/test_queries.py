@@ -9,7 +9,7 @@ from oracle_check import compare, connect
 
 import __spark_entry__ as entry
 from tilldeck.oracle import ORACLE
-from tilldeck.plans.catalog import QUERIES
+from tilldeck.plans.catalog import QUERIES, Shop
 
 FOLDER = "/root/testdata/sf0.001"
 ROWS_ONLY = {"dataset_profile"}
@@ -106,6 +106,16 @@ def test_product_columns_join_the_best_products_only(plan):
     assert text[: text.index("WindowGroupLimit")].count("LeftOuter") == 2
 
 
+def test_the_latest_day_is_cut_before_product_columns_join(spark, monkeypatch):
+    """All lines are summed once by product and shop, without their join to products."""
+    made = {}
+    stored = Shop.stored
+    monkeypatch.setattr(Shop, "stored", lambda shop, **frames: made.update(frames) or stored(shop, **frames))
+    QUERIES["latest_day_topn"](spark, FOLDER)
+    plan = made["sales"]._jdf.queryExecution().optimizedPlan().toString()
+    assert "Join" in plan and "p_partkey" not in plan and "p_brand" not in plan
+
+
 def test_a_day_filter_reaches_the_orders_below_the_line_join(spark):
     day = QUERIES["trade_order_detail"](spark, FOLDER).where("dt = '1995-01-01'")
     text = day._jdf.queryExecution().optimizedPlan().toString()

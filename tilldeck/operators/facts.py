@@ -66,7 +66,7 @@ def product_attributes(products: DataFrame) -> DataFrame:
 
 
 def with_product_attributes(rows: DataFrame, products: DataFrame) -> DataFrame:
-    """Few rows by product, such as top lists, with the product columns lines get."""
+    """Few rows by product, such as top lists or a day, with the product columns lines get."""
     named = rows.join(product_attributes(products), "product_id", "left")
     return named.withColumn("category_name", F.coalesce("category_name", F.lit(UNKNOWN_CATEGORY)))
 

@@ -855,10 +855,9 @@ def latest_behavior_kpis(shop: Shop) -> DataFrame:
 @query
 def latest_day_topn(shop: Shop) -> DataFrame:
     """Best rows of the latest day of six tables, all read from summaries written once."""
-    keys = ("dt", "product_id", "category_id", "category_name", "brand", "shop_id")
     sums = {name: F.sum(name).alias(name) for name in ("sales_quantity", "sales_amount")}
     made = shop.stored(
-        sales=shop.product_lines.groupBy(*keys).agg(
+        sales=shop.lines.groupBy("dt", "product_id", "shop_id").agg(
             F.sum("quantity").alias("sales_quantity"), F.sum("item_amount").alias("sales_amount")
         ),
         refunds=metrics.refund_analysis(shop.refunds),
@@ -869,8 +868,10 @@ def latest_day_topn(shop: Shop) -> DataFrame:
     sales, refunds, stock, skus = (made[name] for name in ("sales", "refunds", "stock", "skus"))
     by_product, by_shop = ["product_id", "category_id"], ["shop_id"]
     by_category = ["category_id", "category_name"]
-    products = sales.groupBy(*keys[:-1]).agg(sums["sales_amount"])
-    categories = sales.groupBy("dt", *by_category).agg(sums["sales_amount"])
+    # The day is cut first: only its rows join the product columns.
+    named = facts.with_product_attributes(sales, shop.raw.products)
+    products = named.groupBy("dt", *by_product, "category_name", "brand").agg(sums["sales_amount"])
+    categories = named.groupBy("dt", *by_category).agg(sums["sales_amount"])
     shops = sales.groupBy("dt", *by_shop).agg(sums["sales_amount"])
     turnover = metrics.inventory_turnover(stock, sales.groupBy("dt", "product_id").agg(*sums.values()))
     trade_day = R.latest_dt(sales)
