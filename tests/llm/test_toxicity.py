@@ -1,10 +1,14 @@
 from __future__ import annotations
 
+import tracemalloc
 import zlib
+from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from tilldeck.llm import toxicity as module
 from tilldeck.llm.queries import QUERIES, held_out
 from tilldeck.llm.toxicity import THRESHOLD, Model, fit, toxicity
 
@@ -105,3 +109,59 @@ def test_documents_with_columns_named_like_those_of_the_labels(spark, documents)
     labels = spark.createDataFrame([(i, i % 2) for i in range(1, 16)] + [(None, 1), (2, 7)], "doc_id long, toxic int")
     rows = toxicity(docs, fit(docs, labels), carry=("doc_id", "toxic")).collect()
     assert len(rows) == docs.count() and {r.toxic for r in rows} == {9}
+
+
+def _sample(seed, count, words, special=""):
+    draw = np.random.default_rng(seed)
+    known = ["".join("bdglmnprst"[k % 10] + "aeiou"[k // 10 % 5] for k in draw.integers(0, 50, 3)) for _ in range(400)]
+    texts = [" ".join(known[k] for k in draw.zipf(1.3, words) % 400) for _ in range(count)]
+    return [f"{t} {known[i % 40]} {special}{i % 9} {t[:20]}".encode() for i, t in enumerate(texts)]
+
+
+@pytest.mark.parametrize("most_places", [1 << 20, 50])
+def test_telling_sequences_by_brute_force(monkeypatch, most_places):
+    monkeypatch.setattr(module, "_MOST_PLACES", most_places)
+    monkeypatch.setattr(module, "_COUNTERS", 1 << 9)
+    own, other = _sample(1, 110, 60, "schwachkopf"), _sample(1, 120, 80, "freundlich")
+
+    def places(texts):
+        """Text, sequence and the eight bytes before the word's space, place by place."""
+        data = b"".join(bytes(8) + b" " + b" ".join(t.split()) + b" " for t in texts) + bytes(8)
+        space = 0
+        for i in range(len(data) - 8):
+            space = i if data[i] == 32 else space
+            yield data, i, data[i : i + 6], data[max(space - 8, 0) : max(space - 8, 0) + 8]
+
+    def contexts(texts):
+        out = defaultdict(set)
+        for _, _, found, before in places(texts):
+            if 0 not in found:
+                out[found].add(before)
+        return out
+
+    mine, theirs = contexts(own), contexts(other)
+    total, rest = sum(map(len, own)), sum(map(len, other))
+    least = max(5, np.log(1e-4) / np.log(total / (total + rest)))
+    good = {s for s, c in mine.items() if len(c) >= least and len(theirs[s]) * total <= 0.05 * len(c) * rest}
+    runs, start = Counter(), None
+    for data, i, found, _ in places(own):
+        if found in good:
+            start = i if start is None else start
+        elif start is not None:
+            runs[data[start : i + 5]] += 1
+            start = None
+    expected = sorted(runs, key=lambda r: (-runs[r], r))[::-1]
+    assert good and module._telling(own, other) == b"\n".join(expected)
+
+
+def test_memory_of_the_choice_does_not_follow_the_sample():
+    def peak(count):
+        own, other = _sample(2, count, 150, "schwachkopf"), _sample(3, count, 150)
+        tracemalloc.start()
+        module._telling(own, other)
+        found = tracemalloc.get_traced_memory()[1]
+        tracemalloc.stop()
+        return found
+
+    peak(10)
+    assert peak(2_000) < 1.3 * peak(500) + 1_000_000

@@ -59,6 +59,9 @@ _PARAMETERS = {
 }
 _TRAILER = bytes(range(1, 32))
 _GAP = bytes(8)
+# What the driver counts at once: texts of a part (a megabyte at ``STRETCH`` bytes
+# each), counters of sequences, and places whose contexts are told apart.
+_PART_TEXTS, _COUNTERS, _MOST_PLACES = 125, 1 << 22, 1 << 20
 _PLAIN = bytes(b if LETTER_DIGIT[b] else 32 for b in bytes(range(256)).lower())
 _FOUND = "hits long, windows long, evidence double"
 
@@ -74,49 +77,105 @@ def _windows(text: bytes | None) -> list[bytes]:
     ]
 
 
-def _sequences(texts: list[bytes]) -> tuple[bytes, np.ndarray, np.ndarray]:
-    """The texts' words, the byte sequence at each place and a hash of it with the
-    end of the word before; 0 where a sequence would leave its text."""
+def _sequences(texts: list[bytes]) -> tuple[bytes, np.ndarray]:
+    """The texts' words and the byte sequence at each place; 0 where a sequence would
+    leave its text."""
     data = b"".join(b"%b %b " % (_GAP, b" ".join(_words(text))) for text in texts) + _GAP
     count = len(data) - len(_GAP)
     eight = np.ndarray((count,), dtype="<u8", buffer=data, strides=(1,))
     found = eight & np.uint64((1 << 8 * SEQUENCE) - 1)
-    plain = np.frombuffer(data, dtype=np.uint8)
-    gaps = np.concatenate(([0], np.cumsum(plain == 0)))
-    found = np.where(gaps[SEQUENCE : SEQUENCE + count] == gaps[:count], found, np.uint64(0))
-    space = np.maximum.accumulate(np.where(plain[:count] == 32, np.arange(count), 0))
-    before = eight[np.maximum(space - 8, 0)]
-    return data, found, np.where(found == 0, np.uint64(0), mix(found ^ mix(before)))
+    gaps = np.concatenate(([0], np.cumsum(np.frombuffer(data, dtype=np.uint8) == 0, dtype=np.int32)))
+    found[gaps[SEQUENCE : SEQUENCE + count] != gaps[:count]] = 0
+    return data, found
+
+
+def _pairs(data: bytes, found: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """A hash of each sequence at the places ``at`` with the end of the word before."""
+    count = len(found)
+    eight = np.ndarray((count,), dtype="<u8", buffer=data, strides=(1,))
+    places = np.where(np.frombuffer(data, dtype=np.uint8, count=count) == 32, np.arange(count, dtype=np.int32), 0)
+    space = np.maximum.accumulate(places)[at]
+    return mix(found[at] ^ mix(eight[np.maximum(space - 8, 0)]))
+
+
+def _parts(texts: list[bytes]) -> Iterator[list[bytes]]:
+    """A megabyte of text at a time, which bounds the memory of what is counted."""
+    for i in range(0, len(texts), _PART_TEXTS):
+        yield texts[i : i + _PART_TEXTS]
 
 
 def _contexts(found: np.ndarray, pairs: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     """Sequences and after how many different words each stands."""
     _, first = np.unique(pairs, return_index=True)
-    values, times = np.unique(found[first], return_counts=True)
-    return values[values != 0], times[values != 0]
+    return np.unique(found[first], return_counts=True)
+
+
+def _frequent(texts: list[bytes], least: float) -> tuple[np.ndarray, np.ndarray]:
+    """Sequences that may stand at ``least`` places, and at how many at most: some
+    share a counter with others."""
+    counters = np.zeros(_COUNTERS, dtype=np.int64)
+    mask = np.uint64(_COUNTERS - 1)
+    for part in _parts(texts):
+        found = _sequences(part)[1]
+        counters += np.bincount((mix(found[found != 0]) & mask).view(np.int64), minlength=_COUNTERS)
+    values = np.empty(0, dtype=np.uint64)
+    for part in _parts(texts):
+        found = np.unique(_sequences(part)[1])
+        found = found[found != 0]
+        values = np.union1d(values, found[counters[(mix(found) & mask).view(np.int64)] >= least])
+    return values, counters[(mix(values) & mask).view(np.int64)]
+
+
+def _places(texts: list[bytes], values: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Where the sorted ``values`` stand, with the words before them, part by part."""
+    for part in _parts(texts):
+        data, found = _sequences(part)
+        at = np.flatnonzero(np.isin(found, values))
+        yield found[at], _pairs(data, found, at)
+
+
+def _context_counts(texts: list[bytes], values: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """After how many different words each value stands in all texts together. Values
+    of about ``_MOST_PLACES`` places are counted in one go."""
+    times = np.zeros(len(values), dtype=np.int64)
+    go = np.cumsum(places) // _MOST_PLACES
+    for low, high in zip(*(np.searchsorted(go, np.unique(go), side=side) for side in ("left", "right")), strict=True):
+        known, standing = np.empty(0, dtype=np.uint64), np.empty(0, dtype=np.uint64)
+        for found, pairs in _places(texts, values[low:high]):
+            known, first = np.unique(np.concatenate((known, pairs)), return_index=True)
+            standing = np.concatenate((standing, found))[first]
+        which, n = np.unique(standing, return_counts=True)
+        times[low + np.searchsorted(values[low:high], which)] = n
+    return times
 
 
 def _telling(own: list[bytes], other: list[bytes]) -> bytes:
     """Stretches of ``own`` texts whose sequences ``other`` texts hardly hold, the
-    most frequent ones last, where they are cheapest to refer to."""
-    data, found, pairs = _sequences(own)
-    values, times = _contexts(found, pairs)
+    most frequent ones last, where they are cheapest to refer to.
+
+    No array spans all texts: rare sequences and those that ``other`` texts hold leave
+    before contexts are counted, so memory follows the part, not the sample."""
     total, rest = sum(map(len, own)), sum(map(len, other))
     if not total or not rest:
         return b""
     least = max(LEAST_CONTEXTS, np.log(CHANCE) / np.log(total / (total + rest)))
-    values, times = values[times >= least], times[times >= least]
+    values, places = _frequent(own, least)
     against = np.zeros(len(values))
-    # A megabyte at a time; only candidates are counted, so a context may count in each.
-    for i in range(0, len(other), 125):
-        _, there, with_word = _sequences(other[i : i + 125])
-        known = np.isin(there, values)
-        which, n = _contexts(there[known], with_word[known])
+    # Parts are counted one by one, so a context may count in each.
+    for found, pairs in _places(other, values):
+        which, n = _contexts(found, pairs)
         against[np.searchsorted(values, which)] += n
-    values = values[against * total <= MOST_OTHER * times * rest]
-    marks = np.diff(np.concatenate(([0], np.isin(found, values).astype(np.int8), [0])))
-    runs = zip(np.flatnonzero(marks == 1), np.flatnonzero(marks == -1) + SEQUENCE - 1, strict=True)
-    counted = Counter(data[low:high] for low, high in runs)
+    # A sequence stands after no more words than it has places.
+    may = against * total <= MOST_OTHER * places * rest
+    values, places, against = values[may], places[may], against[may]
+    times = _context_counts(own, values, places)
+    values = values[(times >= least) & (against * total <= MOST_OTHER * times * rest)]
+    counted: Counter[bytes] = Counter()
+    for part in _parts(own):
+        data, found = _sequences(part)
+        marks = np.diff(np.concatenate(([0], np.isin(found, values).astype(np.int8), [0])))
+        runs = zip(np.flatnonzero(marks == 1), np.flatnonzero(marks == -1) + SEQUENCE - 1, strict=True)
+        counted.update(data[low:high] for low, high in runs)
     kept, room = [], DICTIONARY_BYTES
     for run in sorted(counted, key=lambda r: (-counted[r], r)):
         if len(run) < room:
