@@ -11,6 +11,7 @@ from hypothesis import given, settings
 from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
+from tilldeck.llm import tokens
 from tilldeck.llm.coder import decode_blocks, encode_blocks, split_block
 from tilldeck.llm.flat_tokens import document_token_counts, write_flat_tokens
 from tilldeck.llm.packing import pack_documents
@@ -53,6 +54,34 @@ def test_special_tokens_in_a_text(ordinary):
         assert all((special in ids) is not ordinary for ids in got)
 
 
+@pytest.mark.parametrize("name", NAMES)
+def test_pieces_by_a_small_table(monkeypatch, name):
+    monkeypatch.setattr(tokens, "_SLOT_BITS", 3)
+    monkeypatch.setattr(tokens, "_PIECES", 7)
+    encode = Encoder(tokenizer_path(name))
+    texts = [
+        "Ends, of. words; with: stops! and? more.", "no.stop a.\u03a3 \u03a3. b,\x85c e\u0301, don't. it's, 'll.", "x.",
+        ".", "", None, "a\xa0 b\u3000 c\u00e9 d\u2003", "nul\0 nul nul\0\0", "fifteen_bytes__ sixteen__bytes__",
+        "\u0130\u0130\u0130\u0130\u0130\u0130\u0130", "\ud7ff\U0001f600 " * 9, " \n", "same " * 40, "a<|endoftext|>, b.<|endoftext|>.",
+    ]
+    for _ in range(2):
+        got = [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)]
+        assert got == whole(name, texts)
+
+
+def test_a_piece_goes_to_the_library_once(monkeypatch):
+    """More pieces than a dictionary of 300,000 held, over texts of a megabyte."""
+    encode, sent = Encoder(tokenizer_path(NAMES[1])), []
+    library = encode._encoded
+    monkeypatch.setattr(encode, "_encoded", lambda pieces: (sent.append(len(pieces)), library(pieces))[1])
+    texts = [" ".join(f"{k:x}," for k in range(i, 1_000_000, 10)[:40_000]) for i in range(10)]
+    first = [encode([t]) for t in texts]
+    assert 390_000 < sum(sent) <= 400_100
+    sent.clear()
+    assert [encode([t]) for t in texts] == first
+    assert sum(sent) < 200_000
+
+
 def test_white_space_is_unicodes():
     expected = [c for c in map(chr, range(0x110000)) if c.isspace() and not "\x1c" <= c <= "\x1f"]
     import re

@@ -1,9 +1,11 @@
 """Public tokenizers applied to whole texts, piece by piece.
 
 Neither vocabulary joins anything across the border from a character that is not
-white space to one that is, so a text's ids are those of its pieces (white space
-and what follows it up to the next white space). Pieces repeat far more than
-texts do; each is encoded once as long as the memory allowed for it lasts.
+white space to one that is, nor from a letter to the stop that ends its word, so a
+text's ids are those of its pieces (white space and what follows it up to the next
+white space, stops apart). Pieces repeat far more than texts do; each goes to the
+library once, as long as its place in a table of fixed size is not taken by another.
+The table is looked up for all pieces at once.
 """
 
 from __future__ import annotations
@@ -19,13 +21,22 @@ from tilldeck.llm.words import KEPT, give_back
 
 # Fixed value: the characters with Unicode's White_Space property.
 WHITE_SPACE = "\t-\r \x85\xa0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000"
-_PIECE = re.compile(f"[{WHITE_SPACE}]*[^{WHITE_SPACE}]+|[{WHITE_SPACE}]+")
-# Pieces remembered, and the length beyond which a piece is not worth it.
-REMEMBERED = 300_000
-_LONGEST = 64
-# Texts cut into pieces at once; a piece takes ten times its letters.
+# Texts cut into pieces at once.
 TEXT_BYTES = 1 << 20
-
+# Pieces looked up at once, which bounds the memory that a long text takes.
+_PIECES = 1 << 18
+# Pieces remembered at most, as a power of two, with bytes and ids of each.
+_SLOT_BITS, _LONGEST, _MOST_IDS = 20, 15, 8
+
+# Pieces end where one of these bytes follows a character that is no white space.
+_SPACE = np.isin(np.arange(256), [*b"\t\n\x0b\x0c\r "])
+# A stop between one of these letters and white space or the end is a piece itself.
+_LETTER = np.isin(np.arange(256), [*range(0x41, 0x5B), *range(0x61, 0x7B)])
+_STOP = np.isin(np.arange(256), [*b",.;:!?"])
+_WIDE = [c.encode() for c in map(chr, range(0x80, 0x3001)) if re.match(f"[{WHITE_SPACE}]", c)]
+_WIDE_SPACES = {n: [int.from_bytes(c, "big") for c in _WIDE if len(c) == n] for n in (2, 3)}
+_STEP_1, _STEP_2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F)
+_LOW_BYTES = np.array([(1 << 8 * n) - 1 for n in range(9)], dtype=np.uint64)
 
 # Ordinary pieces, at most one plain space in front, are encoded many at a time,
 # with a mark between them that each vocabulary encodes as one id of its own.
@@ -34,6 +45,26 @@ _MARKS = ("\n", " \x01 ")
 _TOGETHER = 512
 
 
+def _starts(data: bytes, bounds: np.ndarray) -> np.ndarray:
+    """Where the pieces of joined texts start. White space beyond ASCII starts none
+    and lies inside a piece."""
+    plain = np.frombuffer(data, dtype=np.uint8)
+    space = _SPACE[plain]
+    first = np.zeros(len(data) + 1, dtype=bool)
+    first[1:-1] = space[1:] & ~space[:-1]
+    at = np.flatnonzero(first)
+    beyond = at[plain[at - 1] >= 0x80]
+    for size, known in _WIDE_SPACES.items():
+        ends = beyond[beyond >= size]
+        code = sum(plain[ends - 1 - k].astype(np.int64) << 8 * k for k in range(size))
+        first[ends[np.isin(code, known)]] = False
+    after = np.append(space, True)
+    after[bounds] = True
+    first[1:-1] |= _LETTER[plain[:-1]] & _STOP[plain[1:]] & after[2:]
+    first[bounds] = True
+    return np.flatnonzero(first[:-1])
+
+
 class Encoder:
     """Ids of texts as little-endian unsigned 32-bit integers in bytes.
 
@@ -45,7 +76,13 @@ class Encoder:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = ordinary
-        self.known: dict[str, bytes] = {}
+        # Of each remembered piece its bytes, the last of which is their number, and ids.
+        slots = 1 << _SLOT_BITS
+        self.keys = np.zeros((2, slots), dtype=np.uint64)
+        self.counts = np.zeros(slots, dtype=np.uint8)
+        self.ids = np.zeros(
+            (slots, _MOST_IDS), dtype="<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
+        )
         marks = ((m, self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS)
         self.mark, (self.mark_id,) = next((m, ids) for m, ids in marks if len(ids) == 1)
 
@@ -63,39 +100,85 @@ class Encoder:
         KEPT.clear()
         give_back()
 
-    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+    def _library(self, texts: list[str]) -> list[np.ndarray]:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(found.ids, dtype="<u4") for found in encoded]
 
-    def _encoded(self, pieces: set[str]) -> dict[str, bytes]:
-        plain = [piece for piece in pieces if _ORDINARY(piece)]
-        out = {piece: b"" for piece in pieces}
+    def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of different pieces one after another, and how many each has."""
+        counts = np.zeros(len(pieces), dtype=np.int64)
+        plain = [i for i, piece in enumerate(pieces) if _ORDINARY(piece)]
+        rest = sorted(set(range(len(pieces))).difference(plain))
         groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
-        for group, ids in zip(groups, self._ids([self.mark.join(g) for g in groups]), strict=True):
-            marks = np.flatnonzero(ids == self.mark_id)
-            flat = ids.tobytes()
-            starts = [0, *(4 * marks + 4).tolist()]
-            stops = [*(4 * marks).tolist(), len(flat)]
-            out.update((piece, flat[a:b]) for piece, a, b in zip(group, starts, stops, strict=True))
-        rest = [piece for piece in pieces if not _ORDINARY(piece)]
-        out.update((piece, ids.tobytes()) for piece, ids in zip(rest, self._ids(rest), strict=True))
-        return out
+        found = self._library([self.mark.join([pieces[i] for i in g]) for g in groups])
+        for group, ids in zip(groups, found, strict=True):
+            ends = np.concatenate((np.flatnonzero(ids == self.mark_id), [len(ids)]))
+            counts[group] = np.diff(ends, prepend=-1) - 1
+        own = self._library([pieces[i] for i in rest])
+        counts[rest] = [len(ids) for ids in own]
+        flat = np.concatenate([*(ids[ids != self.mark_id] for ids in found), *own, np.empty(0, dtype="<u4")])
+        # From the order of encoding back to that of the pieces.
+        order = np.array(plain + rest, dtype=np.int64)
+        start = np.empty(len(pieces), dtype=np.int64)
+        start[order] = np.cumsum(counts[order]) - counts[order]
+        return flat[_spread(start, counts)], counts
+
+    def _looked_up(self, data: bytes, eight: np.ndarray, starts: np.ndarray, stops: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Ids of all pieces one after another, and how many each has."""
+        length = stops - starts
+        low = eight[starts] & _LOW_BYTES[np.minimum(length, 8)]
+        high = eight[starts + 8] & _LOW_BYTES[np.clip(length - 8, 0, 7)]
+        high |= np.minimum(length, 255).astype(np.uint64) << np.uint64(56)
+        slot = (low * _STEP_1) ^ (high * _STEP_2)
+        slot = ((slot ^ (slot >> np.uint64(32))) * _STEP_1 >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
+        # All bytes are compared, so a slot's ids are those of this piece.
+        hit = (self.keys[0][slot] == low) & (self.keys[1][slot] == high) & (length <= _LONGEST)
+        counts, base = self.counts[slot].astype(np.int64), slot * _MOST_IDS
+        miss = np.flatnonzero(~hit)
+        seen: dict[bytes, int] = {}
+        which = [seen.setdefault(data[a:b], len(seen)) for a, b in zip(starts[miss].tolist(), stops[miss].tolist(), strict=True)]
+        new, n = self._encoded([piece.decode() for piece in seen])
+        at = np.cumsum(n) - n
+        counts[miss], base[miss] = n[which], at[which]
+        from_table = np.repeat(hit, counts)
+        place = _spread(base, counts)
+        ids = np.empty(len(place), dtype="<u4")
+        ids[from_table] = self.ids.reshape(-1)[place[from_table]]
+        ids[~from_table] = new[place[~from_table]]
+        # One new piece a slot is remembered.
+        fit = miss[(length[miss] <= _LONGEST) & (counts[miss] <= _MOST_IDS)]
+        fit = fit[np.unique(slot[fit], return_index=True)[1]]
+        own = slot[fit]
+        self.keys[0][own], self.keys[1][own], self.counts[own] = low[fit], high[fit], counts[fit]
+        inside = np.arange(_MOST_IDS) < counts[fit][:, None]
+        rows = np.zeros(inside.shape, dtype=self.ids.dtype)
+        rows[inside] = new[_spread(base[fit], counts[fit])]
+        self.ids[own] = rows
+        return ids, counts
 
     def __call__(self, texts: list[str | None]) -> list[bytes]:
-        pieces = [_PIECE.findall(text or "") for text in texts]
-        here = set().union(*pieces)
-        new = here.difference(self.known)
-        if len(self.known) + len(new) > REMEMBERED:
-            # What this chunk uses stays; rare pieces go.
-            self.known = {piece: self.known[piece] for piece in here.intersection(self.known)}
-        own = self._encoded(new)
-        long = [piece for piece in new if len(piece) > _LONGEST]
-        self.known.update(own)
-        look = self.known.__getitem__
-        out = [b"".join(map(look, found)) for found in pieces]
-        for piece in long:
-            del self.known[piece]
-        return out
+        encoded = [(text or "").encode() for text in texts]
+        data = b"".join(encoded)
+        bounds = np.cumsum([0, *map(len, encoded)])
+        if not data:
+            return [b""] * len(texts)
+        eight = np.ndarray((len(data) + 9,), dtype="<u8", buffer=data + bytes(16), strides=(1,))
+        starts = _starts(data, bounds)
+        stops = np.append(starts[1:], len(data))
+        parts, counts = [], [np.zeros(1, dtype=np.int64)]
+        for low in range(0, len(starts), _PIECES):
+            ids, n = self._looked_up(data, eight, starts[low : low + _PIECES], stops[low : low + _PIECES])
+            parts.append(ids.tobytes())
+            counts.append(n)
+        flat = b"".join(parts)
+        cuts = 4 * np.cumsum(np.concatenate(counts))[np.searchsorted(starts, bounds)]
+        return [flat[a:b] for a, b in zip(cuts.tolist(), cuts[1:].tolist(), strict=False)]
+
+
+def _spread(starts: np.ndarray, counts: np.ndarray) -> np.ndarray:
+    """``starts[i]`` and the ``counts[i] - 1`` numbers after it, for each ``i``."""
+    before = np.cumsum(counts) - counts
+    return np.repeat(starts - before, counts) + np.arange(counts.sum())
 
 
 def tokenizer_path(name: str) -> str:
