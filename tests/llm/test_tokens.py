@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tilldeck.llm import tokens
-from tilldeck.llm.coder import decode_blocks, encode_blocks, split_block
+from tilldeck.llm.coder import _carry, decode_blocks, encode_blocks, split_block
 from tilldeck.llm.flat_tokens import document_token_counts, write_flat_tokens
 from tilldeck.llm.packing import pack_documents
 from tilldeck.llm.token_files import _frame, read_frames, read_token_files, write_token_files
@@ -111,6 +111,38 @@ def test_coder_finds_repeats_and_damage():
         split_block(other[:-1], 0)
 
 
+def test_blocks_of_narrow_and_wide_ids_decode_together():
+    draw = np.random.default_rng(5)
+    runs = [[65_534] * 40 + [0, 65_534], [65_535, 1] * 30, draw.integers(0, 2**32, 500).tolist(), [2**32 - 1] * 50, []]
+    coded = [encode_blocks([np.array(r, dtype=np.uint32)])[0] for r in runs]
+    back = decode_blocks([split_block(c, 0)[0] for c in coded])
+    assert [b.tolist() for b in back] == runs
+    assert [split_block(c, 0)[0][2] for c in coded] == [2, 4, 4, 4, 2]
+
+
+def test_words_of_the_coder_carry():
+    words = np.array([7, 0xFFFF, 0xFFFF, 3, 9, 0xFFFF], dtype="<u2")
+    _carry(words, np.array([2, 3, 5]))
+    assert words.tolist() == [8, 0, 0, 4, 10, 0]
+    # A word is put out at most once an id, plus two at the end.
+    run = np.random.default_rng(6).integers(0, 300, 5_000).astype(np.uint32)
+    block = encode_blocks([run])[0]
+    assert len(split_block(block, 0)[0][3]) % 2 == 0
+
+
+def test_any_damage_is_a_value_error():
+    draw = np.random.default_rng(7)
+    run = draw.zipf(1.4, 300).clip(0, 60_000).astype(np.uint32)
+    block = encode_blocks([run])[0]
+    for at in draw.integers(21, len(block), 60).tolist():
+        broken = bytearray(block)
+        broken[at] ^= 1 << at % 8
+        try:
+            assert decode_blocks([split_block(bytes(broken), 0)[0]])[0].tolist() == run.tolist()
+        except ValueError as error:
+            assert "checksum" in str(error)
+
+
 def test_token_files(spark, documents, texts):
     path = scratch_dir(spark, "test-token-files")
     write_token_files(documents, path, block_ids=64)

@@ -3,8 +3,8 @@
 Three models each predict one id: what followed the last two ids (order 2), what
 followed the last one (order 1), and what last had the same low byte (order 0).
 One symbol says which prediction holds, if any. Its probabilities are mixed from
-the adaptive counts of all three contexts and drive a carry-less range coder.
-Bytes that no model predicts are kept beside it.
+the adaptive counts of all three contexts and drive a range coder that puts out
+words of 16 bits. Bytes that no model predicts are kept beside it.
 
 Every block starts from scratch, so blocks are coded side by side: each numpy
 step handles the next id of all of them. All arithmetic is on integers, so any
@@ -21,13 +21,13 @@ import numpy as np
 BLOCK_IDS = 4096
 # Blocks coded side by side, which bounds the memory of the tables.
 LANES = 2048
-MAGIC = b"TKB1"
+MAGIC = b"TKB2"
 _HEADER = "<4sIIBII"
 _CONTEXTS = 1024
 _SLOTS = 256
 _LEVELS = 4
-_TOP, _BOTTOM = np.uint32(1 << 24), np.uint32(1 << 16)
-_NONE = np.uint32(0xFFFFFFFF)
+_OUTCOMES = 4
+_WHOLE, _BOTTOM = np.uint32(0xFFFFFFFF), np.uint32(1 << 16)
 # Four counts of 16 bits each lie in one 64-bit number, the first one lowest.
 _SUMS = np.uint64(0x0001000100010001)
 _DECAYED = np.uint64(0x07FF07FF07FF07FF)
@@ -42,68 +42,61 @@ class _Models:
     """Predictions and counts of all blocks; ids enter through ``learn``.
 
     A table entry is the predicted id and, above it, how often in a row it held.
+    Order 2 and order 1 are the two rows of each array and change in one step.
     """
 
-    def __init__(self, lanes: int) -> None:
-        self.two = np.full(lanes * _CONTEXTS, np.uint64(_NONE))
-        self.one = np.full(lanes * _CONTEXTS, np.uint64(_NONE))
-        self.slot = np.full(lanes * _SLOTS, _NONE)
-        self.count_two = np.full(lanes * _LEVELS, _FIRST)
-        self.count_one = np.full(lanes * _LEVELS, _FIRST)
+    def __init__(self, lanes: int, wide: int) -> None:
+        # Ids of two bytes and their level fit into 32 bits, which halves the tables.
+        kind, bits = (np.uint32, 16) if wide <= 2 else (np.uint64, 32)
+        self.bits, self.mask, self.top = kind(bits), kind((1 << bits) - 1), kind(_LEVELS - 1)
+        self.table = np.full(2 * lanes * _CONTEXTS, self.mask)
+        self.slot = np.full(lanes * _SLOTS, self.mask, dtype=np.uint32)
+        self.counts = np.full(2 * lanes * _LEVELS, _FIRST)
         self.count_none = np.full(lanes, _FIRST)
+        self.mixed = np.zeros((2, lanes), dtype=np.uint32)
         self.last = np.zeros(lanes, dtype=np.uint32)
-        self.before = np.zeros(lanes, dtype=np.uint32)
-        self.lane = np.arange(lanes)
-        self.by_context = self.lane * _CONTEXTS
-        self.by_level = self.lane * _LEVELS
-        self.by_slot = self.lane * _SLOTS
+        # Entries of one context lie side by side, as blocks share the frequent ones.
+        self.lanes, self.lane = lanes, np.arange(lanes)
+        self.by_context = self.lane + np.array([[0], [lanes * _CONTEXTS]])
+        self.by_level = self.lane + np.array([[0], [lanes * _LEVELS]])
 
     def predict(self, n: int) -> np.ndarray:
         """Cumulative frequencies of the four outcomes for the first ``n`` blocks,
         packed like the counts."""
-        mixed = self.last[:n] * np.uint32(0x9E3779B1)
-        self.at_one = self.by_context[:n] + (mixed >> np.uint32(22))
-        mixed ^= self.before[:n] * np.uint32(0x85EBCA6B)
-        self.at_two = self.by_context[:n] + (mixed >> np.uint32(22))
-        two, one = self.two[self.at_two], self.one[self.at_one]
-        self.guess_two, self.guess_one = two.astype(np.uint32), one.astype(np.uint32)
-        self.level_two, self.level_one = two >> np.uint64(32), one >> np.uint64(32)
-        self.row_two = self.by_level[:n] + self.level_two.view(np.int64)
-        self.row_one = self.by_level[:n] + self.level_one.view(np.int64)
-        self.seen = (self.count_two[self.row_two], self.count_one[self.row_one], self.count_none[:n])
-        return (self.seen[0] + self.seen[1] + self.seen[2]) * _SUMS
-
-    def learn(self, n: int, ids: np.ndarray, outcome: np.ndarray) -> None:
-        gain = _GAIN[outcome]
-        two, one, none = (seen - ((seen >> np.uint64(5)) & _DECAYED) + gain for seen in self.seen)
-        self.count_two[self.row_two], self.count_one[self.row_one], self.count_none[:n] = two, one, none
-        wide = ids.astype(np.uint64)
-        top = np.uint64(_LEVELS - 1)
-        level = np.minimum(self.level_two + np.uint64(1), top) * (self.guess_two == ids)
-        self.two[self.at_two] = wide | (level << np.uint64(32))
-        level = np.minimum(self.level_one + np.uint64(1), top) * (self.guess_one == ids)
-        self.one[self.at_one] = wide | (level << np.uint64(32))
-        self.slot[self.by_slot[:n] + (ids & np.uint32(255))] = ids
-        self.before[:n] = self.last[:n]
+        self.at = (self.mixed[:, :n] >> np.uint32(22)).astype(np.int64) * self.lanes + self.by_context[:, :n]
+        entry = self.table.take(self.at)
+        self.guess, self.level = entry & self.mask, entry >> self.bits
+        self.row = self.level.astype(np.int64) * self.lanes + self.by_level[:, :n]
+        self.seen = self.counts.take(self.row)
+        return (self.seen[0] + self.seen[1] + self.count_none[:n]) * _SUMS
+
+    def slots_of(self, lanes: np.ndarray, ids: np.ndarray) -> np.ndarray:
+        return (ids & np.uint32(255)).astype(np.int64) * self.lanes + lanes
+
+    def learn(self, n: int, ids: np.ndarray, outcome: np.ndarray, slots: np.ndarray) -> None:
+        gain = _GAIN.take(outcome)
+        self.counts[self.row] = self.seen + (gain - ((self.seen >> np.uint64(5)) & _DECAYED))
+        none = self.count_none[:n]
+        none += gain - ((none >> np.uint64(5)) & _DECAYED)
+        level = np.minimum(self.level + type(self.top)(1), self.top) * (self.guess == ids)
+        self.table[self.at] = (level << self.bits) | ids
+        self.slot[slots] = ids
+        hashed = ids * np.uint32(0x9E3779B1)
+        self.mixed[0, :n] = hashed ^ (self.last[:n] * np.uint32(0x85EBCA6B))
+        self.mixed[1, :n] = hashed
         self.last[:n] = ids
 
 
-def _narrow(span: np.ndarray, share: np.ndarray, upto: np.ndarray, outcome: np.ndarray, base: np.ndarray) -> None:
-    """The part of each block's span that belongs to its outcome."""
-    shift = _SHIFT[outcome]
-    high = ((upto >> shift) & _FIELD).astype(np.uint32)
+def _limits(upto: np.ndarray, outcome: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Cumulative frequency below each block's outcome, and its own frequency."""
+    shift = _SHIFT.take(outcome)
     below = (((upto << np.uint64(16)) >> shift) & _FIELD).astype(np.uint32)
-    base += share * below
-    span[:] = share * (high - below)
-
-
-def _room(arrays: list[np.ndarray], width: int) -> tuple[np.ndarray, np.ndarray]:
-    return np.zeros((len(arrays), width), dtype=np.uint8), np.zeros(len(arrays), dtype=np.int64)
+    return below, ((upto >> shift) & _FIELD).astype(np.uint32) - below
 
 
 def _bytes_of(ids: list[np.ndarray]) -> int:
     """Bytes of an id that no model predicts."""
-    return 2 if max((int(i.max()) for i in ids if len(i)), default=0) < 1 << 16 else 4
+    return 2 if max((int(i.max()) for i in ids if len(i)), default=0) < (1 << 16) - 1 else 4
 
 
 def encode_blocks(blocks: list[np.ndarray]) -> list[bytes]:
@@ -122,59 +115,73 @@ def _encode(blocks: list[np.ndarray]) -> list[bytes]:
     lengths = np.array([len(r) for r in runs])
     longest = int(lengths[0]) if len(runs) else 0
     wide = _bytes_of(runs)
-    ids = np.zeros((longest, len(runs)), dtype=np.uint32)
+    by_lane = np.zeros((len(runs), longest), dtype="<u4")
     for lane, run in enumerate(runs):
-        ids[: len(run), lane] = run
-    models = _Models(len(runs))
-    coded, at = _room(runs, 3 * longest + 16)
-    plain, rest = _room(runs, wide * longest + 16)
-    base = np.zeros(len(runs), dtype=np.uint32)
-    span = np.full(len(runs), _NONE)
+        by_lane[lane, : len(run)] = run
+    ids = _turned(by_lane)
+    models = _Models(len(runs), wide)
+    width = longest + 2
+    words, at = np.zeros((len(runs), width), dtype="<u2"), np.zeros(len(runs), dtype=np.int64)
+    flat, row = words.reshape(-1), np.arange(len(runs)) * width
+    outcomes = np.zeros((longest, len(runs)), dtype=np.uint8)
+    base = np.zeros(len(runs), dtype=np.uint64)
+    span = np.full(len(runs), _WHOLE)
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
     for step in range(longest):
         n = int(active[step])
         own = ids[step, :n]
         upto = models.predict(n)
-        slots = models.slot[models.by_slot[:n] + (own & np.uint32(255))]
-        outcome = np.where(own == slots, 2, 3)
-        outcome[own == models.guess_one] = 1
-        outcome[own == models.guess_two] = 0
-        # Plain bytes: the slot for a slot's id, the whole id for a new one.
-        for place in range(wide):
-            on = np.flatnonzero(outcome >= (2 if place == 0 else 3))
-            plain[on, rest[on]] = (own[on] >> np.uint32(8 * place)) & np.uint32(255)
-            rest[on] += 1
-        models.learn(n, own, outcome)
+        at_slot = models.slots_of(models.lane[:n], own)
+        two, one = models.guess != own
+        outcome = two.view(np.uint8) * (one.view(np.uint8) * ((own != models.slot.take(at_slot)).view(np.uint8) + one) + two)
+        outcomes[step, :n] = outcome
+        models.learn(n, own, outcome, at_slot)
         share = span[:n] // (upto >> np.uint64(48)).astype(np.uint32)
-        _narrow(span[:n], share, upto, outcome, base[:n])
-        _shift_out(base[:n], span[:n], coded, at)
-    for _ in range(4):
-        coded[models.lane, at] = base >> np.uint32(24)
+        below, size = _limits(upto, outcome)
+        base[:n] += share * below
+        span[:n] = share * size
+        carried = np.flatnonzero(base[:n] > _WHOLE)
+        if len(carried):
+            base[carried] &= np.uint64(_WHOLE)
+            _carry(flat, row[carried] + at[carried] - 1)
+        due = np.flatnonzero(span[:n] < _BOTTOM)
+        flat[row[due] + at[due]] = base[due] >> np.uint64(16)
+        at[due] += 1
+        base[due] = (base[due] & _FIELD) << np.uint64(16)
+        span[due] <<= np.uint32(16)
+    for part in (base >> np.uint64(16), base & _FIELD):
+        flat[row + at] = part
         at += 1
-        base <<= np.uint32(8)
+    # Plain bytes: the slot for a slot's id, the whole id for a new one. Places past
+    # the end of a run have outcome 0.
+    outcomes = _turned(outcomes)
+    kept = np.empty((len(runs), longest, wide), dtype=bool)
+    kept[:, :, 0] = outcomes >= 2
+    kept[:, :, 1:] = (outcomes == 3)[:, :, None]
+    ends = np.cumsum(np.count_nonzero(kept.reshape(len(runs), -1), axis=1)).tolist()
+    kept, plain = kept.reshape(-1), by_lane.view(np.uint8).reshape(len(runs), longest, 4)[:, :, :wide]
+    plain = plain.reshape(-1)[kept].tobytes()
     done = [b""] * len(runs)
     for lane, (place, run) in enumerate(zip(order, runs, strict=True)):
-        head = struct.pack(_HEADER, MAGIC, len(run), zlib.crc32(run.astype("<u4").tobytes()), wide, int(at[lane]), int(rest[lane]))
-        done[place] = head + coded[lane, : at[lane]].tobytes() + plain[lane, : rest[lane]].tobytes()
+        coded, rest = words[lane, : at[lane]].tobytes(), plain[ends[lane - 1] if lane else 0 : ends[lane]]
+        check = zlib.crc32(run.astype("<u4").tobytes())
+        done[place] = struct.pack(_HEADER, MAGIC, len(run), check, wide, len(coded), len(rest)) + coded + rest
     return done
 
 
-def _due(base: np.ndarray, span: np.ndarray) -> np.ndarray:
-    """Blocks whose top byte is settled, or whose span is cut short to settle it."""
-    settled = (base ^ (base + span)) < _TOP
-    short = np.flatnonzero(~settled & (span < _BOTTOM))
-    if len(short):
-        span[short] = (~base[short] + np.uint32(1)) & (_BOTTOM - np.uint32(1))
-        settled[short] = True
-    return np.flatnonzero(settled)
+def _turned(values: np.ndarray) -> np.ndarray:
+    """The transposed array, copied in strips that stay in the cache."""
+    out = np.empty(values.shape[::-1], dtype=values.dtype)
+    for low in range(0, values.shape[1], 64):
+        out[low : low + 64] = values[:, low : low + 64].T
+    return out
 
 
-def _shift_out(base: np.ndarray, span: np.ndarray, coded: np.ndarray, at: np.ndarray) -> None:
-    while len(due := _due(base, span)):
-        coded[due, at[due]] = base[due] >> np.uint32(24)
-        at[due] += 1
-        base[due] <<= np.uint32(8)
-        span[due] <<= np.uint32(8)
+def _carry(words: np.ndarray, places: np.ndarray) -> None:
+    """Adds one to words already put out; a word that overflows passes it on."""
+    while len(places):
+        words[places] += np.uint16(1)
+        places = places[words[places] == 0] - 1
 
 
 def split_block(data: bytes | memoryview, start: int) -> tuple[tuple, int]:
@@ -202,56 +209,62 @@ def _decode(blocks: list[tuple]) -> list[np.ndarray]:
     lengths = np.array([blocks[i][0] for i in order])
     longest = int(lengths[0]) if len(blocks) else 0
     lanes = len(blocks)
-    # One byte more than there is: a shift may read past the end.
-    coded = np.zeros((lanes, max((len(b[3]) for b in blocks), default=0) + 8), dtype=np.uint8)
-    plain = np.zeros((lanes, max((len(b[4]) for b in blocks), default=0) + 8), dtype=np.uint8)
+    # More than there is: the last words and bytes of a damaged block may be overrun.
+    width = max((len(b[3]) // 2 for b in blocks), default=0) + 4
+    words = np.zeros((lanes, width), dtype="<u2")
+    length = max((len(b[4]) for b in blocks), default=0) + 8
+    plain = np.zeros((lanes, length), dtype=np.uint8)
     wides = np.array([blocks[i][2] for i in order])
     for lane, i in enumerate(order):
-        coded[lane, : len(blocks[i][3])] = np.frombuffer(blocks[i][3], dtype=np.uint8)
+        words[lane, : len(blocks[i][3]) // 2] = np.frombuffer(blocks[i][3], dtype="<u2")
         plain[lane, : len(blocks[i][4])] = np.frombuffer(blocks[i][4], dtype=np.uint8)
-    at, rest = np.full(lanes, 4), np.zeros(lanes, dtype=np.int64)
-    models = _Models(lanes)
+    code = (words[:, 0].astype(np.uint32) << np.uint32(16)) | words[:, 1]
+    words, plain = words.reshape(-1), plain.reshape(-1)
+    at, rest = np.arange(lanes) * width + 2, np.arange(lanes) * length
+    most = int(wides.max()) if lanes else 0
+    models = _Models(lanes, most)
     ids = np.zeros((longest, lanes), dtype=np.uint32)
-    base = np.zeros(lanes, dtype=np.uint32)
-    span = np.full(lanes, _NONE)
-    value = np.zeros(lanes, dtype=np.uint32)
-    for place in range(4):
-        value = (value << np.uint32(8)) | coded[:, place]
+    span = np.full(lanes, _WHOLE)
     active = np.searchsorted(-lengths, -np.arange(longest), side="left")
-    most = int(wides.max()) if lanes else 0
     for step in range(longest):
         n = int(active[step])
         upto = models.predict(n)
         share = span[:n] // (upto >> np.uint64(48)).astype(np.uint32)
-        found = ((value[:n] - base[:n]) // share).astype(np.uint64)
-        outcome = (found >= (upto & _FIELD)).astype(np.intp)
-        for shift in _SHIFT[1:3]:
-            outcome += found >= ((upto >> shift) & _FIELD)
-        own = np.where(outcome == 0, models.guess_two, models.guess_one)
+        # Where each outcome's part of the span ends.
+        ends = np.zeros((n, _OUTCOMES + 1), dtype=np.uint32)
+        np.multiply(upto.astype("<u8", copy=False).view("<u2").reshape(n, _OUTCOMES), share[:, None], out=ends[:, 1:])
+        outcome = (code[:n] >= ends[:, 1]).astype(np.int64)
+        outcome += code[:n] >= ends[:, 2]
+        outcome += code[:n] >= ends[:, 3]
+        own = np.where(outcome == 0, models.guess[0], models.guess[1]).astype(np.uint32)
         on = np.flatnonzero(outcome >= 2)
         if len(on):
-            first = plain[on, rest[on]].astype(np.uint32)
+            first = plain.take(rest[on], mode="clip").astype(np.uint32)
             rest[on] += 1
-            own[on] = models.slot[on * _SLOTS + first]
+            own[on] = models.slot.take(models.slots_of(on, first))
             new = outcome[on] == 3
             on, whole = on[new], first[new]
             for place in range(1, most):
                 more = wides[on] > place
-                byte = plain[on[more], rest[on[more]]].astype(np.uint32)
+                where = on[more]
+                byte = plain.take(rest[where], mode="clip").astype(np.uint32)
                 whole[more] |= byte << np.uint32(8 * place)
-                rest[on[more]] += 1
+                rest[where] += 1
             own[on] = whole
         ids[step, :n] = own
-        models.learn(n, own, outcome)
-        _narrow(span[:n], share, upto, outcome, base[:n])
-        while len(due := _due(base[:n], span[:n])):
-            value[due] = (value[due] << np.uint32(8)) | coded[due, np.minimum(at[due], coded.shape[1] - 1)]
-            at[due] += 1
-            base[due] <<= np.uint32(8)
-            span[due] <<= np.uint32(8)
+        models.learn(n, own, outcome, models.slots_of(models.lane[:n], own))
+        part = models.lane[:n] * (_OUTCOMES + 1) + outcome
+        below = ends.take(part)
+        code[:n] -= below
+        np.subtract(ends.take(part + 1), below, out=span[:n])
+        due = np.flatnonzero(span[:n] < _BOTTOM)
+        code[due] = (code[due] << np.uint32(16)) | words.take(at[due], mode="clip")
+        at[due] += 1
+        span[due] <<= np.uint32(16)
     out: list[np.ndarray] = [np.empty(0, dtype=np.uint32)] * lanes
+    ids = _turned(ids)
     for lane, place in enumerate(order):
-        run = ids[: lengths[lane], lane].copy()
+        run = ids[lane, : lengths[lane]].copy()
         if zlib.crc32(run.astype("<u4").tobytes()) != blocks[place][1]:
             raise ValueError("a block of ids does not match its checksum")
         out[place] = run
