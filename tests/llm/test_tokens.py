@@ -12,7 +12,7 @@ from hypothesis import strategies as st
 from tokenizers import Tokenizer
 
 from tilldeck.llm import tokens
-from tilldeck.llm.coder import _carry, decode_blocks, encode_blocks, split_block
+from tilldeck.llm.coder import _GAIN, _carry, _Models, decode_blocks, encode_blocks, split_block
 from tilldeck.llm.flat_tokens import document_token_counts, write_flat_tokens
 from tilldeck.llm.packing import pack_documents
 from tilldeck.llm.token_files import _frame, read_frames, read_token_files, write_token_files
@@ -82,6 +82,29 @@ def test_a_piece_goes_to_the_library_once(monkeypatch):
     assert sum(sent) < 200_000
 
 
+def test_simple_pieces_by_the_model_alone(monkeypatch):
+    """Every letter and sign that counts as simple; the library's pattern is not needed."""
+    encode = Encoder(tokenizer_path(NAMES[0]))
+    monkeypatch.setattr(encode, "_library", lambda pieces: [pytest.fail(p) for p in pieces])
+    known = [c for c in map(chr, range(0x2FFFF)) if tokens._SIMPLE(c) and c not in " \n"]
+    signs = [c for c in known if ord(c) < 0x80 and not c.isalnum()]
+    assert len(known) > 21_000 and not {"'", "<", "|"} & {*signs} and len(signs) == 29
+    texts = [f"{c}a{c}9{c} {c}b{c}!\n{c}{c}" for c in known]
+    texts += [f"{a}{b} x{a}{b}y\n{a}7{b}" for a in signs for b in signs]
+    got = [np.frombuffer(b, dtype="<u4").tolist() for b in encode(texts)]
+    assert got == whole(NAMES[0], texts)
+
+
+def test_a_piece_in_use_keeps_its_place(monkeypatch):
+    monkeypatch.setattr(tokens, "_SLOT_BITS", 0)
+    encode, sent = Encoder(tokenizer_path(NAMES[0])), []
+    encoded = encode._encoded
+    monkeypatch.setattr(encode, "_encoded", lambda pieces: (sent.append(len(pieces)), encoded(pieces))[1])
+    texts = ["often", "often", "once", "often", "once", "other", "other", "often"]
+    assert [np.frombuffer(encode([t])[0], dtype="<u4").tolist() for t in texts] == whole(NAMES[0], texts)
+    assert sent == [1, 0, 1, 0, 1, 1, 0, 1]
+
+
 def test_white_space_is_unicodes():
     expected = [c for c in map(chr, range(0x110000)) if c.isspace() and not "\x1c" <= c <= "\x1f"]
     import re
@@ -98,6 +121,31 @@ def test_coder_round_trip(runs):
     assert [b.tolist() for b in back] == runs
 
 
+def test_coder_on_whole_blocks():
+    draw = np.random.default_rng(11)
+    for most in (50_000, 2**32 - 1):
+        runs = [draw.zipf(1.3, n).clip(0, most).astype(np.uint32) for n in draw.integers(0, 4096, 40)]
+        runs += [np.tile(run[:50], 30) for run in runs[:10]]
+        parts = [split_block(c, 0)[0] for c in encode_blocks(runs)]
+        assert all(np.array_equal(a, b) for a, b in zip(decode_blocks(parts), runs, strict=True))
+        # A word of 16 bits after every second id at most, and three at the end.
+        assert all(len(p[3]) <= len(run) + 6 for p, run in zip(parts, runs, strict=True))
+
+
+def test_counts_leave_every_outcome_its_part():
+    """What the coder's 48 bits rest on, after any outcomes."""
+    draw, models = np.random.default_rng(12), _Models(64, 2)
+    row = models.row.copy()
+    row[:2] = models.by_level
+    often = draw.dirichlet([0.3] * 4, 64)
+    for step in range(3_000):
+        outcome = [draw.choice(4, p=p) for p in often] if step % 10 == 0 else outcome
+        seen, upto = models.mixed(row)
+        fields = np.diff(upto.astype("<u8").view("<u2").reshape(-1, 4).astype(np.int64), prepend=0)
+        assert fields.min() >= 128 and (fields.sum(axis=1) == 4096).all()
+        models.count(row, seen, _GAIN.take(outcome))
+
+
 def test_coder_finds_repeats_and_damage():
     run = np.tile(np.arange(100, 160, dtype=np.uint32), 60)
     noise = np.random.default_rng(3).integers(0, 50_000, 4096).astype(np.uint32)

@@ -16,6 +16,7 @@ import re
 import numpy as np
 import public_tokenizers
 from tokenizers import Tokenizer
+from tokenizers.pre_tokenizers import ByteLevel
 
 from tilldeck.llm.words import KEPT, give_back
 
@@ -44,6 +45,14 @@ _ORDINARY = re.compile(f" ?[^{WHITE_SPACE}\x01]+").fullmatch
 _MARKS = ("\n", " \x01 ")
 _TOGETHER = 512
 
+# Pieces of letters, digits and signs, all known to the library as such, with at most
+# one space or line feed in front. What its byte-level pattern makes of them is plain.
+_LETTERS, _SIGNS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f\u0400-\u0481\u048a-\u052f\u4e00-\u9fa5", "!-&(-/:;=-@[-`{}~"
+_SIMPLE = re.compile(f"[ \n]?[{_LETTERS}0-9{_SIGNS}]+").fullmatch
+_SIMPLE_PARTS = re.compile(f"\0|\n| ?(?:[{_LETTERS}]+|[0-9]+|[{_SIGNS}]+)").findall
+# Characters that stand for bytes in byte-level vocabularies, where they differ.
+_SHOWN = [(chr(b), chr(256 + k)) for k, b in enumerate([*range(0x21), *range(0x7F, 0xA1), 0xAD]) if b in b"\n " or b > 0x7F]
+
 
 def _starts(data: bytes, bounds: np.ndarray) -> np.ndarray:
     """Where the pieces of joined texts start. White space beyond ASCII starts none
@@ -80,11 +89,18 @@ class Encoder:
         slots = 1 << _SLOT_BITS
         self.keys = np.zeros((2, slots), dtype=np.uint64)
         self.counts = np.zeros(slots, dtype=np.uint8)
+        # Slots whose piece came again since another one last wanted their place.
+        self.used = np.zeros(slots, dtype=bool)
         self.ids = np.zeros(
             (slots, _MOST_IDS), dtype="<u2" if self.tokenizer.get_vocab_size() <= 1 << 16 else "<u4"
         )
         marks = ((m, self.tokenizer.encode(m, add_special_tokens=False).ids) for m in _MARKS)
         self.mark, (self.mark_id,) = next((m, ids) for m, ids in marks if len(ids) == 1)
+        split, added = self.tokenizer.pre_tokenizer, self.tokenizer.get_added_tokens_decoder().values()
+        # The library's model alone gives the ids of parts that its pattern would cut out.
+        plain = self.tokenizer.normalizer is None and isinstance(split, ByteLevel) and split.use_regex
+        plain = plain and not split.add_prefix_space and all("<" in token.content for token in added)
+        self.model = self.tokenizer.model if plain else None
 
     @classmethod
     def of(cls, path: str, ordinary: bool = False) -> Encoder:
@@ -104,11 +120,29 @@ class Encoder:
         encoded = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
         return [np.array(found.ids, dtype="<u4") for found in encoded]
 
+    def _by_model(self, pieces: list[str]) -> tuple[np.ndarray, list[int]]:
+        """Ids of simple pieces one after another, and how many each has."""
+        parts = _SIMPLE_PARTS("\0".join([*pieces, ""]))
+        text = "\x01".join(parts).encode().decode("latin-1")
+        for byte, shown in _SHOWN:
+            text = text.replace(byte, shown)
+        ids: list[int] = []
+        ends = [0]
+        for part in text.split("\x01") if parts else ():
+            if part == "\0":
+                ends.append(len(ids))
+            else:
+                ids += [token.id for token in self.model.tokenize(part)]
+        return np.array(ids, dtype="<u4"), np.diff(ends).tolist()
+
     def _encoded(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
         """Ids of different pieces one after another, and how many each has."""
         counts = np.zeros(len(pieces), dtype=np.int64)
-        plain = [i for i, piece in enumerate(pieces) if _ORDINARY(piece)]
-        rest = sorted(set(range(len(pieces))).difference(plain))
+        simple, plain, rest = [], [], []
+        for i, piece in enumerate(pieces):
+            kind = simple if self.model and _SIMPLE(piece) else plain if _ORDINARY(piece) else rest
+            kind.append(i)
+        direct, counts[simple] = self._by_model([pieces[i] for i in simple])
         groups = [plain[i : i + _TOGETHER] for i in range(0, len(plain), _TOGETHER)]
         found = self._library([self.mark.join([pieces[i] for i in g]) for g in groups])
         for group, ids in zip(groups, found, strict=True):
@@ -116,9 +150,9 @@ class Encoder:
             counts[group] = np.diff(ends, prepend=-1) - 1
         own = self._library([pieces[i] for i in rest])
         counts[rest] = [len(ids) for ids in own]
-        flat = np.concatenate([*(ids[ids != self.mark_id] for ids in found), *own, np.empty(0, dtype="<u4")])
+        flat = np.concatenate([direct, *(ids[ids != self.mark_id] for ids in found), *own])
         # From the order of encoding back to that of the pieces.
-        order = np.array(plain + rest, dtype=np.int64)
+        order = np.array(simple + plain + rest, dtype=np.int64)
         start = np.empty(len(pieces), dtype=np.int64)
         start[order] = np.cumsum(counts[order]) - counts[order]
         return flat[_spread(start, counts)], counts
@@ -145,9 +179,13 @@ class Encoder:
         ids = np.empty(len(place), dtype="<u4")
         ids[from_table] = self.ids.reshape(-1)[place[from_table]]
         ids[~from_table] = new[place[~from_table]]
-        # One new piece a slot is remembered.
+        self.used[slot[hit]] = True
+        # One new piece a slot is remembered, if the one there is not in use.
         fit = miss[(length[miss] <= _LONGEST) & (counts[miss] <= _MOST_IDS)]
         fit = fit[np.unique(slot[fit], return_index=True)[1]]
+        busy = self.used[slot[fit]]
+        self.used[slot[fit]] = False
+        fit = fit[~busy]
         own = slot[fit]
         self.keys[0][own], self.keys[1][own], self.counts[own] = low[fit], high[fit], counts[fit]
         inside = np.arange(_MOST_IDS) < counts[fit][:, None]
