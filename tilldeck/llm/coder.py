@@ -64,6 +64,7 @@ class _Models:
         # Entries of one context lie side by side, as blocks share the frequent ones.
         self.lanes, self.lane = lanes, np.arange(lanes)
         self.by_context = self.lane + np.array([[0], [lanes * _CONTEXTS]])
+        self.by_slot = self.lane * _SLOTS
         self.by_level = self.lane + np.array([[0], [lanes * _LEVELS]])
         self.row = np.repeat(self.lane[None] + 2 * lanes * _LEVELS, 3, axis=0)
         self.next = _NEXT.astype(self.kind)
@@ -83,10 +84,7 @@ class _Models:
 
     def slots_of(self, ids: np.ndarray) -> np.ndarray:
         """Where the last ids with the same low byte lie."""
-        found = (ids & ids.dtype.type(255)).astype(np.int64)
-        found *= self.lanes
-        found += self.lane[: ids.shape[-1]]
-        return found
+        return (ids & np.uint32(255)) + self.by_slot[: ids.shape[-1]]
 
     def replace(self, at: np.ndarray, entry: np.ndarray, ids: np.ndarray) -> None:
         """Predicts ``ids``, which came where ``entry`` stood."""
@@ -299,13 +297,13 @@ def _decode(blocks: list[tuple]) -> list[np.ndarray]:
             over = (code[:n] >= ends[1:4]).view(np.uint8)
             outcome = over[0] + over[1]
             outcome += over[2]
-            own_part = outcome.astype(np.int64)
-            own_part *= n
+            own_part = outcome * np.int64(n)
             own_part += lane
             # The slot's id and the plain one are looked up whether needed or not.
-            whole = plain.take(rest[:n], mode="clip").astype(np.uint32)
+            byte = plain.take(rest[:n], mode="clip")
             choice[:2] = entry >> models.kind(2)
-            models.slot.take(models.slots_of(whole), out=choice[2], mode="clip")
+            models.slot.take(models.by_slot[:n] + byte, out=choice[2], mode="clip")
+            whole = byte.astype(np.uint32)
             for k in range(1, most):
                 byte = plain.take(rest[:n] + k, mode="clip").astype(np.uint32)
                 byte <<= np.uint32(8 * k)

@@ -69,7 +69,8 @@ def _starts(data: bytes, bounds: np.ndarray) -> np.ndarray:
         first[ends[np.isin(code, known)]] = False
     after = np.append(space, True)
     after[bounds] = True
-    first[1:-1] |= _LETTER[plain[:-1]] & _STOP[plain[1:]] & after[2:]
+    stops = np.flatnonzero(_STOP[plain[1:]]) + 1
+    first[stops[_LETTER[plain[stops - 1]] & after[stops + 1]]] = True
     first[bounds] = True
     return np.flatnonzero(first[:-1])
 
@@ -167,8 +168,13 @@ class Encoder:
         slot = ((slot ^ (slot >> np.uint64(32))) * _STEP_1 >> np.uint64(64 - _SLOT_BITS)).view(np.int64)
         # All bytes are compared, so a slot's ids are those of this piece.
         hit = (self.keys[0][slot] == low) & (self.keys[1][slot] == high) & (length <= _LONGEST)
-        counts, base = self.counts[slot].astype(np.int64), slot * _MOST_IDS
         miss = np.flatnonzero(~hit)
+        beside = slot[miss] ^ 1
+        there = (self.keys[0][beside] == low[miss]) & (self.keys[1][beside] == high[miss]) & (length[miss] <= _LONGEST)
+        slot[miss[there]] = beside[there]
+        hit[miss[there]] = True
+        miss = miss[~there]
+        counts, base = self.counts[slot].astype(np.int64), slot * _MOST_IDS
         seen: dict[bytes, int] = {}
         which = [seen.setdefault(data[a:b], len(seen)) for a, b in zip(starts[miss].tolist(), stops[miss].tolist(), strict=True)]
         new, n = self._encoded([piece.decode() for piece in seen])
@@ -180,13 +186,15 @@ class Encoder:
         ids[from_table] = self.ids.reshape(-1)[place[from_table]]
         ids[~from_table] = new[place[~from_table]]
         self.used[slot[hit]] = True
-        # One new piece a slot is remembered, if the one there is not in use.
+        # One new piece a slot is remembered, in the less used of two neighbours. A place
+        # in use is kept once.
         fit = miss[(length[miss] <= _LONGEST) & (counts[miss] <= _MOST_IDS)]
-        fit = fit[np.unique(slot[fit], return_index=True)[1]]
-        busy = self.used[slot[fit]]
-        self.used[slot[fit]] = False
-        fit = fit[~busy]
-        own = slot[fit]
+        pair = slot[fit] ^ np.array([[0], [1]])
+        use = (self.keys[1][pair] > 0) + self.used[pair].view(np.int8)
+        own, first = np.unique(np.where(use[1] < use[0], pair[1], pair[0]), return_index=True)
+        busy = self.used[own]
+        self.used[own] = False
+        fit, own = fit[first[~busy]], own[~busy]
         self.keys[0][own], self.keys[1][own], self.counts[own] = low[fit], high[fit], counts[fit]
         inside = np.arange(_MOST_IDS) < counts[fit][:, None]
         rows = np.zeros(inside.shape, dtype=self.ids.dtype)
