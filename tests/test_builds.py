@@ -10,6 +10,7 @@ import pytest
 from tables import RAW, raw_table
 from test_behavior import EVENTS
 
+from tilldeck import session
 from tilldeck.__main__ import main
 from tilldeck.context import RunContext
 from tilldeck.plans import retail
@@ -83,6 +84,20 @@ def test_days_of_copies_are_read_and_others_are_not(spark, tmp_path):
     assert retail.on_days_of(table, "order_item_id", wanted.where("false")).collect() == []
 
 
+def test_a_backfill_in_passes_equals_one_at_once(spark, tmp_path, monkeypatch, rows):
+    raw = {name: raw_table(spark, name) for name in RAW}
+    run = RunContext(dt="2025-01-03", backfill=True)
+    retail.build_retail(spark, raw, str(tmp_path / "one"), run)
+    monkeypatch.setattr(session, "PASS_ROWS", 1)
+    retail.build_retail(spark, raw, str(tmp_path / "passes"), run)
+    for table in [t for t in (*ODS, *DIM, *DWD, *DWS, *ADS) if "synerise" not in t]:
+        one, passes = (read_layer(spark, str(tmp_path / at), table).drop("ods_load_time") for at in ("one", "passes"))
+        assert rows(one) == rows(passes), table
+    landed = read_layer(spark, str(tmp_path / "passes"), "ods_order_items")
+    assert landed.select("_metadata.file_name").distinct().count() > 1
+    assert landed.select("ods_load_time").distinct().count() == 1
+
+
 def test_stages_can_be_skipped(spark, root):
     main(
         ["--time-zone", "UTC", "behavior", "--output", root, "--exact", "--topn", "1"]

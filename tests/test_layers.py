@@ -1,13 +1,15 @@
 from __future__ import annotations
 
 import glob
+import time
 
 import pytest
 from pyspark.sql import functions as F
 from tables import RAW, landed, raw_table
 
+from tilldeck import session
 from tilldeck.context import RunContext
-from tilldeck.session import scratch_dir
+from tilldeck.session import scratch_dir, side_by_side
 from tilldeck.sources import files, layers
 
 TABLE = "dwd_user_behavior_detail"
@@ -101,6 +103,47 @@ def test_backfill_tasks_own_runs_of_days_and_share_a_large_one(spark, tmp_path):
     assert all(a.high <= b.low for a, b in zip(spans, spans[1:]))
 
 
+@pytest.mark.parametrize("by", ["dt", "event_id"])
+def test_a_large_backfill_is_written_in_passes(spark, tmp_path, monkeypatch, rows, by):
+    """A large day, days and keys that are null and days that the counted table lacks:
+    each row is written once."""
+    monkeypatch.setattr(session, "PASS_ROWS", 200)
+    plain = events(spark, 1, 1000).unionAll(events(spark, 200, 5)).withColumn("event_id", F.expr("uuid()"))
+    spark.createDataFrame(plain.collect(), plain.schema).write.parquet(str(tmp_path / "given"))
+    hot = spark.read.parquet(str(tmp_path / "given"))
+    odd = events(spark, 202, 1).where("dt > '2025-07-10'").withColumn("dt", F.expr("if(event_id % 2 = 0, null, dt)"))
+    new = hot.unionAll(odd).withColumn("event_id", F.expr("if(event_id like 'a%', null, event_id)"))
+    layers.write_layer(new, str(tmp_path), TABLE, mode="backfill", spread=hot, by=by)
+    back = layers.read_layer(spark, str(tmp_path), TABLE)
+    assert rows(back, "event_id", "dt") == rows(new, "event_id", "dt")
+    assert len({path.split("part-")[1][6:42] for path in glob.glob(f"{tmp_path}/dwd/{TABLE}/*.parquet")}) > 1
+
+
+def test_a_table_whose_second_pass_fails_is_not_left_in_part(spark, tmp_path, monkeypatch):
+    monkeypatch.setattr(session, "PASS_ROWS", 50)
+    spread = events(spark, 100, 5)
+    bad = spread.withColumn("user_id", F.expr("if(dt > '2025-04-01', raise_error('no'), user_id)"))
+    with pytest.raises(Exception, match="no"):
+        layers.write_layer(bad, str(tmp_path), TABLE, mode="backfill", spread=spread)
+    assert not glob.glob(f"{tmp_path}/dwd/{TABLE}")
+
+
+def test_writes_side_by_side_leave_no_shuffle_files(spark, tmp_path):
+    def shuffled():
+        files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+        return {str(f) for f in (files.apply(i) for i in range(files.size())) if "shuffle_" in str(f)}
+
+    before, setting = shuffled(), spark.conf.get(session.FREE_SHUFFLES)
+    df = events(spark, 50).repartition(5, "dt")
+    side_by_side(spark, [lambda n=n: df.write.parquet(str(tmp_path / n)) for n in "ab"])
+    until = time.time() + 20
+    while shuffled() - before and time.time() < until:
+        time.sleep(0.2)
+    assert not shuffled() - before and spark.conf.get(session.FREE_SHUFFLES) == setting
+    df.write.parquet(str(tmp_path / "c"))
+    assert shuffled() - before
+
+
 def test_runs_cut_by_a_stored_table_compute_the_new_one_once(spark, tmp_path, monkeypatch, rows):
     """The days tell the runs: no range is sampled, a large day is shared, and days that
     the other table lacks stay."""
