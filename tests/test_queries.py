@@ -2,12 +2,15 @@
 
 from __future__ import annotations
 
+import glob
 import re
+from uuid import uuid4
 
 import pytest
 from oracle_check import compare, connect
 
 import __spark_entry__ as entry
+from tilldeck import session
 from tilldeck.oracle import ORACLE
 from tilldeck.plans.catalog import QUERIES, Shop
 
@@ -124,5 +127,12 @@ def test_a_day_filter_reaches_the_orders_below_the_line_join(spark):
     assert text.count("lineitem") <= 1 and "Filter" not in text[:join].split("Join")[0] or "1995-01-01" not in text[:join]
 
 
+def test_the_dashboard_in_passes_equals_sql_and_leaves_no_facts(spark, connection, monkeypatch, tmp_path):
+    monkeypatch.setattr(session, "PASS_ROWS", 800)
+    monkeypatch.setattr("tilldeck.plans.catalog.scratch_dir", lambda _, purpose: f"{tmp_path}/{purpose}-{uuid4().hex}")
+    assert compare(spark, connection, QUERIES["dashboard_payload"], ORACLE["dashboard_payload"], FOLDER) is None
+    assert not glob.glob(f"{tmp_path}/lines-*") and glob.glob(f"{tmp_path}/metrics-*")
+
+
 def test_the_entry_adds_the_training_data_queries_only_if_they_exist():
     assert set(entry.queries()) >= set(QUERIES) and set(entry.oracle_sql()) >= set(ORACLE)
