@@ -200,26 +200,28 @@ class Shop:
         """The metric tables the dashboard reads; facts they share are computed once."""
         root = self.scratch("metrics")
         facts_at = {name: self.scratch(name) for name in ("lines", "payments", "refunds", "behavior")}
-        item_rows = self.raw.order_items.count()
-        clean_items = partial(layers.kept_small, self.items, "clean-items", "order_item_id", item_rows)
-        moved = partial(
-            layers.kept_small, facts.inventory_detail(self.raw.inventory_logs), "movements", "inventory_log_id", item_rows
-        )
+        movements: list[tuple[DataFrame, str | None]] = []
 
         def put_lines() -> None:
             # Copies of a line may name several orders: they go before passes over orders.
-            items, kept = clean_items()
+            rows = self.raw.order_items.count()
+            items, kept = layers.kept_small(self.items, "clean-items", "order_item_id", rows)
             found = facts.detail_of_clean_items(self.raw.orders, items, self.raw.products)
-            layers.write_scratch(found, facts_at["lines"], "order_id", item_rows)
+            layers.write_scratch(found, facts_at["lines"], "order_id", rows)
             if kept:
                 drop_folder(self.spark, kept)
 
+        def put_movements() -> None:
+            logs = self.raw.inventory_logs
+            movements.append(
+                layers.kept_small(facts.inventory_detail(logs), "movements", "inventory_log_id", logs.count())
+            )
+
         def put(name: str, df: DataFrame, key: str, given: DataFrame) -> None:
             layers.write_scratch(df, facts_at[name], key, given.count())
 
         returned = self.raw.table("lineitem").where(F.col("l_returnflag") == "R")
 
-        movements: list[tuple[DataFrame, str | None]] = []
         side_by_side(
             self.spark,
             (
@@ -227,7 +229,7 @@ class Shop:
                 partial(put, "payments", self.payments, "payment_id", self.raw.payments),
                 partial(put, "refunds", self.refunds, "refund_id", returned),
                 partial(put, "behavior", self.behavior, "client_id", self.raw.table("events")),
-                lambda: movements.append(moved()),
+                put_movements,
             ),
         )
         lines, payments, refunds, behavior = (self.spark.read.parquet(path) for path in facts_at.values())
